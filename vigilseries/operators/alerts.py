@@ -48,9 +48,12 @@ def overlay_episodes(df: DataFrame, episodes: DataFrame, order_col, metrics: Seq
         scaled = F.when(o["hi"].isNotNull(), F.least(scaled, o["hi"])).otherwise(scaled)
         return F.when(o["op"] == "set", o["value"]).when(v.isNotNull(), scaled)
 
+    def of(metric):
+        return lambda o: o["metric"] == metric
+
     hit = F.col("_ops").isNotNull()
     changed = {
-        m: F.when(hit, F.aggregate(F.filter("_ops", lambda o, m=m: o["metric"] == m), F.col(m).cast("double"), apply)).otherwise(F.col(m).cast("double"))
+        m: F.when(hit, F.aggregate(F.filter("_ops", of(m)), F.col(m).cast("double"), apply)).otherwise(F.col(m).cast("double"))
         for m in metrics}
     return joined.withColumns({
         **changed,

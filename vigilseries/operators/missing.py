@@ -36,22 +36,22 @@ def impute_linear(df: DataFrame, metrics: Sequence[str], order_col, series_cols=
     A metric with no value at all in a series stays null.
     """
     indexed = ensure_index(df, order_col, series_cols)
-    here = {m: F.when(F.col(m).isNotNull(), F.struct(F.col(ROW_IDX).alias("i"), F.col(m).cast("double").alias("v"))) for m in metrics}
+    at = {m: F.when(F.col(m).isNotNull(), F.col(ROW_IDX)) for m in metrics}
+    value = {m: F.col(m).cast("double") for m in metrics}
     filled = carry(
         indexed,
-        {f"_p_{m}": c for m, c in here.items()},
-        {f"_f_{m}": c for m, c in here.items()},
+        {**{f"_pi_{m}": at[m] for m in metrics}, **{f"_pv_{m}": value[m] for m in metrics}},
+        {**{f"_fi_{m}": at[m] for m in metrics}, **{f"_fv_{m}": value[m] for m in metrics}},
         series_cols=series_cols, rows=chunk,
     )
-    return filled.withColumns({m: _between(m) for m in metrics}).drop(*[f"_{s}_{m}" for s in "pf" for m in metrics])
+    return filled.withColumns({m: _between(m) for m in metrics}).drop(*[f"_{s}_{m}" for s in ("pi", "pv", "fi", "fv") for m in metrics])
 
 
 def _between(metric: str) -> Column:
-    p, f = F.col(f"_p_{metric}"), F.col(f"_f_{metric}")
-    slope = (f["v"] - p["v"]) / (f["i"] - p["i"])
+    pi, pv, fi, fv = (F.col(f"_{s}_{metric}") for s in ("pi", "pv", "fi", "fv"))
     return F.when(F.col(metric).isNotNull(), F.col(metric).cast("double")).when(
-        p.isNotNull() & f.isNotNull(), p["v"] + slope * (F.col(ROW_IDX) - p["i"])
-    ).otherwise(F.coalesce(p["v"], f["v"]))
+        pi.isNotNull() & fi.isNotNull(), pv + (fv - pv) / (fi - pi) * (F.col(ROW_IDX) - pi)
+    ).otherwise(F.coalesce(pv, fv))
 
 
 def impute_forward_linear(df: DataFrame, metrics: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:

@@ -81,13 +81,14 @@ def rolling_mean_std_valid(df: DataFrame, metrics: Sequence[str], order_col, win
     numbered = running_sum(long, {"_k": F.col("_v").isNotNull().cast("bigint")}, series_cols=keys, rows=chunk)
     values = with_halo(numbered.where(F.col("_v").isNotNull()).withColumn("_k", F.col("_k") - 1), window - 1, rows=chunk, idx="_k")
     frame = chunk_window(keys, "_k").rowsBetween(-(window - 1), 0)
-    stats = drop_halo(values.withColumn("_s", F.struct(
-        F.avg("_v").over(frame).alias("mean"), fill_stat_zero(F.stddev_samp("_v").over(frame)).alias("std"))), rows=chunk, idx="_k")
-    gaps = numbered.where(F.col("_v").isNull()).withColumn("_s", F.lit(None).cast("struct<mean:double,std:double>"))
-    both = stats.select(*keys, ROW_IDX, "_s").unionByName(gaps.select(*keys, ROW_IDX, "_s"))
-    carried = carry(both, {"_now": F.col("_s")}, series_cols=keys, rows=chunk)
+    stats = drop_halo(values.withColumns({
+        "_mean": F.avg("_v").over(frame), "_std": fill_stat_zero(F.stddev_samp("_v").over(frame))}), rows=chunk, idx="_k")
+    gaps = numbered.where(F.col("_v").isNull()).withColumns({c: F.lit(None).cast("double") for c in ("_mean", "_std")})
+    picked = [*keys, ROW_IDX, "_mean", "_std"]
+    carried = carry(stats.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": F.col("_mean"), "_now_std": F.col("_std")},
+                    series_cols=keys, rows=chunk)
     wide = carried.groupBy(*series, ROW_IDX).agg(*[
-        F.coalesce(F.max(F.when(F.col("_m") == m, F.col("_now")[s])), F.lit(0.0)).alias(f"{m}_roll_{s}_{window}")
+        F.coalesce(F.max(F.when(F.col("_m") == m, F.col(f"_now_{s}"))), F.lit(0.0)).alias(f"{m}_roll_{s}_{window}")
         for m in present for s in ("mean", "std")])
     return keyed_join(indexed, wide, [*series, ROW_IDX])
 
