@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilseries.operators.layout import CHUNK_ROWS, ROW_IDX, as_list, ensure_index, keyed_join
+from vigilseries.operators.layout import CHUNK_ROWS, ROW_IDX, as_list, ensure_index, null_safe_join
 
 
 def unified_alert(scores: DataFrame, log_scores: DataFrame, on: str | Sequence[str], alpha: float = 0.7,
@@ -15,7 +15,7 @@ def unified_alert(scores: DataFrame, log_scores: DataFrame, on: str | Sequence[s
     """alpha * sequence score + (1 - alpha) * strongest log score of the step (0 without logs)."""
     keys = as_list(on)
     strongest = log_scores.groupBy(*keys).agg(F.max(log_col).alias("p_knn"))
-    joined = keyed_join(scores, strongest, keys, "left").withColumn("p_knn", F.coalesce("p_knn", F.lit(0.0)))
+    joined = null_safe_join(scores, strongest, keys, "left").withColumn("p_knn", F.coalesce("p_knn", F.lit(0.0)))
     return joined.withColumn("alert_score", F.lit(alpha) * F.col(seq_col) + F.lit(1.0 - alpha) * F.col("p_knn"))
 
 
@@ -40,7 +40,7 @@ def overlay_episodes(df: DataFrame, episodes: DataFrame, order_col, metrics: Seq
     op = F.struct("ord", "start_idx", "kind", "metric", "op", F.col("value").cast("double").alias("value"),
                   F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
     per_row = touched.groupBy(*series, ROW_IDX).agg(F.array_sort(F.collect_list(op)).alias("_ops"))
-    joined = keyed_join(indexed, per_row, [*series, ROW_IDX], "left")
+    joined = null_safe_join(indexed, per_row, [*series, ROW_IDX], "left")
 
     def apply(v, o):
         scaled = v * o["value"]

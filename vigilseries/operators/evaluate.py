@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilseries.operators.layout import keyed_join
+from vigilseries.operators.layout import null_safe_join
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -124,7 +124,7 @@ def reconcile_outputs(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Seq
     """Per column: the largest difference, rows found on one side only, and whether it is within ``tol``."""
     left = a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in cols], F.lit(True).alias("in_a"))
     right = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in cols], F.lit(True).alias("in_b"))
-    both = keyed_join(left, right, keys, "full")
+    both = null_safe_join(left, right, keys, "full")
     sums = both.agg(
         F.count_if(F.col("in_b").isNull()).alias("only_a"), F.count_if(F.col("in_a").isNull()).alias("only_b"),
         *[F.max(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}"))).alias(f"d_{c}") for c in cols],

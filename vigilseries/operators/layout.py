@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 from vigilseries.session import materialize
 
 ROW_IDX = "row_idx"
+SERIES_ID = "series_id"
 CHUNK = "_chunk"
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4096
 LEVELS = 2
+BROADCAST_ROWS = 50_000
 
 
 def as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -28,13 +30,28 @@ def as_list(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches null keys and keeps one copy of each key."""
+def series_key(series_cols: Sequence[str] | None) -> list[str]:
+    """The never-null number that stands for a series in joins and windows; none for a single series."""
+    return [SERIES_ID] if as_list(series_cols) else []
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that also matches null keys and keeps the left copy of each key."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition at the configured width.
+
+    Row windows cost far more time than their bytes suggest, so they keep the
+    configured parallelism instead of being coalesced by size. A following join
+    or window on the same keys reuses this shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None,
                index_col: str = ROW_IDX) -> DataFrame:
     """Add a dense 0-based position per series without gathering any series.
@@ -42,7 +59,8 @@ def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequ
     Rows are range-partitioned on (series, order), sorted, and written once with
     their partition number and place in it; offsets come from one row per
     (series, partition). Equal order values fall back to a row hash and then to
-    arrival order, so copies spread over partitions too.
+    arrival order, so copies spread over partitions too. With series columns a
+    number per series, ``series_id``, is added as well.
     """
     series, order = as_list(series_cols), as_list(order_cols)
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
@@ -59,24 +77,31 @@ def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequ
     )
     placed = materialize(placed, "indexed")
     spans = placed.groupBy(*series, "_part").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*(series or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spans.select(
-        *series, "_part",
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    return (
-        keyed_join(placed, offsets, [*series, "_part"])
-        .withColumn(index_col, (F.col("_pos") + F.col("_shift")).cast("bigint"))
-        .drop("_part", "_pos", "_shift")
-    )
+    # One row per written partition.
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = F.broadcast(parts.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base")))
+    if not series:
+        return placed.join(parts, "_part").withColumn(
+            index_col, (F.col("_base") + F.col("_pos")).cast("bigint")).drop("_part", "_pos", "_base")
+    starts = spans.join(parts, "_part").withColumn("_at", F.col("_base") + F.col("_first"))
+    starts = starts.withColumn(SERIES_ID, F.min("_at").over(Window.partitionBy(*series)).cast("bigint"))
+    starts = starts.select(*series, "_part", SERIES_ID, "_base")
+    return null_safe_join(placed, starts, [*series, "_part"]).withColumn(
+        index_col, (F.col("_base") + F.col("_pos") - F.col(SERIES_ID)).cast("bigint")).drop("_part", "_pos", "_base")
 
 
 def ensure_index(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None) -> DataFrame:
-    """Reuse ``row_idx`` when the frame already has it, else compute it."""
+    """Reuse ``row_idx`` when the frame already has it (made with the same series), else compute it."""
     return df if ROW_IDX in df.columns else index_rows(df, order_cols, series_cols)
 
 
-def with_halo(df: DataFrame, before: int, after: int = 0, rows: int | None = None, idx: str = ROW_IDX) -> DataFrame:
+def group_of(idx: str, rows: int | None) -> Column:
+    return F.expr(f"{idx} div {rows or CHUNK_ROWS}")
+
+
+def with_halo(df: DataFrame, keys: Sequence[str], before: int, after: int = 0, rows: int | None = None,
+              idx: str = ROW_IDX) -> DataFrame:
     """Assign rows to chunks and copy the border rows that neighbours need.
 
     ``before``/``after`` are the rows a frame reaches back/forward.
@@ -84,108 +109,94 @@ def with_halo(df: DataFrame, before: int, after: int = 0, rows: int | None = Non
     rows = rows or CHUNK_ROWS
     if rows < max(before, after):
         raise ValueError("a chunk must hold at least as many rows as its halo")
-    pos = F.col(idx)
-    own = F.floor(pos / F.lit(rows)).cast("bigint")
-    if before == 0 and after == 0:
-        return df.withColumn(CHUNK, own)
-    off = pos % F.lit(rows)
-    targets = F.array(
-        own,
-        F.when(off >= rows - before, own + 1),
-        F.when(off < after, own - 1),
-    )
-    return df.withColumn(CHUNK, F.explode(F.array_compact(targets)))
+    own, off = group_of(idx, rows), F.col(idx) % F.lit(rows)
+    borders = []
+    if before:
+        borders.append((off >= rows - before, own + 1))
+    if after:
+        borders.append((off < after, own - 1))
+    target = own
+    if borders:
+        target = F.explode(F.array_compact(F.array(own, *[F.when(c, to) for c, to in borders])))
+    return spread_by(df.withColumn(CHUNK, target), *keys, CHUNK)
 
 
 def drop_halo(df: DataFrame, rows: int | None = None, idx: str = ROW_IDX) -> DataFrame:
-    rows = rows or CHUNK_ROWS
-    return df.where(F.col(CHUNK) == F.floor(F.col(idx) / F.lit(rows))).drop(CHUNK)
-
+    return df.where(F.col(CHUNK) == group_of(idx, rows)).drop(CHUNK)
 
-def chunk_window(series_cols: Sequence[str] | None = None, idx: str = ROW_IDX):
-    return Window.partitionBy(*as_list(series_cols), CHUNK).orderBy(idx)
 
-
-def _two_way(part: Sequence, idx: str, inclusive: bool):
-    end = Window.currentRow if inclusive else -1
-    asc = Window.partitionBy(*part).orderBy(F.col(idx)).rowsBetween(Window.unboundedPreceding, end)
-    desc = Window.partitionBy(*part).orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, end)
-    return asc, desc
+def chunk_window(keys: Sequence[str] = (), idx: str = ROW_IDX):
+    return Window.partitionBy(*keys, CHUNK).orderBy(idx)
 
 
 def carry(df: DataFrame, prev: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
-          idx: str = ROW_IDX, series_cols: Sequence[str] | None = None, rows: int | None = None,
-          levels: int = LEVELS, inclusive: bool = True) -> DataFrame:
+          idx: str = ROW_IDX, keys: Sequence[str] = (), rows: int | None = None, levels: int = LEVELS,
+          inclusive: bool = True) -> DataFrame:
     """Add, per row, the nearest non-null value at or before / at or after it.
 
-    Each level summarises ``rows`` positions into one, so no window ever sorts
-    more than ``rows`` rows except over the (tiny) top level.
+    Each level summarises ``rows`` positions into one, so no window sorts more
+    than ``rows`` rows except over the (tiny) top level.
     """
     prev, following = prev or {}, following or {}
-    rows = rows or CHUNK_ROWS
-    series = as_list(series_cols)
+    names = [*prev, *following]
+    group, end = f"_g{levels}", Window.currentRow if inclusive else -1
+    part = [*keys, group] if levels else list(keys) or [F.lit(0)]
+    asc = Window.partitionBy(*part).orderBy(F.col(idx)).rowsBetween(Window.unboundedPreceding, end)
+    desc = Window.partitionBy(*part).orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, end)
+    near = {
+        **{n: F.last(c, ignorenulls=True).over(asc) for n, c in prev.items()},
+        **{n: F.last(c, ignorenulls=True).over(desc) for n, c in following.items()},
+    }
     if levels == 0:
-        asc, desc = _two_way(series or [F.lit(0)], idx, inclusive)
-        return df.withColumns({
-            **{n: F.last(c, ignorenulls=True).over(asc) for n, c in prev.items()},
-            **{n: F.last(c, ignorenulls=True).over(desc) for n, c in following.items()},
-        })
-    group = f"_g{levels}"
-    grouped = df.withColumn(group, F.floor(F.col(idx) / F.lit(rows)).cast("bigint"))
-    summary = grouped.groupBy(*series, group).agg(
-        *[F.max_by(c, F.when(c.isNotNull(), F.col(idx))).alias(f"{n}_e{levels}") for n, c in prev.items()],
-        *[F.min_by(c, F.when(c.isNotNull(), F.col(idx))).alias(f"{n}_e{levels}") for n, c in following.items()],
+        return df.withColumns(near)
+    grouped = df.withColumn(group, group_of(idx, rows))
+    inner, outer = {n: f"{n}_e{levels}" for n in names}, {n: f"{n}_o{levels}" for n in names}
+    summary = grouped.groupBy(*keys, group).agg(
+        *[F.max_by(c, F.when(c.isNotNull(), F.col(idx))).alias(inner[n]) for n, c in prev.items()],
+        *[F.min_by(c, F.when(c.isNotNull(), F.col(idx))).alias(inner[n]) for n, c in following.items()],
     )
     edges = carry(
-        summary,
-        {f"{n}_o{levels}": F.col(f"{n}_e{levels}") for n in prev},
-        {f"{n}_o{levels}": F.col(f"{n}_e{levels}") for n in following},
-        group, series, rows, levels - 1, inclusive=False,
-    )
-    edges = edges.select(*series, group, *[f"{n}_o{levels}" for n in [*prev, *following]])
-    asc, desc = _two_way([*series, group], idx, inclusive)
-    return keyed_join(grouped, edges, [*series, group]).withColumns({
-        **{n: F.coalesce(F.last(c, ignorenulls=True).over(asc), F.col(f"{n}_o{levels}")) for n, c in prev.items()},
-        **{n: F.coalesce(F.last(c, ignorenulls=True).over(desc), F.col(f"{n}_o{levels}")) for n, c in following.items()},
-    }).drop(group, *[f"{n}_o{levels}" for n in [*prev, *following]])
+        summary, {outer[n]: F.col(inner[n]) for n in prev}, {outer[n]: F.col(inner[n]) for n in following},
+        group, keys, rows, levels - 1, inclusive=False,
+    ).select(*keys, group, *outer.values())
+    joined = spread_by(grouped, *keys, group).join(edges, [*keys, group])
+    return joined.withColumns({n: F.coalesce(c, F.col(outer[n])) for n, c in near.items()}).drop(group, *outer.values())
 
 
-def running_sum(df: DataFrame, sums: dict[str, Column], idx: str = ROW_IDX, series_cols: Sequence[str] | None = None,
+def running_sum(df: DataFrame, sums: dict[str, Column], idx: str = ROW_IDX, keys: Sequence[str] = (),
                 rows: int | None = None, levels: int = LEVELS, inclusive: bool = True) -> DataFrame:
     """Add per-series running totals by summing chunks first."""
-    rows = rows or CHUNK_ROWS
-    series = as_list(series_cols)
-    end = Window.currentRow if inclusive else -1
+    group, end = f"_g{levels}", Window.currentRow if inclusive else -1
+    part = [*keys, group] if levels else list(keys) or [F.lit(0)]
+    w = Window.partitionBy(*part).orderBy(idx).rowsBetween(Window.unboundedPreceding, end)
+    here = {n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()}
     if levels == 0:
-        w = Window.partitionBy(*(series or [F.lit(0)])).orderBy(idx).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()})
-    group = f"_g{levels}"
-    grouped = df.withColumn(group, F.floor(F.col(idx) / F.lit(rows)).cast("bigint"))
-    summary = grouped.groupBy(*series, group).agg(*[F.sum(c).alias(f"{n}_e{levels}") for n, c in sums.items()])
-    edges = running_sum(summary, {f"{n}_o{levels}": F.col(f"{n}_e{levels}") for n in sums}, group, series, rows,
-                        levels - 1, inclusive=False)
-    edges = edges.select(*series, group, *[f"{n}_o{levels}" for n in sums])
-    w = Window.partitionBy(*series, group).orderBy(idx).rowsBetween(Window.unboundedPreceding, end)
-    return keyed_join(grouped, edges, [*series, group]).withColumns({
-        n: F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"{n}_o{levels}") for n, c in sums.items()
-    }).drop(group, *[f"{n}_o{levels}" for n in sums])
-
-
-def attach(df: DataFrame, facts: DataFrame, series_cols: Sequence[str] | None = None, rows: int | None = None,
-           idx: str = ROW_IDX) -> DataFrame:
-    """Add per-series facts to every row.
-
-    Facts first meet the much smaller list of chunks, and rows meet them on
-    (series, chunk), so a series holding most rows is spread over its chunks.
-    """
-    rows = rows or CHUNK_ROWS
-    series = as_list(series_cols)
-    chunked = df.withColumn("_at", F.floor(F.col(idx) / F.lit(rows)).cast("bigint"))
-    if not series:
-        series, chunked, facts = ["_one"], chunked.withColumn("_one", F.lit(0)), facts.withColumn("_one", F.lit(0))
-    spread = keyed_join(chunked.select(*series, "_at").distinct(), facts, series)
-    return keyed_join(chunked, spread, [*series, "_at"]).drop("_at", "_one")
+        return df.withColumns(here)
+    grouped = df.withColumn(group, group_of(idx, rows))
+    summary = grouped.groupBy(*keys, group).agg(*[F.sum(c).alias(f"{n}_e{levels}") for n, c in sums.items()])
+    edges = running_sum(summary, {f"{n}_o{levels}": F.col(f"{n}_e{levels}") for n in sums}, group, keys, rows, levels - 1, False)
+    edges = edges.select(*keys, group, *[f"{n}_o{levels}" for n in sums])
+    joined = spread_by(grouped, *keys, group).join(edges, [*keys, group])
+    return joined.withColumns({n: c + F.col(f"{n}_o{levels}") for n, c in here.items()}).drop(group, *[f"{n}_o{levels}" for n in sums])
+
 
+def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str] = (), rows: int | None = None, idx: str = ROW_IDX) -> DataFrame:
+    """Add facts kept per series to every row.
 
-def series_length(df: DataFrame, series_cols: Sequence[str] | None = None, name: str = "_n") -> DataFrame:
-    return df.groupBy(*as_list(series_cols)).agg(F.count(F.lit(1)).alias(name))
+    Without keys the single row of facts becomes literals. Few facts are
+    broadcast after counting them. Many meet the list of chunks first and the
+    rows on (series, chunk), so a series holding most rows stays spread out.
+    """
+    if not keys:
+        row = facts.first()
+        return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in facts.schema.fields})
+    facts = materialize(facts, "facts")
+    if facts.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(facts), list(keys))
+    chunked = df.withColumn("_at", group_of(idx, rows))
+    pieces = chunked.select(*keys, "_at").distinct().join(facts, list(keys))
+    return chunked.join(pieces, [*keys, "_at"]).drop("_at")
+
+
+def series_length(df: DataFrame, keys: Sequence[str] = (), name: str = "_n") -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

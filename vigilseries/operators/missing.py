@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilseries.operators.layout import ROW_IDX, carry, ensure_index
+from vigilseries.operators.layout import ROW_IDX, carry, ensure_index, series_key
 from vigilseries.operators.rows import head_rows
 
 
@@ -42,7 +42,7 @@ def impute_linear(df: DataFrame, metrics: Sequence[str], order_col, series_cols=
         indexed,
         {**{f"_pi_{m}": at[m] for m in metrics}, **{f"_pv_{m}": value[m] for m in metrics}},
         {**{f"_fi_{m}": at[m] for m in metrics}, **{f"_fv_{m}": value[m] for m in metrics}},
-        series_cols=series_cols, rows=chunk,
+        keys=series_key(series_cols), rows=chunk,
     )
     return filled.withColumns({m: _between(m) for m in metrics}).drop(*[f"_{s}_{m}" for s in ("pi", "pv", "fi", "fv") for m in metrics])
 
@@ -62,7 +62,7 @@ def impute_forward_linear(df: DataFrame, metrics: Sequence[str], order_col, seri
 def ffill_zero(df: DataFrame, cols: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
     """Last known value, 0.0 before the first."""
     indexed = ensure_index(df, order_col, series_cols)
-    filled = carry(indexed, {f"_p_{c}": F.col(c) for c in cols}, series_cols=series_cols, rows=chunk)
+    filled = carry(indexed, {f"_p_{c}": F.col(c) for c in cols}, keys=series_key(series_cols), rows=chunk)
     return filled.withColumns({c: F.coalesce(F.col(f"_p_{c}"), F.lit(0.0)) for c in cols}).drop(*[f"_p_{c}" for c in cols])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.operators.layout import (
-    ROW_IDX, as_list, attach, chunk_window, drop_halo, ensure_index, series_length, with_halo,
+    ROW_IDX, attach, chunk_window, drop_halo, ensure_index, series_key, series_length, with_halo,
 )
 
 
@@ -18,7 +18,8 @@ def chronological_split(df: DataFrame, order_col, train_frac: float = 0.70, val_
     n = F.col("_n")
     n_train, n_val = (F.floor(n * F.lit(float(f))).cast("bigint") for f in (train_frac, val_frac))
     split = F.when(F.col(ROW_IDX) < n_train, "train").when(F.col(ROW_IDX) < n_train + n_val, "val").otherwise("test")
-    return attach(indexed, series_length(indexed, series_cols), series_cols).withColumn("split", split).drop("_n")
+    keys = series_key(series_cols)
+    return attach(indexed, series_length(indexed, keys), keys).withColumn("split", split).drop("_n")
 
 
 def split_summary(df: DataFrame, class_col: str = "is_anomaly") -> DataFrame:
@@ -59,14 +60,14 @@ def sliding_sequences(df: DataFrame, feature_cols: Sequence[str], label_col: str
     Windows never cross a group. As in the reference semantics the last window
     of a group is left out unless ``include_last``.
     """
-    groups = [*as_list(series_cols), *group_cols]
+    groups = [*series_key(series_cols), *group_cols]
     indexed = ensure_index(df, order_col, series_cols)
     extent = indexed.groupBy(*groups).agg(F.min(ROW_IDX).alias("_from"), F.count(F.lit(1)).alias("_n"))
     placed = attach(indexed, extent, groups).withColumn("_pos", F.col(ROW_IDX) - F.col("_from"))
     narrow = placed.select(*groups, ROW_IDX, "_pos", "_n", F.col(label_col).alias("label"),
                            F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_x"))
     frame = chunk_window(groups, "_pos").rowsBetween(-(window - 1), 0)
-    seq = with_halo(narrow, window - 1, rows=chunk, idx="_pos").withColumn("features", F.collect_list("_x").over(frame))
+    seq = with_halo(narrow, groups, window - 1, rows=chunk, idx="_pos").withColumn("features", F.collect_list("_x").over(frame))
     last = F.col("_n") - (1 if include_last else 2)
     return drop_halo(seq, rows=chunk, idx="_pos").where(
         (F.col("_pos") >= window - 1) & (F.col("_pos") <= last)

@@ -9,32 +9,36 @@ from pyspark.sql import functions as F
 
 from vigilseries.functions.scalars import cyclic, hour_of, weekday_of
 from vigilseries.operators.layout import (
-    ROW_IDX, as_list, carry, chunk_window, drop_halo, ensure_index, keyed_join, running_sum, with_halo,
+    ROW_IDX, carry, chunk_window, drop_halo, ensure_index, running_sum, series_key, with_halo,
 )
 from vigilseries.operators.missing import ffill_zero, fill_stat_zero
 from vigilseries.operators.rows import drop_warmup
+from vigilseries.operators.sliding import sliding
+from vigilseries.operators.sliding import spread as std_of
 
 ROLLING_WINDOWS = (5, 15, 30)
 LAG_STEPS = (1, 5, 15, 30)
 
 
 def _framed(df: DataFrame, order_col, series_cols, chunk, before: int, build) -> DataFrame:
-    """Add the columns of ``build(window)`` computed inside halo chunks."""
-    spread = with_halo(ensure_index(df, order_col, series_cols), before, rows=chunk)
-    added = build(chunk_window(series_cols))
-    return drop_halo(spread.select("*", *[c.alias(n) for n, c in added.items()]), rows=chunk)
+    """Run ``build(frame, window)`` inside halo chunks."""
+    keys = series_key(series_cols)
+    spread = with_halo(ensure_index(df, order_col, series_cols), keys, before, rows=chunk)
+    return drop_halo(build(spread, chunk_window(keys)), rows=chunk)
 
 
-def _rolling(metrics, windows, w) -> dict[str, Column]:
+def _rolled(df: DataFrame, metrics, windows, w) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """Frame with statistics columns, the named features over them, and the helpers to drop."""
+    df, at = sliding(df, metrics, windows, w)
     out = {}
     for m in metrics:
         for n in windows:
-            frame = w.rowsBetween(-(n - 1), 0)
-            out[f"{m}_mean_{n}"] = F.avg(m).over(frame)
-            out[f"{m}_std_{n}"] = fill_stat_zero(F.stddev_samp(m).over(frame))
-            out[f"{m}_min_{n}"] = F.min(m).over(frame)
-            out[f"{m}_max_{n}"] = F.max(m).over(frame)
-    return out
+            stats = F.col(at[m, n])
+            out[f"{m}_mean_{n}"] = stats["mean"]
+            out[f"{m}_std_{n}"] = std_of(stats)
+            out[f"{m}_min_{n}"] = stats["lo"]
+            out[f"{m}_max_{n}"] = stats["hi"]
+    return df, out, list(at.values())
 
 
 def _lags(metrics, steps, w) -> dict[str, Column]:
@@ -45,23 +49,29 @@ def _diffs(metrics, w) -> dict[str, Column]:
     return {f"{m}_roc": fill_stat_zero(F.col(m) - F.lag(m, 1).over(w)) for m in metrics}
 
 
+def _with(df: DataFrame, added: dict[str, Column]) -> DataFrame:
+    return df.select("*", *[c.alias(n) for n, c in added.items()])
+
+
 def rolling_stats(df: DataFrame, metrics: Sequence[str], order_col, windows: Sequence[int] = ROLLING_WINDOWS,
                   series_cols=None, chunk: int | None = None) -> DataFrame:
     """Mean, sample std (0 where undefined), min and max over the last w rows."""
-    return _framed(df, order_col, series_cols, chunk, max(windows) - 1, lambda w: _rolling(metrics, windows, w))
+    def build(spread, w):
+        rolled, added, helpers = _rolled(spread, metrics, windows, w)
+        return _with(rolled, added).drop(*helpers)
+    return _framed(df, order_col, series_cols, chunk, max(windows) - 1, build)
 
 
 def rolling_mean_std(df: DataFrame, metrics: Sequence[str], order_col, window: int = 15, series_cols=None,
                      chunk: int | None = None) -> DataFrame:
     """Mean and std over the last ``window`` rows; metrics the table lacks are skipped."""
-    def build(w):
-        frame = w.rowsBetween(-(window - 1), 0)
-        out = {}
-        for m in metrics:
-            if m in df.columns:
-                out[f"{m}_roll_mean_{window}"] = F.avg(m).over(frame)
-                out[f"{m}_roll_std_{window}"] = fill_stat_zero(F.stddev_samp(m).over(frame))
-        return out
+    present = [m for m in metrics if m in df.columns]
+
+    def build(spread, w):
+        rolled, at = sliding(spread, present, [window], w, extremes=False)
+        return _with(rolled, {
+            f"{m}_roll_{s}_{window}": F.col(at[m, window])["mean"] if s == "mean" else std_of(F.col(at[m, window]))
+            for m in present for s in ("mean", "std")}).drop(*at.values())
     return _framed(df, order_col, series_cols, chunk, window - 1, build)
 
 
@@ -73,35 +83,35 @@ def rolling_mean_std_valid(df: DataFrame, metrics: Sequence[str], order_col, win
     first value both are 0.0. Works in long form so each metric counts its own
     values: number them, roll over them, then carry the result to the gaps.
     """
-    series = as_list(series_cols)
     present = [m for m in metrics if m in df.columns]
-    indexed = ensure_index(df, order_col, series)
+    indexed = ensure_index(df, order_col, series_cols)
+    series = series_key(series_cols)
     keys = [*series, "_m"]
     long = indexed.select(*series, ROW_IDX, *present).unpivot([*series, ROW_IDX], present, "_m", "_v")
-    numbered = running_sum(long, {"_k": F.col("_v").isNotNull().cast("bigint")}, series_cols=keys, rows=chunk)
-    values = with_halo(numbered.where(F.col("_v").isNotNull()).withColumn("_k", F.col("_k") - 1), window - 1, rows=chunk, idx="_k")
-    frame = chunk_window(keys, "_k").rowsBetween(-(window - 1), 0)
-    stats = drop_halo(values.withColumns({
-        "_mean": F.avg("_v").over(frame), "_std": fill_stat_zero(F.stddev_samp("_v").over(frame))}), rows=chunk, idx="_k")
+    numbered = running_sum(long, {"_k": F.col("_v").isNotNull().cast("bigint")}, keys=keys, rows=chunk)
+    values = with_halo(numbered.where(F.col("_v").isNotNull()).withColumn("_k", F.col("_k") - 1), keys, window - 1, rows=chunk, idx="_k")
+    rolled, at = sliding(values, ["_v"], [window], chunk_window(keys, "_k"), extremes=False)
+    stats = F.col(at["_v", window])
+    rolled = drop_halo(rolled.withColumns({"_mean": stats["mean"], "_std": std_of(stats)}), rows=chunk, idx="_k")
     gaps = numbered.where(F.col("_v").isNull()).withColumns({c: F.lit(None).cast("double") for c in ("_mean", "_std")})
     picked = [*keys, ROW_IDX, "_mean", "_std"]
-    carried = carry(stats.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": F.col("_mean"), "_now_std": F.col("_std")},
-                    series_cols=keys, rows=chunk)
+    carried = carry(rolled.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": F.col("_mean"), "_now_std": F.col("_std")},
+                    keys=keys, rows=chunk)
     wide = carried.groupBy(*series, ROW_IDX).agg(*[
         F.coalesce(F.max(F.when(F.col("_m") == m, F.col(f"_now_{s}"))), F.lit(0.0)).alias(f"{m}_roll_{s}_{window}")
         for m in present for s in ("mean", "std")])
-    return keyed_join(indexed, wide, [*series, ROW_IDX])
+    return indexed.join(wide, [*series, ROW_IDX])
 
 
 def lag_features(df: DataFrame, metrics: Sequence[str], order_col, steps: Sequence[int] = LAG_STEPS, series_cols=None,
                  chunk: int | None = None) -> DataFrame:
     """Values k rows earlier, null at the start of a series."""
-    return _framed(df, order_col, series_cols, chunk, max(steps), lambda w: _lags(metrics, steps, w))
+    return _framed(df, order_col, series_cols, chunk, max(steps), lambda spread, w: _with(spread, _lags(metrics, steps, w)))
 
 
 def rate_of_change(df: DataFrame, metrics: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
     """Difference from the previous row, 0.0 where undefined."""
-    return _framed(df, order_col, series_cols, chunk, 1, lambda w: _diffs(metrics, w))
+    return _framed(df, order_col, series_cols, chunk, 1, lambda spread, w: _with(spread, _diffs(metrics, w)))
 
 
 def time_parts(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
@@ -129,9 +139,12 @@ def build_features(df: DataFrame, metrics: Sequence[str], order_col, drop_rows:
     0.0 alone gives the same answer without another shuffle.
     """
     reach = max(max(windows) - 1, max(steps))
-    out = _framed(df, order_col, series_cols, chunk, reach, lambda w: {
-        **_rolling(metrics, windows, w), **_lags(metrics, steps, w), **_diffs(metrics, w)})
-    out = drop_warmup(time_features(out, ts_col), drop_rows)
+
+    def build(spread, w):
+        rolled, added, helpers = _rolled(spread, metrics, windows, w)
+        return _with(rolled, {**added, **_lags(metrics, steps, w), **_diffs(metrics, w)}).drop(*helpers)
+
+    out = drop_warmup(time_features(_framed(df, order_col, series_cols, chunk, reach, build), ts_col), drop_rows)
     fill = [*metrics, *[f"{m}_{s}_{n}" for m in metrics for n in windows for s in ("mean", "min", "max")],
             *[f"{m}_lag_{k}" for m in metrics for k in steps]]
     if dense:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from vigilseries.functions.scalars import binarize_score, category_map, log_line_parse, round4, sigmoid, truncate_doc
 from vigilseries.operators import alerts, classifier, decompose, detectors, evaluate, missing, neighbours, profile, rows, split, text, windows
-from vigilseries.operators.layout import ROW_IDX, index_rows
+from vigilseries.operators.layout import ROW_IDX, SERIES_ID
 from vigilseries.plans import tables as t
 from vigilseries.plans.flow import run_log_pipeline, run_pipeline
 from vigilseries.session import materialize, scratch_path
@@ -346,7 +346,7 @@ def rolling_stats(spark, sf):
 @query
 def rolling_stats_by_user(spark, sf):
     rolled = windows.rolling_stats(t.events(spark, sf).select("event_id", "user_id", "ts", "value"), ["value"], ["ts", "event_id"], series_cols=USER)
-    return tidy(rolled.drop("ts", ROW_IDX))
+    return tidy(rolled.drop("ts", ROW_IDX, SERIES_ID))
 
 
 @query

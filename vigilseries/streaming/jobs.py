@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilseries.operators.layout import ROW_IDX, as_list, attach, index_rows, series_length
+from vigilseries.operators.layout import ROW_IDX, SERIES_ID, as_list, attach, index_rows, series_key, series_length
 from vigilseries.operators.neighbours import analyze_embedded
 from vigilseries.operators.text import embed_text
 from vigilseries.operators.windows import rolling_mean_std
@@ -35,11 +35,11 @@ def stream_score_windows(stream: DataFrame, out_path: str, state_path: str, chec
             rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{state_path}/batch_id={batch_id - 1}").withColumn("_new", F.lit(False)))
         placed = index_rows(rows, order, series)
         recent = rolling_mean_std(placed, metrics, order, window, series)
-        scorer(recent.where("_new").drop("_new", ROW_IDX)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        tail = attach(placed, series_length(placed, series), series).where(F.col(ROW_IDX) >= F.col("_n") - window)
+        scorer(recent.where("_new").drop("_new", ROW_IDX, SERIES_ID)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        tail = attach(placed, series_length(placed, series_key(series)), series_key(series)).where(F.col(ROW_IDX) >= F.col("_n") - window)
         if ttl:
             newest = placed.agg(F.max(order[0]).alias("_latest"))
-            tail = attach(tail, newest, None).where(F.col(order[0]) >= F.col("_latest") - F.expr(f"INTERVAL {ttl}"))
+            tail = attach(tail, newest).where(F.col(order[0]) >= F.col("_latest") - F.expr(f"INTERVAL {ttl}"))
         tail.select(*batch.columns).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
