@@ -129,55 +129,60 @@ def chunk_window(keys: Sequence[str] = (), idx: str = ROW_IDX):
     return Window.partitionBy(*keys, CHUNK).orderBy(idx)
 
 
-def carry(df: DataFrame, prev: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
+def chunk_over(keys: Sequence[str] = (), idx: str = ROW_IDX) -> str:
+    """``chunk_window`` as SQL text."""
+    return f"PARTITION BY {', '.join(f'`{k}`' for k in [*keys, CHUNK])} ORDER BY `{idx}`"
+
+
+def _group_over(keys: Sequence[str], group: str | None, idx: str, inclusive: bool, descending: bool = False) -> str:
+    part = ", ".join(f"`{k}`" for k in [*keys, *([group] if group else [])]) or "0"
+    end = "CURRENT ROW" if inclusive else "1 PRECEDING"
+    return f"OVER (PARTITION BY {part} ORDER BY `{idx}`{' DESC' if descending else ''} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
+
+
+def carry(df: DataFrame, prev: dict[str, str] | None = None, following: dict[str, str] | None = None,
           idx: str = ROW_IDX, keys: Sequence[str] = (), rows: int | None = None, levels: int = LEVELS,
           inclusive: bool = True) -> DataFrame:
     """Add, per row, the nearest non-null value at or before / at or after it.
 
-    Each level summarises ``rows`` positions into one, so no window sorts more
-    than ``rows`` rows except over the (tiny) top level.
+    ``prev`` and ``following`` map new names to SQL text. Each level summarises
+    ``rows`` positions into one, so no window sorts more than ``rows`` rows
+    except over the (tiny) top level.
     """
     prev, following = prev or {}, following or {}
     names = [*prev, *following]
-    group, end = f"_g{levels}", Window.currentRow if inclusive else -1
-    part = [*keys, group] if levels else list(keys) or [F.lit(0)]
-    asc = Window.partitionBy(*part).orderBy(F.col(idx)).rowsBetween(Window.unboundedPreceding, end)
-    desc = Window.partitionBy(*part).orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, end)
-    near = {
-        **{n: F.last(c, ignorenulls=True).over(asc) for n, c in prev.items()},
-        **{n: F.last(c, ignorenulls=True).over(desc) for n, c in following.items()},
-    }
+    group = f"_g{levels}" if levels else None
+    asc, desc = (_group_over(keys, group, idx, inclusive, d) for d in (False, True))
+    near = {n: f"last_value({e}) IGNORE NULLS {over}" for part, over in ((prev, asc), (following, desc)) for n, e in part.items()}
     if levels == 0:
-        return df.withColumns(near)
+        return df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in near.items()])
     grouped = df.withColumn(group, group_of(idx, rows))
-    inner, outer = {n: f"{n}_e{levels}" for n in names}, {n: f"{n}_o{levels}" for n in names}
-    summary = grouped.groupBy(*keys, group).agg(
-        *[F.max_by(c, F.when(c.isNotNull(), F.col(idx))).alias(inner[n]) for n, c in prev.items()],
-        *[F.min_by(c, F.when(c.isNotNull(), F.col(idx))).alias(inner[n]) for n, c in following.items()],
-    )
+    outer = {n: f"{n}_o{levels}" for n in names}
+    summary = grouped.groupBy(*keys, group).agg(*[
+        F.expr(f"{pick}({e}, CASE WHEN ({e}) IS NOT NULL THEN `{idx}` END) AS `{n}_e{levels}`")
+        for part, pick in ((prev, "max_by"), (following, "min_by")) for n, e in part.items()])
     edges = carry(
-        summary, {outer[n]: F.col(inner[n]) for n in prev}, {outer[n]: F.col(inner[n]) for n in following},
+        summary, {outer[n]: f"`{n}_e{levels}`" for n in prev}, {outer[n]: f"`{n}_e{levels}`" for n in following},
         group, keys, rows, levels - 1, inclusive=False,
     ).select(*keys, group, *outer.values())
     joined = spread_by(grouped, *keys, group).join(edges, [*keys, group])
-    return joined.withColumns({n: F.coalesce(c, F.col(outer[n])) for n, c in near.items()}).drop(group, *outer.values())
+    return joined.selectExpr("*", *[f"coalesce({near[n]}, `{outer[n]}`) AS `{n}`" for n in names]).drop(group, *outer.values())
 
 
-def running_sum(df: DataFrame, sums: dict[str, Column], idx: str = ROW_IDX, keys: Sequence[str] = (),
+def running_sum(df: DataFrame, sums: dict[str, str], idx: str = ROW_IDX, keys: Sequence[str] = (),
                 rows: int | None = None, levels: int = LEVELS, inclusive: bool = True) -> DataFrame:
-    """Add per-series running totals by summing chunks first."""
-    group, end = f"_g{levels}", Window.currentRow if inclusive else -1
-    part = [*keys, group] if levels else list(keys) or [F.lit(0)]
-    w = Window.partitionBy(*part).orderBy(idx).rowsBetween(Window.unboundedPreceding, end)
-    here = {n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()}
+    """Add per-series running totals (name -> SQL text) by summing chunks first."""
+    group = f"_g{levels}" if levels else None
+    over = _group_over(keys, group, idx, inclusive)
+    here = {n: f"coalesce(sum({e}) {over}, 0)" for n, e in sums.items()}
     if levels == 0:
-        return df.withColumns(here)
+        return df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in here.items()])
     grouped = df.withColumn(group, group_of(idx, rows))
-    summary = grouped.groupBy(*keys, group).agg(*[F.sum(c).alias(f"{n}_e{levels}") for n, c in sums.items()])
-    edges = running_sum(summary, {f"{n}_o{levels}": F.col(f"{n}_e{levels}") for n in sums}, group, keys, rows, levels - 1, False)
+    summary = grouped.groupBy(*keys, group).agg(*[F.expr(f"sum({e}) AS `{n}_e{levels}`") for n, e in sums.items()])
+    edges = running_sum(summary, {f"{n}_o{levels}": f"`{n}_e{levels}`" for n in sums}, group, keys, rows, levels - 1, False)
     edges = edges.select(*keys, group, *[f"{n}_o{levels}" for n in sums])
     joined = spread_by(grouped, *keys, group).join(edges, [*keys, group])
-    return joined.withColumns({n: c + F.col(f"{n}_o{levels}") for n, c in here.items()}).drop(group, *[f"{n}_o{levels}" for n in sums])
+    return joined.selectExpr("*", *[f"{e} + `{n}_o{levels}` AS `{n}`" for n, e in here.items()]).drop(group, *[f"{n}_o{levels}" for n in sums])
 
 
 def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str] = (), rows: int | None = None, idx: str = ROW_IDX) -> DataFrame:

@@ -36,22 +36,23 @@ def impute_linear(df: DataFrame, metrics: Sequence[str], order_col, series_cols=
     A metric with no value at all in a series stays null.
     """
     indexed = ensure_index(df, order_col, series_cols)
-    at = {m: F.when(F.col(m).isNotNull(), F.col(ROW_IDX)) for m in metrics}
-    value = {m: F.col(m).cast("double") for m in metrics}
+    at = {m: f"CASE WHEN `{m}` IS NOT NULL THEN `{ROW_IDX}` END" for m in metrics}
+    value = {m: f"CAST(`{m}` AS DOUBLE)" for m in metrics}
     filled = carry(
         indexed,
         {**{f"_pi_{m}": at[m] for m in metrics}, **{f"_pv_{m}": value[m] for m in metrics}},
         {**{f"_fi_{m}": at[m] for m in metrics}, **{f"_fv_{m}": value[m] for m in metrics}},
         keys=series_key(series_cols), rows=chunk,
     )
-    return filled.withColumns({m: _between(m) for m in metrics}).drop(*[f"_{s}_{m}" for s in ("pi", "pv", "fi", "fv") for m in metrics])
+    done = {m: _between(m) for m in metrics}
+    return filled.selectExpr(*[f"{done[c]} AS `{c}`" if c in done else f"`{c}`" for c in indexed.columns])
 
 
-def _between(metric: str) -> Column:
-    pi, pv, fi, fv = (F.col(f"_{s}_{metric}") for s in ("pi", "pv", "fi", "fv"))
-    return F.when(F.col(metric).isNotNull(), F.col(metric).cast("double")).when(
-        pi.isNotNull() & fi.isNotNull(), pv + (fv - pv) / (fi - pi) * (F.col(ROW_IDX) - pi)
-    ).otherwise(F.coalesce(pv, fv))
+def _between(m: str) -> str:
+    """The value, the point on the line between its neighbours, or the only neighbour."""
+    return (f"CASE WHEN `{m}` IS NOT NULL THEN CAST(`{m}` AS DOUBLE) WHEN `_pi_{m}` IS NOT NULL AND `_fi_{m}` IS NOT NULL "
+            f"THEN `_pv_{m}` + (`_fv_{m}` - `_pv_{m}`) / (`_fi_{m}` - `_pi_{m}`) * (`{ROW_IDX}` - `_pi_{m}`) "
+            f"ELSE coalesce(`_pv_{m}`, `_fv_{m}`) END")
 
 
 def impute_forward_linear(df: DataFrame, metrics: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
@@ -62,8 +63,9 @@ def impute_forward_linear(df: DataFrame, metrics: Sequence[str], order_col, seri
 def ffill_zero(df: DataFrame, cols: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
     """Last known value, 0.0 before the first."""
     indexed = ensure_index(df, order_col, series_cols)
-    filled = carry(indexed, {f"_p_{c}": F.col(c) for c in cols}, keys=series_key(series_cols), rows=chunk)
-    return filled.withColumns({c: F.coalesce(F.col(f"_p_{c}"), F.lit(0.0)) for c in cols}).drop(*[f"_p_{c}" for c in cols])
+    filled = carry(indexed, {f"_p_{c}": f"`{c}`" for c in cols}, keys=series_key(series_cols), rows=chunk)
+    wanted = set(cols)
+    return filled.selectExpr(*[f"coalesce(`_p_{c}`, 0.0D) AS `{c}`" if c in wanted else f"`{c}`" for c in indexed.columns])
 
 
 def fill_stat_zero(x: Column) -> Column:

@@ -4,61 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.functions.scalars import cyclic, hour_of, weekday_of
 from vigilseries.operators.layout import (
-    ROW_IDX, carry, chunk_window, drop_halo, ensure_index, running_sum, series_key, with_halo,
+    ROW_IDX, carry, chunk_over, drop_halo, ensure_index, running_sum, series_key, with_halo,
 )
-from vigilseries.operators.missing import ffill_zero, fill_stat_zero
+from vigilseries.operators.missing import ffill_zero
 from vigilseries.operators.rows import drop_warmup
-from vigilseries.operators.sliding import sliding
-from vigilseries.operators.sliding import spread as std_of
+from vigilseries.operators.sliding import helpers, sliding, stats
 
 ROLLING_WINDOWS = (5, 15, 30)
 LAG_STEPS = (1, 5, 15, 30)
 
 
 def _framed(df: DataFrame, order_col, series_cols, chunk, before: int, build) -> DataFrame:
-    """Run ``build(frame, window)`` inside halo chunks."""
+    """Run ``build(frame, window text)`` inside halo chunks."""
     keys = series_key(series_cols)
     spread = with_halo(ensure_index(df, order_col, series_cols), keys, before, rows=chunk)
-    return drop_halo(build(spread, chunk_window(keys)), rows=chunk)
+    return drop_halo(build(spread, chunk_over(keys)), rows=chunk)
 
 
-def _rolled(df: DataFrame, metrics, windows, w) -> tuple[DataFrame, dict[str, Column], list[str]]:
-    """Frame with statistics columns, the named features over them, and the helpers to drop."""
-    df, at = sliding(df, metrics, windows, w)
-    out = {}
-    for m in metrics:
-        for n in windows:
-            stats = F.col(at[m, n])
-            out[f"{m}_mean_{n}"] = stats["mean"]
-            out[f"{m}_std_{n}"] = std_of(stats)
-            out[f"{m}_min_{n}"] = stats["lo"]
-            out[f"{m}_max_{n}"] = stats["hi"]
-    return df, out, list(at.values())
+def _rolling(metrics, windows) -> list[str]:
+    return stats(metrics, windows, ("mean", "std", "min", "max"), "{m}_{kind}_{w}")
 
 
-def _lags(metrics, steps, w) -> dict[str, Column]:
-    return {f"{m}_lag_{k}": F.lag(m, k).over(w) for m in metrics for k in steps}
+def _lags(metrics, steps, over: str) -> list[str]:
+    return [f"lag(`{m}`, {k}) OVER ({over}) AS `{m}_lag_{k}`" for m in metrics for k in steps]
 
 
-def _diffs(metrics, w) -> dict[str, Column]:
-    return {f"{m}_roc": fill_stat_zero(F.col(m) - F.lag(m, 1).over(w)) for m in metrics}
-
-
-def _with(df: DataFrame, added: dict[str, Column]) -> DataFrame:
-    return df.select("*", *[c.alias(n) for n, c in added.items()])
+def _diffs(metrics, over: str) -> list[str]:
+    return [f"coalesce(`{m}` - lag(`{m}`, 1) OVER ({over}), 0.0D) AS `{m}_roc`" for m in metrics]
 
 
 def rolling_stats(df: DataFrame, metrics: Sequence[str], order_col, windows: Sequence[int] = ROLLING_WINDOWS,
                   series_cols=None, chunk: int | None = None) -> DataFrame:
     """Mean, sample std (0 where undefined), min and max over the last w rows."""
-    def build(spread, w):
-        rolled, added, helpers = _rolled(spread, metrics, windows, w)
-        return _with(rolled, added).drop(*helpers)
+    def build(spread, over):
+        return sliding(spread, metrics, windows, over).selectExpr("*", *_rolling(metrics, windows)).drop(*helpers(metrics, windows))
     return _framed(df, order_col, series_cols, chunk, max(windows) - 1, build)
 
 
@@ -67,11 +51,9 @@ def rolling_mean_std(df: DataFrame, metrics: Sequence[str], order_col, window: i
     """Mean and std over the last ``window`` rows; metrics the table lacks are skipped."""
     present = [m for m in metrics if m in df.columns]
 
-    def build(spread, w):
-        rolled, at = sliding(spread, present, [window], w, extremes=False)
-        return _with(rolled, {
-            f"{m}_roll_{s}_{window}": F.col(at[m, window])["mean"] if s == "mean" else std_of(F.col(at[m, window]))
-            for m in present for s in ("mean", "std")}).drop(*at.values())
+    def build(spread, over):
+        rolled = sliding(spread, present, [window], over, extremes=False)
+        return rolled.selectExpr("*", *stats(present, [window], ("mean", "std"), "{m}_roll_{kind}_{w}")).drop(*helpers(present, [window]))
     return _framed(df, order_col, series_cols, chunk, window - 1, build)
 
 
@@ -88,14 +70,13 @@ def rolling_mean_std_valid(df: DataFrame, metrics: Sequence[str], order_col, win
     series = series_key(series_cols)
     keys = [*series, "_m"]
     long = indexed.select(*series, ROW_IDX, *present).unpivot([*series, ROW_IDX], present, "_m", "_v")
-    numbered = running_sum(long, {"_k": F.col("_v").isNotNull().cast("bigint")}, keys=keys, rows=chunk)
+    numbered = running_sum(long, {"_k": "CAST(_v IS NOT NULL AS BIGINT)"}, keys=keys, rows=chunk)
     values = with_halo(numbered.where(F.col("_v").isNotNull()).withColumn("_k", F.col("_k") - 1), keys, window - 1, rows=chunk, idx="_k")
-    rolled, at = sliding(values, ["_v"], [window], chunk_window(keys, "_k"), extremes=False)
-    stats = F.col(at["_v", window])
-    rolled = drop_halo(rolled.withColumns({"_mean": stats["mean"], "_std": std_of(stats)}), rows=chunk, idx="_k")
+    rolled = sliding(values, ["_v"], [window], chunk_over(keys, "_k"), extremes=False)
+    rolled = drop_halo(rolled.selectExpr("*", *stats(["_v"], [window], ("mean", "std"), "_{kind}")), rows=chunk, idx="_k")
     gaps = numbered.where(F.col("_v").isNull()).withColumns({c: F.lit(None).cast("double") for c in ("_mean", "_std")})
     picked = [*keys, ROW_IDX, "_mean", "_std"]
-    carried = carry(rolled.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": F.col("_mean"), "_now_std": F.col("_std")},
+    carried = carry(rolled.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": "_mean", "_now_std": "_std"},
                     keys=keys, rows=chunk)
     wide = carried.groupBy(*series, ROW_IDX).agg(*[
         F.coalesce(F.max(F.when(F.col("_m") == m, F.col(f"_now_{s}"))), F.lit(0.0)).alias(f"{m}_roll_{s}_{window}")
@@ -106,12 +87,12 @@ def rolling_mean_std_valid(df: DataFrame, metrics: Sequence[str], order_col, win
 def lag_features(df: DataFrame, metrics: Sequence[str], order_col, steps: Sequence[int] = LAG_STEPS, series_cols=None,
                  chunk: int | None = None) -> DataFrame:
     """Values k rows earlier, null at the start of a series."""
-    return _framed(df, order_col, series_cols, chunk, max(steps), lambda spread, w: _with(spread, _lags(metrics, steps, w)))
+    return _framed(df, order_col, series_cols, chunk, max(steps), lambda spread, over: spread.selectExpr("*", *_lags(metrics, steps, over)))
 
 
 def rate_of_change(df: DataFrame, metrics: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
     """Difference from the previous row, 0.0 where undefined."""
-    return _framed(df, order_col, series_cols, chunk, 1, lambda spread, w: _with(spread, _diffs(metrics, w)))
+    return _framed(df, order_col, series_cols, chunk, 1, lambda spread, over: spread.selectExpr("*", *_diffs(metrics, over)))
 
 
 def time_parts(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
@@ -140,13 +121,14 @@ def build_features(df: DataFrame, metrics: Sequence[str], order_col, drop_rows:
     """
     reach = max(max(windows) - 1, max(steps))
 
-    def build(spread, w):
-        rolled, added, helpers = _rolled(spread, metrics, windows, w)
-        return _with(rolled, {**added, **_lags(metrics, steps, w), **_diffs(metrics, w)}).drop(*helpers)
+    def build(spread, over):
+        return sliding(spread, metrics, windows, over).selectExpr(
+            "*", *_rolling(metrics, windows), *_lags(metrics, steps, over), *_diffs(metrics, over)).drop(*helpers(metrics, windows))
 
     out = drop_warmup(time_features(_framed(df, order_col, series_cols, chunk, reach, build), ts_col), drop_rows)
     fill = [*metrics, *[f"{m}_{s}_{n}" for m in metrics for n in windows for s in ("mean", "min", "max")],
             *[f"{m}_lag_{k}" for m in metrics for k in steps]]
     if dense:
-        return out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in fill})
+        filled = set(fill)
+        return out.selectExpr(*[f"coalesce(`{c}`, 0.0D) AS `{c}`" if c in filled else f"`{c}`" for c in out.columns])
     return ffill_zero(out, fill, order_col, series_cols, chunk)

@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot leaves methods above 8,000 bytecodes uncompiled; wide feature rows would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
