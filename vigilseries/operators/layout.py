@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,19 +77,20 @@ def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequ
         })
     )
     placed = materialize(placed, "indexed")
-    spans = placed.groupBy(*series, "_part").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    # One row per written partition.
-    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = F.broadcast(parts.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base")))
+    base = _part_offsets(placed)
     if not series:
-        return placed.join(parts, "_part").withColumn(
-            index_col, (F.col("_base") + F.col("_pos")).cast("bigint")).drop("_part", "_pos", "_base")
-    starts = spans.join(parts, "_part").withColumn("_at", F.col("_base") + F.col("_first"))
-    starts = starts.withColumn(SERIES_ID, F.min("_at").over(Window.partitionBy(*series)).cast("bigint"))
-    starts = starts.select(*series, "_part", SERIES_ID, "_base")
+        return placed.withColumn(index_col, base + F.col("_pos")).drop("_part", "_pos")
+    starts = placed.groupBy(*series, "_part").agg(F.min("_pos").alias("_first")).withColumn("_at", base + F.col("_first"))
+    starts = starts.select(*series, "_part", F.min("_at").over(Window.partitionBy(*series)).alias(SERIES_ID))
     return null_safe_join(placed, starts, [*series, "_part"]).withColumn(
-        index_col, (F.col("_base") + F.col("_pos") - F.col(SERIES_ID)).cast("bigint")).drop("_part", "_pos", "_base")
+        index_col, base + F.col("_pos") - F.col(SERIES_ID)).drop("_part", "_pos")
+
+
+def _part_offsets(placed: DataFrame) -> Column:
+    """Rows in all earlier partitions; one number per written partition passes through the driver."""
+    sizes = dict(placed.groupBy("_part").count().collect())
+    before = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
+    return F.element_at(F.expr(f"CAST(split('{','.join(map(str, before))}', ',') AS ARRAY<BIGINT>)"), F.col("_part") + 1)
 
 
 def ensure_index(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ from vigilseries.functions.scalars import NORMAL, round4, truncate_doc
 from vigilseries.session import materialize
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 1024
+MAX_PIVOTS = 8192
+MATRIX_CELLS = 4_000_000
 _SLACK = 1e-9
 
 
@@ -38,6 +39,14 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype("float64") if len(col) else np.zeros((0, 0))
 
 
+def _pieces(batches, columns: int):
+    """Arrow batches cut so that a distance matrix against ``columns`` vectors stays small."""
+    size = max(16, MATRIX_CELLS // max(columns, 1))
+    for pdf in batches:
+        for at in range(0, len(pdf), size):
+            yield pdf.iloc[at:at + size]
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
     return np.sqrt(np.maximum(sq, 0.0))
@@ -75,11 +84,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
         return _finish(q.sparkSession.createDataFrame([], out_schema), k, metric, payload, pay)
 
     def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["cvec"]), pivots)
-                cell = d.argmin(1)
-                yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
+        for pdf in _pieces(batches, len(pivots)):
+            d = _distances(_matrix(pdf["cvec"]), pivots)
+            cell = d.argmin(1)
+            yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
 
     celled = T.StructType([*c.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())])
     c = c.mapInPandas(assign, celled) if n_pivots > 1 else c.withColumns({"cell": F.lit(0), "far": F.lit(0.0)})
@@ -93,9 +101,7 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
 
     def visit(batches):
         used = np.flatnonzero(size)
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _pieces(batches, len(pivots)):
             d = _distances(_matrix(pdf["qvec"]), pivots)[:, used]
             upper = d + far[used]
             order = upper.argsort(1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -407,8 +407,11 @@ def sliding_sequences(spark, sf):
 
 @query
 def last_window(spark, sf):
-    """A request is one user's day; days with fewer than three steps are rejected."""
-    daily = t.events(spark, sf).groupBy("user_id", F.to_date("ts").cast("string").alias("day")).agg(
+    """A request is the newest steps (up to five) of one user's day; fewer than three are rejected."""
+    day = F.to_date("ts").cast("string")
+    newest = Window.partitionBy("user_id", "day").orderBy(F.desc("ts"), F.desc("event_id"))
+    recent = t.events(spark, sf).withColumn("day", day).withColumn("_r", F.row_number().over(newest)).where("_r <= 5")
+    daily = recent.groupBy("user_id", "day").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda e: F.array(e["value"])).alias("features"))
     out = split.last_window(daily, window=3)
     return tidy(out.select("user_id", "day", "error", F.aggregate(F.flatten("features"), F.lit(0.0), lambda s, x: s + x).alias("total")))

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -44,7 +45,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediates this process has written; call when their results are stored."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
