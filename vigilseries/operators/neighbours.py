@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,23 +20,18 @@ MATRIX_CELLS = 4_000_000
 _SLACK = 1e-9
 
 
-def unit_vector(v: Column) -> Column:
-    """``v`` scaled to length 1; a zero vector stays zero."""
-    x = v.cast("array<double>")
-    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, e: s + e * e))
-    return F.transform(x, lambda e: F.when(norm > 0, e / norm).otherwise(e))
-
-
-def _cosine_ready(v: Column, side: int) -> Column:
-    """Unit vector with two spare axes, so that a zero vector is at cosine distance 1 from all others."""
-    unit = unit_vector(v)
-    zero = ~F.exists(unit, lambda e: e != 0)
-    spare = [F.when(zero, F.lit(1.0)).otherwise(F.lit(0.0)) if i == side else F.lit(0.0) for i in (0, 1)]
-    return F.concat(unit, F.array(*spare))
-
-
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.stack(col.to_numpy()).astype("float64") if len(col) else np.zeros((0, 0))
+def _matrix(col: pd.Series, metric: str, side: int) -> np.ndarray:
+    """Vectors as rows. For cosine they get length 1 and two spare axes: a zero vector points along the axis
+    of its side, which puts it at cosine distance 1 from everything on the other side."""
+    if not len(col):
+        return np.zeros((0, 0))
+    x = np.stack(col.to_numpy()).astype("float64")
+    if metric != "cosine":
+        return x
+    norm = np.sqrt((x * x).sum(1))
+    spare = np.zeros((len(x), 2))
+    spare[norm == 0, side] = 1.0
+    return np.hstack([x / np.where(norm > 0, norm, 1.0)[:, None], spare])
 
 
 def _pieces(batches, columns: int):
@@ -64,11 +59,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
     the rest are set aside before any pairing. Ties go to the smaller id.
     """
     need = k + 1 if exclude_self else k
-    prepare = (lambda c, side: _cosine_ready(c, side)) if metric == "cosine" else (lambda c, side: c.cast("array<double>"))
     queries, corpus = queries.where(F.col(vec_col).isNotNull()), corpus.where(F.col(vec_col).isNotNull())
-    q = queries.select(F.col(id_col).alias("qid"), prepare(F.col(vec_col), 0).alias("qvec"))
+    q = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).cast("array<double>").alias("qvec"))
     pay = [f"p{i}" for i in range(len(payload))]
-    c = corpus.select(F.col(id_col).alias("cid"), prepare(F.col(vec_col), 1).alias("cvec"), *[F.col(p).alias(a) for p, a in zip(payload, pay)])
+    c = corpus.select(F.col(id_col).alias("cid"), F.col(vec_col).cast("array<double>").alias("cvec"), *[F.col(p).alias(a) for p, a in zip(payload, pay)])
     copies = Window.partitionBy("cvec").orderBy("cid")
     c = c.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= need).drop("_copy")
     c = materialize(c, "corpus")
@@ -79,13 +73,13 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
         T.StructField("distance", T.DoubleType()), *[T.StructField(a, c.schema[a].dataType) for a in pay]])
     # At most MAX_PIVOTS vectors reach the driver.
     n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n / block)))
-    pivots = _matrix(pd.Series([r["cvec"] for r in c.select("cvec", F.xxhash64("cid").alias("h")).orderBy("h", "cvec").limit(n_pivots).collect()]))
+    pivots = _matrix(pd.Series([r["cvec"] for r in c.select("cvec", F.xxhash64("cid").alias("h")).orderBy("h", "cvec").limit(n_pivots).collect()]), metric, 1)
     if n == 0:
         return _finish(q.sparkSession.createDataFrame([], out_schema), k, metric, payload, pay)
 
     def assign(batches):
         for pdf in _pieces(batches, len(pivots)):
-            d = _distances(_matrix(pdf["cvec"]), pivots)
+            d = _distances(_matrix(pdf["cvec"], metric, 1), pivots)
             cell = d.argmin(1)
             yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
 
@@ -102,7 +96,7 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
     def visit(batches):
         used = np.flatnonzero(size)
         for pdf in _pieces(batches, len(pivots)):
-            d = _distances(_matrix(pdf["qvec"]), pivots)[:, used]
+            d = _distances(_matrix(pdf["qvec"], metric, 0), pivots)[:, used]
             upper = d + far[used]
             order = upper.argsort(1)
             enough = (np.take(size[used], order).cumsum(1) >= min(need, size.sum())).argmax(1)
@@ -111,10 +105,8 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
             rows, cols = np.nonzero(lower <= bound[:, None] * (1 + _SLACK) + _SLACK)
             yield pdf.iloc[rows].assign(cell=used[cols].astype("int32"))
 
-    if n_pivots > 1:
-        visits = materialize(q.mapInPandas(visit, T.StructType([*q.schema.fields, T.StructField("cell", T.IntegerType())])), "visits")
-    else:
-        visits = q.withColumn("cell", F.lit(0))
+    seen = T.StructType([*q.schema.fields, T.StructField("cell", T.IntegerType())])
+    visits = materialize(q.mapInPandas(visit, seen) if n_pivots > 1 else q.withColumn("cell", F.lit(0)), "visits")
     visitors = np.zeros(n_pivots, int)
     for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         visitors[r["cell"]] = r["n"]
@@ -132,10 +124,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col
         if not len(qs) or not len(cs):
             return pd.DataFrame(columns=names)
         cs = cs.sort_values("cid", ignore_index=True)
-        cm, cid, parts = _matrix(cs["cvec"]), cs["cid"].to_numpy(), []
+        cm, cid, parts = _matrix(cs["cvec"], metric, 1), cs["cid"].to_numpy(), []
         for at in range(0, len(qs), 512):
             some = qs.iloc[at:at + 512]
-            qm, qid = _matrix(some["qvec"]), some["qid"].to_numpy()
+            qm, qid = _matrix(some["qvec"], metric, 0), some["qid"].to_numpy()
             rough = _distances(qm, cm)
             if exclude_self:
                 rough[qid[:, None] == cid[None, :]] = np.inf

@@ -57,8 +57,8 @@ def sliding_sequences(df: DataFrame, feature_cols: Sequence[str], label_col: str
                       chunk: int | None = None) -> DataFrame:
     """One row per window: ``features`` holds ``window`` vectors, ``label`` is the one at its end.
 
-    Windows never cross a group. As in the reference semantics the last window
-    of a group is left out unless ``include_last``.
+    Windows never cross a group. The last window of a group is left out unless
+    ``include_last``.
     """
     groups = [*series_key(series_cols), *group_cols]
     indexed = ensure_index(df, order_col, series_cols)

@@ -47,7 +47,7 @@ def run_pipeline(spark: SparkSession, telemetry: DataFrame, logs: DataFrame | No
     """Profile, clean, build features, split, scale, fit four detectors, analyse logs and rank.
 
     Imputation comes before the split, so a gap on a split border sees later
-    values, as in the reference semantics. A failing log stage is a warning.
+    values. A failing log stage is a warning.
     """
     result: dict = {}
 

@@ -12,6 +12,7 @@ from vigilseries.operators.layout import ROW_IDX, SERIES_ID, as_list, attach, in
 from vigilseries.operators.neighbours import analyze_embedded
 from vigilseries.operators.text import embed_text
 from vigilseries.operators.windows import rolling_mean_std
+from vigilseries.session import materialize
 
 
 def stream_score_windows(stream: DataFrame, out_path: str, state_path: str, checkpoint: str, metrics: Sequence[str],
@@ -52,7 +53,7 @@ def stream_analyze_logs(stream: DataFrame, out_path: str, checkpoint: str, train
     """Classify log lines as they arrive against stored vectors."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        coded = embed_text(batch, text_col, model=encoder_model)
+        coded = materialize(embed_text(batch, text_col, model=encoder_model).select(id_col, "embedding"), "batch")
         analyze_embedded(coded, train, store, label_col=label_col, id_col=id_col, top_k=top_k).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
