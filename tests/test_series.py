@@ -183,6 +183,17 @@ def test_split_and_sequences(spark):
     np.testing.assert_allclose([list(v) for v in one["features"]], x.loc[93:100, M].to_numpy())
 
 
+def test_window_summaries_match_sequences(spark):
+    df = split.chronological_split(load(spark, frame()).fillna(0.0, M).withColumn("y", (F.col("t") % 5 == 0).cast("int")), ["t"], series_cols=["s"])
+    args = (df, M, "y", ["t"], 8, False)
+    seq, short = (f(*args, series_cols=["s"], chunk=32).toPandas().sort_values(["series_id", "row_idx"], ignore_index=True)
+                  for f in (split.sliding_sequences, split.window_summaries))
+    assert seq[["series_id", "row_idx", "split", "label"]].equals(short[["series_id", "row_idx", "split", "label"]])
+    for raw, brief in zip(seq["features"], short["features"]):
+        x = np.array([list(v) for v in raw])
+        np.testing.assert_allclose(brief, [*x[-1], *x.mean(0)], atol=1e-9)
+
+
 def test_scaler_constant_column_and_persistence(spark, tmp_path):
     from vigilseries.sources import artefacts
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")

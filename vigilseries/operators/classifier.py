@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,7 +18,12 @@ ROUNDS = 4
 
 
 def window_vector(features: Column, layout: str = "flat") -> Column:
-    """A window (array of steps) as one array: all steps, or the newest step and the mean step."""
+    """A window (array of steps) as one array: all steps, or the newest step and the mean step.
+
+    ``ready`` takes the array as it is, for rows of ``window_summaries``.
+    """
+    if layout == "ready":
+        return features
     if layout == "flat":
         return F.flatten(features)
     zero = F.transform(F.element_at(features, 1), lambda x: F.lit(0.0))
@@ -62,13 +67,16 @@ def _estimator(kind: str, budget: int):
 
 def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", max_iter: int = 50, patience: int = 10,
                           tune_on: str = "val", test: DataFrame | None = None, layout: str = "flat",
-                          features_col: str = "features", label_col: str = "label") -> WindowClassifier:
+                          features_col: str = "features", label_col: str = "label", window: int = 30) -> WindowClassifier:
     """Fit with growing iteration budgets, keep the best validation F1 at 0.5, then tune the threshold.
 
     Stops after ``patience`` iterations' worth of budget without a gain.
     Positives weigh as many times more as they are rarer.
     """
-    first = train.select(F.size(features_col), F.size(F.element_at(features_col, 1))).first()
+    if layout != "ready":
+        window, n_features = train.select(F.size(features_col), F.size(F.element_at(features_col, 1))).first()
+    else:
+        n_features = train.select(F.size(features_col)).first()[0] // 2
     rows = train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)))
     weight = class_weight(train.select(F.col(label_col).alias("y")), "y").first()["pos_weight"]
     ready = materialize(rows.select(
@@ -87,7 +95,7 @@ def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", m
         spent = budget
         if since >= patience:
             break
-    fitted = WindowClassifier(best, kind, layout, window=first[0], feature_count=first[1], history=history)
+    fitted = WindowClassifier(best, kind, layout, window=window, feature_count=n_features, history=history)
     tuned = fitted.probability(test if tune_on == "test" else val, features_col)
     found = optimise_threshold(tuned, "anomaly_score", label_col).first().asDict()
     fitted.threshold = float(found["threshold"])
@@ -95,6 +103,11 @@ def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", m
     return fitted
 
 
+def for_windows(model: WindowClassifier) -> WindowClassifier:
+    """A model fitted on ``window_summaries`` rows, ready to score raw windows."""
+    return replace(model, layout="summary")
+
+
 def scale_window(features: Column, params: DataFrame) -> Column:
     """Scale every step of a window with fitted per-feature values."""
     values = scaler_values(params)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.operators.layout import (
-    ROW_IDX, attach, chunk_window, drop_halo, ensure_index, series_key, series_length, with_halo,
+    CHUNK, ROW_IDX, attach, chunk_over, chunk_window, drop_halo, ensure_index, series_key, series_length, with_halo,
 )
 
 
@@ -60,16 +60,42 @@ def sliding_sequences(df: DataFrame, feature_cols: Sequence[str], label_col: str
     Windows never cross a group. The last window of a group is left out unless
     ``include_last``.
     """
+    groups, placed = _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [F.array(*x.values()).alias("_x")])
+    frame = chunk_window(groups, "_pos").rowsBetween(-(window - 1), 0)
+    seq = with_halo(placed, groups, window - 1, rows=chunk, idx="_pos").withColumn("features", F.collect_list("_x").over(frame))
+    return _complete(seq, groups, window, include_last, chunk)
+
+
+def window_summaries(df: DataFrame, feature_cols: Sequence[str], label_col: str, order_col, window: int = 30,
+                     include_last: bool = False, group_cols: Sequence[str] = ("split",), series_cols=None,
+                     chunk: int | None = None) -> DataFrame:
+    """The windows of ``sliding_sequences`` as one vector each: the newest step, then the mean step.
+
+    Keeps 2 values per feature and row instead of ``window``. Means are
+    differences of chunk-local running sums; features must not be null.
+    """
+    groups, placed = _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [c.alias(f"_x{i}") for i, c in enumerate(x.values())])
+    spread, over, n = with_halo(placed, groups, window, rows=chunk, idx="_pos"), chunk_over(groups, "_pos"), len(feature_cols)
+    summed = spread.selectExpr("*", *[f"sum(_x{i}) OVER ({over} ROWS UNBOUNDED PRECEDING) AS _s{i}" for i in range(n)])
+    older = summed.selectExpr("*", *[f"lag(_s{i}, {window}) OVER ({over}) AS _o{i}" for i in range(n)])
+    means = [f"(_s{i} - coalesce(_o{i}, 0.0D)) / {window}" for i in range(n)]
+    ready = older.selectExpr(*groups, ROW_IDX, "_pos", "_n", "label", CHUNK, f"array({', '.join([*[f'_x{i}' for i in range(n)], *means])}) AS features")
+    return _complete(ready, groups, window, include_last, chunk)
+
+
+def _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, columns):
+    """Rows with their place ``_pos`` in their group and its size ``_n``."""
     groups = [*series_key(series_cols), *group_cols]
     indexed = ensure_index(df, order_col, series_cols)
     extent = indexed.groupBy(*groups).agg(F.min(ROW_IDX).alias("_from"), F.count(F.lit(1)).alias("_n"))
     placed = attach(indexed, extent, groups).withColumn("_pos", F.col(ROW_IDX) - F.col("_from"))
-    narrow = placed.select(*groups, ROW_IDX, "_pos", "_n", F.col(label_col).alias("label"),
-                           F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_x"))
-    frame = chunk_window(groups, "_pos").rowsBetween(-(window - 1), 0)
-    seq = with_halo(narrow, groups, window - 1, rows=chunk, idx="_pos").withColumn("features", F.collect_list("_x").over(frame))
+    return groups, placed.select(*groups, ROW_IDX, "_pos", "_n", F.col(label_col).alias("label"),
+                                 *columns({c: F.col(c).cast("double") for c in feature_cols}))
+
+
+def _complete(windows: DataFrame, groups, window: int, include_last: bool, chunk) -> DataFrame:
     last = F.col("_n") - (1 if include_last else 2)
-    return drop_halo(seq, rows=chunk, idx="_pos").where(
+    return drop_halo(windows, rows=chunk, idx="_pos").where(
         (F.col("_pos") >= window - 1) & (F.col("_pos") <= last)
     ).select(*groups, ROW_IDX, "features", "label")
 

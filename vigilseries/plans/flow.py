@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilseries.operators.classifier import fit_window_classifier
+from vigilseries.operators.classifier import fit_window_classifier, for_windows
 from vigilseries.operators.detectors import fit_isolation_forest, local_outlier_factor
 from vigilseries.operators.evaluate import binary_metrics, classification_report, leaderboard, macro_f1, stack_metrics
 from vigilseries.operators.layout import ROW_IDX, index_rows
@@ -17,7 +17,7 @@ from vigilseries.operators.missing import impute_linear, missing_profile
 from vigilseries.operators.neighbours import knn_classify
 from vigilseries.operators.profile import class_means, correlation_matrix, histogram
 from vigilseries.operators.rows import feature_columns
-from vigilseries.operators.split import apply_scaler, chronological_split, fit_scaler, sliding_sequences
+from vigilseries.operators.split import apply_scaler, chronological_split, fit_scaler, window_summaries
 from vigilseries.operators.text import embed_text, fit_encoder, stratified_split
 from vigilseries.operators.windows import build_features
 from vigilseries.session import get_session, materialize
@@ -72,16 +72,15 @@ def run_pipeline(spark: SparkSession, telemetry: DataFrame, logs: DataFrame | No
     scaled = apply_scaler(split, params)
     flat = materialize(scaled.select(ROW_IDX, "split", "is_anomaly", F.array(*features).alias("x")), "flat")
     parts = {s: flat.where(F.col("split") == s) for s in ("train", "val", "test")}
-    windows = sliding_sequences(scaled, features, "is_anomaly", order_cols, window)
-    windows = materialize(windows, "sequences")
+    windows = materialize(window_summaries(scaled, features, "is_anomaly", order_cols, window), "windows")
     seq = {s: windows.where(F.col("split") == s) for s in ("train", "val", "test")}
 
     scores: dict[str, DataFrame] = {}
     for kind in ("logreg", "gbt"):
-        model = fit_window_classifier(seq["train"], seq["val"], kind, max_iter, layout="summary")
+        model = fit_window_classifier(seq["train"], seq["val"], kind, max_iter, layout="ready", window=window)
         tested = materialize(model.transform(seq["test"]).select("label", "is_anomaly_pred", "anomaly_score"), kind)
         scores[kind] = binary_metrics(tested, "label", "is_anomaly_pred", "anomaly_score")
-        result[kind] = model
+        model = result[kind] = for_windows(model)
         if out:
             save_model(model, spark, f"{out}/models/{kind}", kind)
             for step in model.history:
