@@ -44,13 +44,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def spread_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition at the configured width.
-
-    Row windows cost far more time than their bytes suggest, so they keep the
-    configured parallelism instead of being coalesced by size. A following join
-    or window on the same keys reuses this shuffle.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    """Hash-partition once; a following join or window on the same keys reuses this shuffle."""
+    return df.repartition(*keys)
 
 
 def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None,

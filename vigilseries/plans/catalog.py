@@ -36,7 +36,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            # floor on doubles: `round` would go through a decimal for every value
+            c = F.floor(c.cast("double") * F.lit(10.0 ** digits) + F.lit(0.5)) / F.lit(10.0 ** digits)
         elif isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, TIME)
         out.append(c.alias(f.name))

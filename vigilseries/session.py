@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Row windows cost more time than their bytes suggest: let small shuffles keep all cores busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # HotSpot leaves methods above 8,000 bytecodes uncompiled; wide feature rows would run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
