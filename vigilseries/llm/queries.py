@@ -7,8 +7,10 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilseries.llm.near import near_duplicates
+from vigilseries.llm.spans import remove_repeats
 from vigilseries.llm.tokens import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +34,9 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
