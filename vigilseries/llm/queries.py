@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilseries.llm.near import near_duplicates
+from vigilseries.llm.quality import importance_sample
 from vigilseries.llm.spans import remove_repeats
 from vigilseries.llm.tokens import count_tokens
 
@@ -40,3 +41,9 @@ def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     out = remove_repeats(table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_quality_sample(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return drawn.select("doc_id", "log_weight", "noisy_weight")
