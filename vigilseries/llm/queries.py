@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilseries.llm.language import identify_languages
 from vigilseries.llm.near import near_duplicates
 from vigilseries.llm.quality import importance_sample
 from vigilseries.llm.spans import remove_repeats
@@ -47,3 +48,8 @@ def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 def op6_quality_sample(spark: SparkSession, sf: str) -> DataFrame:
     drawn = importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return drawn.select("doc_id", "log_weight", "noisy_weight")
+
+
+@query
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    return identify_languages(table(spark, sf, "documents"))
