@@ -9,10 +9,10 @@ fewer than ``LEAST`` leading values in common are no candidates.
 
 Neighbours connect nearly all of a group, but not every link joins neighbours.
 So a second step takes each region (equal first ``LEAST`` values in a tree)
-that still holds several components and looks at all its pairs across them.
-Every candidate is confirmed on the full shingle sets. A link of similarity s
-is missed only if no tree has it in one region: (1 - s**LEAST) ** TREES, 2e-5
-at 0.75, or if the signatures agree in less than ``AGREE`` of their places.
+that still holds several components and intersects all its sets across them, in
+blocks, as rows of bits. Every link is confirmed on the full shingle sets. One of
+similarity s is missed only if no tree has it in one region, a chance of
+(1 - s**LEAST) ** TREES, 2e-5 at 0.75, and no other path joins its ends.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ from vigilseries.llm.groups import fixed_bytes, whole_groups
 from vigilseries.llm.scratch import drop, store
 
 TREES, DEPTH, LEAST = 20, 6, 3
-AGREE = 0.55
 NEIGHBOURS = 4
-BLOCK = 2048
+BLOCK = 1024
+COLUMNS = 1 << 15
 BROADCAST_IDS = 1 << 21
 _EDGE = -1
 
@@ -60,7 +60,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     first = _confirm(_nearest(near), sets, percent)
     first = store(first, "links")
     grouped = components(first)
-    rest = store(_confirm(_across(forest, seen, involved, grouped, n), sets, percent), "links")
+    rest = store(_across(forest, sets, involved, grouped, percent), "links")
     same = able.join(classes, ["h1", "h2", "n_shingles"]).select("id", "rep")
     # A repeated id with several sets joins its classes, so ids link to representatives like documents do.
     repeated = same.where("id <> rep").groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("_last"))
@@ -162,8 +162,8 @@ def _nearest(near: DataFrame) -> DataFrame:
     return sides.withColumn("_r", F.row_number().over(order)).where(f"_r <= {NEIGHBOURS}").select("a", "b").distinct()
 
 
-def _across(forest: DataFrame, seen: DataFrame, involved: DataFrame, grouped: DataFrame, n: int) -> DataFrame:
-    """All pairs of one region whose components differ and whose signatures agree enough."""
+def _across(forest: DataFrame, sets: DataFrame, involved: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """Links inside one region between different components; large regions are dealt as pairs of blocks."""
     region = F.substring("label", 1, 4 * LEAST).alias("region")
     held = _small_semi(forest, involved).select("id", "tree", region)
     held = held.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -171,33 +171,58 @@ def _across(forest: DataFrame, seen: DataFrame, involved: DataFrame, grouped: Da
     mixed = held.groupBy("tree", "region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
     mixed = mixed.where("lo <> hi").select("tree", "region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = held.join(mixed, ["tree", "region"]).withColumn("block", block)
-    marks = seen.select("id", "signature").where("id IS NOT NULL AND n_shingles > 0").dropDuplicates(["id"])
-    placed = placed.join(_small_semi(marks, involved), "id")
+    placed = held.join(mixed, ["tree", "region"]).withColumn("block", block).join(sets, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.withColumn("other", other).select(
-        "tree", "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "signature")
+        "tree", "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "shingles")
     keys = ["tree", "region", "x", "y"]
-    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-
-
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, first in whole_groups(batches, ["tree", "region", "x", "y"]):
-        ids, comp, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
-        marks = fixed_bytes(table.column("signature"), np.uint32)
-        apart = table.column("x").to_numpy() != table.column("y").to_numpy()
-        found_a, found_b = [], []
-        for lo, hi in zip(first[:-1], first[1:], strict=True):
-            for i in range(lo, hi):
-                j = np.arange(i + 1, hi)
-                j = j[comp[j] != comp[i]]
-                if apart[lo]:
-                    j = j[block[j] != block[i]]
-                j = j[(marks[j] == marks[i]).mean(axis=1) >= AGREE] if len(j) else j
-                found_a.append(np.full(len(j), ids[i]))
-                found_b.append(ids[j])
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    run = _linker(percent)
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _linker(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, first in whole_groups(batches, ["tree", "region", "x", "y"]):
+            ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles").combine_chunks()]
+            found = []
+            for lo, hi in zip(first[:-1], first[1:], strict=True):
+                i, j = _linked(sets[lo:hi], comp[lo:hi], percent)
+                found.append(np.stack([ids[lo + i], ids[lo + j]]))
+            pair = np.sort(np.concatenate(found, axis=1), axis=0)
+            yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+    return run
+
+
+def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets from different components that are similar enough."""
+    size = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        both = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))], [0, 0]])
+    else:
+        both = _intersections(sets)
+    fit = (100 * both >= percent * (size[:, None] + size - both)) & (comp[:, None] != comp)
+    return np.nonzero(np.triu(fit, 1))
+
+
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from bit rows over the values that more than one set has."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[code]
+    owner, code = owner[keep], number[code[keep]]
+    both = np.zeros((len(sets), len(sets)), np.int32)
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        here = (code >= lo) & (code < lo + COLUMNS)
+        width = min(COLUMNS, int(shared.sum()) - lo)
+        bits = np.zeros((len(sets), -(-width // 64) * 64), bool)
+        bits[owner[here], code[here] - lo] = True
+        rows = np.packbits(bits, axis=1).view(np.uint64)
+        for i in range(len(sets) - 1):
+            both[i, i + 1:] += np.bitwise_count(rows[i] & rows[i + 1:]).sum(axis=1, dtype=np.int32)
+    return both
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
