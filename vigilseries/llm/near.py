@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 
 from vigilseries.llm.arrays import distinct, grams, mix, pieces, ragged, words
 from vigilseries.llm.components import components
-from vigilseries.llm.groups import fixed_bytes, whole_groups
+from vigilseries.llm.groups import fixed_bytes
+from vigilseries.llm.regions import across, confirm, small_semi
 from vigilseries.llm.scratch import drop, store
 
 TREES, DEPTH, LEAST = 20, 6, 3
 NEIGHBOURS = 4
-BLOCK = 1024
-COLUMNS = 1 << 15
-BROADCAST_IDS = 1 << 21
 _EDGE = -1
 
 
@@ -55,12 +53,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     forest = store(heads.select("id", "tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("label")), "forest")
     near = store(_neighbours(forest), "neighbours")
     involved = store(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    sets = store(_small_semi(rows.where("id IS NOT NULL"), involved).mapInArrow(_setter(n), "id bigint, shingles binary"), "sets")
+    sets = store(small_semi(rows.where("id IS NOT NULL"), involved).mapInArrow(_setter(n), "id bigint, shingles binary"), "sets")
 
-    first = _confirm(_nearest(near), sets, percent)
+    first = confirm(_nearest(near), sets, percent)
     first = store(first, "links")
     grouped = components(first)
-    rest = store(_across(forest, sets, involved, grouped, percent), "links")
+    regions = small_semi(forest, involved).select("id", F.concat(F.encode(F.col("tree").cast("string"), "utf-8"), F.substring("label", 1, 4 * LEAST)).alias("region"))
+    rest = store(across(regions, sets, grouped, percent), "links")
     same = able.join(classes, ["h1", "h2", "n_shingles"]).select("id", "rep")
     # A repeated id with several sets joins its classes, so ids link to representatives like documents do.
     repeated = same.where("id <> rep").groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("_last"))
@@ -113,11 +112,6 @@ def _setter(n: int):
     return run
 
 
-def _small_semi(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows with a listed id; the list is broadcast only after counting it."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
-
-
 def _neighbours(forest: DataFrame) -> DataFrame:
     """``(a, b, trees)``: neighbours in a sorted order that share a prefix, and in how many trees they do."""
     keys = ["tree", "label", "id"]
@@ -160,84 +154,3 @@ def _nearest(near: DataFrame) -> DataFrame:
     sides = near.select(F.col("a").alias("id"), "*").unionByName(near.select(F.col("b").alias("id"), "*"))
     order = Window.partitionBy("id").orderBy(F.desc("trees"), "a", "b")
     return sides.withColumn("_r", F.row_number().over(order)).where(f"_r <= {NEIGHBOURS}").select("a", "b").distinct()
-
-
-def _across(forest: DataFrame, sets: DataFrame, involved: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Links inside one region between different components; large regions are dealt as pairs of blocks."""
-    region = F.substring("label", 1, 4 * LEAST).alias("region")
-    held = _small_semi(forest, involved).select("id", "tree", region)
-    held = held.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = store(held, "regions")
-    mixed = held.groupBy("tree", "region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.where("lo <> hi").select("tree", "region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = held.join(mixed, ["tree", "region"]).withColumn("block", block).join(sets, "id")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.withColumn("other", other).select(
-        "tree", "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "shingles")
-    keys = ["tree", "region", "x", "y"]
-    run = _linker(percent)
-    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def _linker(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, first in whole_groups(batches, ["tree", "region", "x", "y"]):
-            ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles").combine_chunks()]
-            found = []
-            for lo, hi in zip(first[:-1], first[1:], strict=True):
-                i, j = _linked(sets[lo:hi], comp[lo:hi], percent)
-                found.append(np.stack([ids[lo + i], ids[lo + j]]))
-            pair = np.sort(np.concatenate(found, axis=1), axis=0)
-            yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
-    return run
-
-
-def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of sets from different components that are similar enough."""
-    size = np.array([len(s) for s in sets])
-    if len(sets) == 2:
-        both = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))], [0, 0]])
-    else:
-        both = _intersections(sets)
-    fit = (100 * both >= percent * (size[:, None] + size - both)) & (comp[:, None] != comp)
-    return np.nonzero(np.triu(fit, 1))
-
-
-def _intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, from bit rows over the values that more than one set has."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1
-    number = np.cumsum(shared) - 1
-    keep = shared[code]
-    owner, code = owner[keep], number[code[keep]]
-    both = np.zeros((len(sets), len(sets)), np.int32)
-    for lo in range(0, int(shared.sum()), COLUMNS):
-        here = (code >= lo) & (code < lo + COLUMNS)
-        width = min(COLUMNS, int(shared.sum()) - lo)
-        bits = np.zeros((len(sets), -(-width // 64) * 64), bool)
-        bits[owner[here], code[here] - lo] = True
-        rows = np.packbits(bits, axis=1).view(np.uint64)
-        for i in range(len(sets) - 1):
-            both[i, i + 1:] += np.bitwise_count(rows[i] & rows[i + 1:]).sum(axis=1, dtype=np.int32)
-    return both
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs similar enough on their full sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")

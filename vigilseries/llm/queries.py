@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilseries.llm.language import identify_languages
+from vigilseries.llm.lines import dedup_lines
 from vigilseries.llm.near import near_duplicates
 from vigilseries.llm.quality import importance_sample
 from vigilseries.llm.spans import remove_repeats
@@ -53,3 +54,9 @@ def op6_quality_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify_languages(table(spark, sf, "documents"))
+
+
+@query
+def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
