@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilseries.llm.contamination import find_contamination
 from vigilseries.llm.language import identify_languages
 from vigilseries.llm.lines import dedup_lines
 from vigilseries.llm.near import near_duplicates
@@ -60,3 +61,8 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
     out = dedup_lines(table(spark, sf, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op3_contamination(spark: SparkSession, sf: str) -> DataFrame:
+    return find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
