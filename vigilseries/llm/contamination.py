@@ -46,8 +46,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     parts = [_contained(texts, given.where(F.col("k") == k), k) for k in sizes]
     if not parts:
-        empty = docs.select(F.col(id_col).alias("id")).crossJoin(items.select(F.col(item_col).alias("item")).limit(0)).limit(0)
-        parts = [empty.selectExpr("id", "item", "0D AS similarity", "0 AS start", "0 AS n_words")]
+        kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
+        parts = [docs.sparkSession.createDataFrame([], f"id {kinds[0]}, item {kinds[1]}, similarity double, start int, n_words int")]
     best = reduce(DataFrame.unionByName, parts).groupBy("id", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("later"), "n_words")).alias("at"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("at.similarity").alias("similarity"),

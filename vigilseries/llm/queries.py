@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilseries.llm.chat import conversations, echo_pairs, format_preferences
 from vigilseries.llm.contamination import find_contamination
 from vigilseries.llm.language import identify_languages
 from vigilseries.llm.lines import dedup_lines
@@ -16,6 +17,7 @@ from vigilseries.llm.near import near_duplicates
 from vigilseries.llm.quality import importance_sample
 from vigilseries.llm.spans import remove_repeats
 from vigilseries.llm.tokens import count_tokens
+from vigilseries.llm.topk import integer_vectors, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +68,56 @@ def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_contamination(spark: SparkSession, sf: str) -> DataFrame:
     return find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op4_preferences(spark: SparkSession, sf: str) -> DataFrame:
+    told = conversations(table(spark, sf, "conversations"))
+    made = format_preferences(*echo_pairs(told))
+    spans = {m: F.array_join(F.transform(m, lambda s: F.concat_ws("-", s["from"].cast("string"), s["to"].cast("string"))), ",").alias(m)
+             for m in ("chosen_mask", "rejected_mask")}
+    return made.select(F.col("id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", "rejected", *spans.values(), "differs")
+
+
+ORACLES["op4_preferences"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+e AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(CASE WHEN role = 'assistant' THEN i END), 0) AS last FROM t GROUP BY conv_id),
+x AS (
+  SELECT e.*, coalesce(a.text, '') AS answer, coalesce(b.text, '') AS echo
+  FROM e LEFT JOIN t a ON a.conv_id = e.conv_id AND a.i = e.last LEFT JOIN t b ON b.conv_id = e.conv_id AND b.i = e.last - 1),
+p AS (
+  SELECT *, CASE WHEN last = 0 THEN n WHEN answer = echo THEN last ELSE last - 1 END AS k FROM x),
+s AS (
+  SELECT t.conv_id, string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY i) AS prompt
+  FROM t JOIN p ON p.conv_id = t.conv_id WHERE i <= k GROUP BY t.conv_id)
+SELECT p.conv_id, k AS n_prompt_turns, coalesce(prompt, '') AS prompt,
+       CASE WHEN k < last THEN '<|im_start|>assistant' || chr(10) || replace(answer, '<|', '< |') || '<|im_end|>' || chr(10) ELSE '' END AS chosen,
+       CASE WHEN k < last THEN '<|im_start|>assistant' || chr(10) || replace(echo, '<|', '< |') || '<|im_end|>' || chr(10) ELSE '' END AS rejected,
+       CASE WHEN k < last THEN '22-' || (22 + length(replace(answer, '<|', '< |')) + 10) ELSE '' END AS chosen_mask,
+       CASE WHEN k < last THEN '22-' || (22 + length(replace(echo, '<|', '< |')) + 10) ELSE '' END AS rejected_mask,
+       k < last AS differs
+FROM p LEFT JOIN s ON s.conv_id = p.conv_id
+"""
+
+
+@query
+def op5_top_products(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf, "embeddings"))
+    return top_k(vectors, vectors.where("id % 100 = 0"))
+
+
+ORACLES["op5_top_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
