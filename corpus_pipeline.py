@@ -1,14 +1,73 @@
-"""From raw documents to encoded training text in five stages."""
+"""From raw documents to encoded training text in five stages.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows it is given. The
+first four return the columns of ``documents``; the last returns the encoded
+documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigilseries.llm.contamination import find_contamination
+from vigilseries.llm.lines import dedup_lines
+from vigilseries.llm.near import near_duplicates
+from vigilseries.llm.pieces import encode, load_pieces
+from vigilseries.llm.quality import importance_sample
+from vigilseries.llm.regions import BROADCAST_IDS
+from vigilseries.llm.scratch import store
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is not listed; the list is broadcast only after counting it."""
+    ids = store(ids.distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the importance sample; toxic, junk and wordless documents go."""
+    return importance_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first of equal or similar lines; a document that loses all its lines stays with an empty text."""
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near-duplicates."""
+    return _without(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that contain a benchmark item."""
+    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.select("doc_id"))
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode the texts: document columns without the text, ``ids`` and ``n_pieces``."""
+    coded = encode(docs, load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    return coded.withColumn("n_pieces", F.size("ids").cast("bigint")).drop("text")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near),
+    ("benchmark decontamination", decontaminate),
+    ("SentencePiece encoding", pieces),
+]
+
+#: Hashes, draws and components of the stages cannot be stated in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """``documents`` through all stages."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` through all stages, each written once and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), "docs")
+    return STAGES[-1][1](spark, docs, sf_dir)

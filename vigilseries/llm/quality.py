@@ -43,8 +43,8 @@ class QualityModel:
     cut: float
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) pairs."""
+def features(column: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Words of each text, and (text, bucket) arrays for each kind of n-gram."""
     w = words(column, lower=True)
     owner = w.owner
     tail = spans_hash(w.data, np.maximum(w.starts, w.ends - 2), w.ends)
@@ -56,7 +56,14 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     same = together & (w.hashes[1:] == w.hashes[:-1])
     thrice = np.flatnonzero(same[1:] & same[:-1])
     kinds.append((owner[thrice], mix(np.full(len(thrice), 77, np.uint64))))
-    key = np.unique(np.concatenate([o.astype(np.int64) * BUCKETS + (v & np.uint64(BUCKETS - 1)).astype(np.int64) for o, v in kinds]))
+    return w.counts, [(o, (v & np.uint64(BUCKETS - 1)).astype(np.int64)) for o, v in kinds]
+
+
+def _distinct(kinds: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, bucket) pairs, of the wanted buckets only if given."""
+    if wanted is not None:
+        kinds = [(o[hit], v[hit]) for o, v in kinds for hit in [wanted[v]]]
+    key = np.unique(np.concatenate([o * BUCKETS + v for o, v in kinds]))
     return key // BUCKETS, key % BUCKETS
 
 
@@ -116,7 +123,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in pieces(batch.column(0), 1 << 20):
             good = batch.column(1).slice(at, len(texts)).fill_null(0).to_numpy(zero_copy_only=False) == 1
             at += len(texts)
-            owner, bucket = features(texts)
+            owner, bucket = _distinct(features(texts)[1])
             raw += np.bincount(bucket, minlength=BUCKETS).astype(np.int32)
             target += np.bincount(bucket[good[owner]], minlength=BUCKETS).astype(np.int32)
             n = [n[0] + len(texts), n[1] + int(good.sum())]
@@ -135,12 +142,14 @@ def log_weight(docs: DataFrame, model: QualityModel, text_col: str = "text", nam
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = np.zeros(BUCKETS)
         ratios[shared.value[0]] = shared.value[1]
+        wanted = ratios < 0
         for batch in batches:
             at = 0
             for texts in pieces(batch.column(where), 1 << 20):
-                owner, bucket = features(texts)
+                counts, kinds = features(texts)
+                owner, bucket = _distinct(kinds, wanted)
                 sums = np.bincount(owner, ratios[bucket], minlength=len(texts))
-                none = np.bincount(owner, minlength=len(texts)) == 0
+                none = counts == 0
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sums, mask=none)], [*part.schema.names, name])

@@ -14,6 +14,7 @@ from vigilseries.llm.contamination import find_contamination
 from vigilseries.llm.language import identify_languages
 from vigilseries.llm.lines import dedup_lines
 from vigilseries.llm.near import near_duplicates
+from vigilseries.llm.pieces import SPACE, decode, encode, load_pieces
 from vigilseries.llm.quality import importance_sample
 from vigilseries.llm.spans import remove_repeats
 from vigilseries.llm.tokens import count_tokens
@@ -121,3 +122,12 @@ s AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = encode(table(spark, sf, "documents").select("doc_id", "text"), pieces)
+    out = decode(coded, pieces)
+    same = F.col("decoded").eqNullSafe(F.coalesce(F.replace("text", F.lit(SPACE), F.lit(" ")), F.lit("")))
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", same.alias("round_trip"))
