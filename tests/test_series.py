@@ -202,3 +202,30 @@ def test_scaler_constant_column_and_persistence(spark, tmp_path):
     rows = split.apply_scaler(df, artefacts.load_scaler(spark, f"{tmp_path}/scaler")).orderBy("a").collect()
     assert [tuple(r) for r in rows] == [(-1.0, 0.0), (1.0, 0.0)]
     assert artefacts.load_scaler(spark, f"{tmp_path}/none") is None and artefacts.load_model(spark, f"{tmp_path}/none") is None
+
+
+def test_index_reuse_is_guarded(spark):
+    pdf = pd.DataFrame({"g": [i % 3 for i in range(60)], "t": range(60), "x": [float(i * i % 17) for i in range(60)]})
+    df = spark.createDataFrame(pdf)
+    by_g, one = layout.index_rows(df, ["t"], ["g"]), layout.index_rows(df, ["t"])
+    want = windows.rolling_mean_std(df, ["x"], ["t"], window=5).orderBy("t").toPandas()["x_roll_mean_5"]
+    # made for other series: numbered again
+    got = windows.rolling_mean_std(by_g, ["x"], ["t"], window=5).orderBy("t").toPandas()["x_roll_mean_5"]
+    np.testing.assert_allclose(got, want)
+    # filtered since
+    part = df.where("t % 3 <> 1")
+    want = windows.rolling_mean_std(part, ["x"], ["t"], window=5, chunk=8).orderBy("t").toPandas()["x_roll_mean_5"]
+    got = windows.rolling_mean_std(one.where("t % 3 <> 1"), ["x"], ["t"], window=5, chunk=8).orderBy("t").toPandas()["x_roll_mean_5"]
+    np.testing.assert_allclose(got, want)
+    # other order
+    assert windows.lag_features(one, ["x"], ["x", "t"], [1]).where("x_lag_1 > x").count() == 0
+    # a column of the same name that is not ours
+    with pytest.raises(ValueError, match="row_idx"):
+        windows.rolling_mean_std(df.withColumnRenamed("g", "row_idx"), ["x"], ["t"])
+
+
+def test_newest_window(spark):
+    df = spark.createDataFrame([(g, i, float(i)) for g in (1, 2) for i in range(40 if g == 1 else 10)], "g int, t int, x double")
+    rows = {r["g"]: r for r in split.newest_window(df, ["x"], ["t"], ["g"]).collect()}
+    assert [s[0] for s in rows[1]["features"]] == [float(i) for i in range(10, 40)] and rows[1]["error"] is None
+    assert rows[2]["features"] is None and "10" in rows[2]["error"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.functions.scalars import binarize_score
-from vigilseries.operators.evaluate import binary_metrics, optimise_threshold
+from vigilseries.operators.evaluate import binary_metrics, optimise_threshold, prf
 from vigilseries.operators.split import class_weight, last_window, scaler_values
 from vigilseries.session import materialize
 
@@ -65,12 +65,54 @@ def _estimator(kind: str, budget: int):
     raise ValueError(f"unknown kind {kind!r}")
 
 
+def _better(history: list[dict], patience: int) -> int:
+    """The step of the best validation F1 before ``patience`` steps passed without a gain."""
+    best = history[0]
+    for row in history[1:]:
+        if row["step"] - best["step"] > patience:
+            break
+        best = row if row["val_f1"] > best["val_f1"] else best
+    return best["step"]
+
+
+def _boosted(ready: DataFrame, max_iter: int, patience: int):
+    """Grow all trees once, score every prefix of them in one pass, and refit to the best length."""
+    full = _estimator("gbt", max_iter).fit(ready)
+    held, weights = ready.where("_val").select("_vec", "label"), full.treeWeights
+    for i, tree in enumerate(full.trees):
+        held = tree.setPredictionCol(f"_t{i}").setFeaturesCol("_vec").transform(held)
+    margin, marks = F.lit(0.0), []
+    for i, w in enumerate(weights):
+        margin = margin + F.lit(float(w)) * F.col(f"_t{i}")
+        marks.append((margin >= 0).cast("int"))
+    held = materialize(held.select("label", F.array(*marks).alias("_hits")), "prefixes").select("label", F.posexplode("_hits").alias("step", "hit"))
+    y, p = F.col("label") == 1, F.col("hit") == 1
+    counts = held.groupBy("step").agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"))
+    scored = counts.select("step", *[c.alias(f"val_{n}") for n, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()]).orderBy("step").collect()
+    history = [{**r.asDict(), "step": r["step"] + 1} for r in scored]
+    best = _better(history, patience) if history else max_iter
+    return (full if best == len(weights) else _estimator("gbt", best).fit(ready)), history
+
+
+def _regressed(ready: DataFrame, max_iter: int, patience: int):
+    """Fit with ``ROUNDS`` growing iteration budgets and keep the best."""
+    models, history = {}, []
+    for budget in sorted({max(1, max_iter * 2 ** i // 2 ** (ROUNDS - 1)) for i in range(ROUNDS)}):
+        models[budget] = _estimator("logreg", budget).fit(ready.where(~F.col("_val")))
+        checked = models[budget].transform(ready.where("_val")).select("label", vector_to_array("probability")[1].alias("s"))
+        scores = binary_metrics(checked.withColumn("p", binarize_score(F.col("s"), 0.5)), "label", "p", "s").first().asDict()
+        history.append({"step": budget, **{f"val_{k}": float(v) for k, v in scores.items()}})
+        if _better(history, patience) != budget and budget - _better(history, patience) >= patience:
+            break
+    return models[_better(history, patience)], history
+
+
 def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", max_iter: int = 50, patience: int = 10,
                           tune_on: str = "val", test: DataFrame | None = None, layout: str = "flat",
                           features_col: str = "features", label_col: str = "label", window: int = 30) -> WindowClassifier:
-    """Fit with growing iteration budgets, keep the best validation F1 at 0.5, then tune the threshold.
+    """Keep the number of iterations of the best validation F1 at 0.5, then tune the threshold.
 
-    Stops after ``patience`` iterations' worth of budget without a gain.
+    Iterations after ``patience`` of them without a gain do not count.
     Positives weigh as many times more as they are rarer.
     """
     if layout != "ready":
@@ -82,19 +124,7 @@ def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", m
     ready = materialize(rows.select(
         array_to_vector(window_vector(F.col(features_col), layout)).alias("_vec"), F.col(label_col).cast("double").alias("label"), "_val",
         F.when(F.col(label_col) == 1, F.lit(float(weight or 1.0))).otherwise(F.lit(1.0)).alias("_weight")), "windows")
-    best, best_f1, since, history, spent = None, -1.0, 0, [], 0
-    for budget in sorted({max(1, max_iter * 2 ** i // 2 ** (ROUNDS - 1)) for i in range(ROUNDS)}):
-        model = _estimator(kind, budget).fit(ready if kind == "gbt" else ready.where(~F.col("_val")))
-        checked = model.transform(ready.where("_val")).select("label", vector_to_array("probability")[1].alias("s"))
-        scores = binary_metrics(checked.withColumn("p", binarize_score(F.col("s"), 0.5)), "label", "p", "s").first().asDict()
-        history.append({"step": budget, **{f"val_{k}": float(v) for k, v in scores.items()}})
-        if scores["f1"] > best_f1:
-            best, best_f1, since = model, scores["f1"], 0
-        else:
-            since += budget - spent
-        spent = budget
-        if since >= patience:
-            break
+    best, history = (_boosted if kind == "gbt" else _regressed)(ready, max_iter, patience)
     fitted = WindowClassifier(best, kind, layout, window=window, feature_count=n_features, history=history)
     tuned = fitted.probability(test if tune_on == "test" else val, features_col)
     found = optimise_threshold(tuned, "anomaly_score", label_col).first().asDict()

@@ -23,6 +23,7 @@ CHUNK = "_chunk"
 CHUNK_ROWS = 4096
 LEVELS = 2
 BROADCAST_ROWS = 50_000
+_NOTE = "vigilseries"
 
 
 def as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -56,7 +57,8 @@ def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequ
     their partition number and place in it; offsets come from one row per
     (series, partition). Equal order values fall back to a row hash and then to
     arrival order, so copies spread over partitions too. With series columns a
-    number per series, ``series_id``, is added as well.
+    number per series, ``series_id``, is added as well. The index column carries
+    a note of its order and series, by which ``ensure_index`` knows it again.
     """
     series, order = as_list(series_cols), as_list(order_cols)
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
@@ -74,11 +76,16 @@ def index_rows(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequ
     placed = materialize(placed, "indexed")
     base = _part_offsets(placed)
     if not series:
-        return placed.withColumn(index_col, base + F.col("_pos")).drop("_part", "_pos")
+        return _noted(placed.withColumn(index_col, base + F.col("_pos")).drop("_part", "_pos"), index_col, order, series)
     starts = placed.groupBy(*series, "_part").agg(F.min("_pos").alias("_first")).withColumn("_at", base + F.col("_first"))
     starts = starts.select(*series, "_part", F.min("_at").over(Window.partitionBy(*series)).alias(SERIES_ID))
-    return null_safe_join(placed, starts, [*series, "_part"]).withColumn(
+    joined = null_safe_join(placed, starts, [*series, "_part"]).withColumn(
         index_col, base + F.col("_pos") - F.col(SERIES_ID)).drop("_part", "_pos")
+    return _noted(joined, index_col, order, series)
+
+
+def _noted(df: DataFrame, index_col: str, order: Sequence[str], series: Sequence[str]) -> DataFrame:
+    return df.withMetadata(index_col, {_NOTE: {"order": list(order), "series": list(series)}})
 
 
 def _part_offsets(placed: DataFrame) -> Column:
@@ -88,9 +95,29 @@ def _part_offsets(placed: DataFrame) -> Column:
     return F.element_at(F.expr(f"CAST(split('{','.join(map(str, before))}', ',') AS ARRAY<BIGINT>)"), F.col("_part") + 1)
 
 
-def ensure_index(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None) -> DataFrame:
-    """Reuse ``row_idx`` when the frame already has it (made with the same series), else compute it."""
-    return df if ROW_IDX in df.columns else index_rows(df, order_cols, series_cols)
+def ensure_index(df: DataFrame, order_cols: str | Sequence[str], series_cols: Sequence[str] | None = None,
+                 dense: bool = True) -> DataFrame:
+    """Reuse ``row_idx`` if it can be trusted, else compute it.
+
+    It must have been made by ``index_rows`` for the same order and series, and
+    with ``dense`` every series must still hold the places 0..n-1 (one small
+    aggregate over the index); a frame filtered since is numbered again. A column
+    ``row_idx`` of other origin is an error, for it would be overwritten.
+    """
+    if ROW_IDX not in df.columns:
+        return index_rows(df, order_cols, series_cols)
+    note = df.schema[ROW_IDX].metadata.get(_NOTE)
+    if note is None:
+        raise ValueError(f"{ROW_IDX} was not made by index_rows; rename the column")
+    fits = note == {"order": as_list(order_cols), "series": as_list(series_cols)} and (SERIES_ID in df.columns) == bool(as_list(series_cols))
+    if fits and (not dense or _is_dense(df, series_key(series_cols))):
+        return df
+    return index_rows(df.drop(ROW_IDX, SERIES_ID), order_cols, series_cols)
+
+
+def _is_dense(df: DataFrame, keys: Sequence[str]) -> bool:
+    each = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(ROW_IDX).alias("lo"), F.max(ROW_IDX).alias("hi"))
+    return each.where("lo <> 0 OR hi <> n - 1").isEmpty()
 
 
 def group_of(idx: str, rows: int | None) -> Column:

@@ -62,7 +62,7 @@ def impute_forward_linear(df: DataFrame, metrics: Sequence[str], order_col, seri
 
 def ffill_zero(df: DataFrame, cols: Sequence[str], order_col, series_cols=None, chunk: int | None = None) -> DataFrame:
     """Last known value, 0.0 before the first."""
-    indexed = ensure_index(df, order_col, series_cols)
+    indexed = ensure_index(df, order_col, series_cols, dense=False)
     filled = carry(indexed, {f"_p_{c}": f"`{c}`" for c in cols}, keys=series_key(series_cols), rows=chunk)
     wanted = set(cols)
     return filled.selectExpr(*[f"coalesce(`_p_{c}`, 0.0D) AS `{c}`" if c in wanted else f"`{c}`" for c in indexed.columns])

@@ -191,7 +191,7 @@ def knn_anomaly_prob(queries: DataFrame, corpus: DataFrame, vec_col: str, label_
 def analyze_embedded(queries: DataFrame, train: DataFrame, store: DataFrame, vec_col: str = "embedding",
                      label_col: str = "category", id_col: str = "id", document_col: str = "document",
                      metadata_col: str | None = "metadata", k: int = 7, top_k: int = 3) -> DataFrame:
-    """One row per query: category, confidence and the ``similar_logs`` array.
+    """One row per query id: category, confidence and the ``similar_logs`` array; all null for a line without a vector.
 
     Votes come from the train split, similar logs from the whole store.
     """
@@ -201,6 +201,7 @@ def analyze_embedded(queries: DataFrame, train: DataFrame, store: DataFrame, vec
     entry = F.struct("rank", truncate_doc(F.col(document_col)).alias("document"),
                      *([F.col(metadata_col).alias("metadata")] if metadata_col else []), "similarity")
     listed = near.groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e.dropFields("rank")).alias("similar_logs"))
-    return classes.join(listed, "qid").select(
+    every = queries.select(F.col(id_col).alias("qid")).distinct()
+    return every.join(classes, "qid", "left").join(listed, "qid", "left").select(
         F.col("qid").alias(id_col), F.col("label").alias("predicted_category"), round4(F.col("confidence")).alias("confidence"),
         "p_anomaly", "similar_logs")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilseries.operators.layout import (
@@ -100,11 +100,25 @@ def _complete(windows: DataFrame, groups, window: int, include_last: bool, chunk
     ).select(*groups, ROW_IDX, "features", "label")
 
 
+def newest_window(df: DataFrame, feature_cols: Sequence[str], order_cols: Sequence[str], series_cols: Sequence[str],
+                  window: int = 30) -> DataFrame:
+    """The newest ``window`` rows of each series as one request: series, ``features``, ``error``.
+
+    Rows beyond the window are dropped before the shuffle, so a series holding
+    most of the table sends no more than the others.
+    """
+    newest = Window.partitionBy(*series_cols).orderBy(*[F.desc(c) for c in order_cols])
+    recent = df.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= window)
+    step = F.struct((-F.col("_r")).alias("r"), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("x"))
+    told = recent.groupBy(*series_cols).agg(F.transform(F.array_sort(F.collect_list(step)), lambda e: e["x"]).alias("features"))
+    return last_window(told, "features", window)
+
+
 def last_window(df: DataFrame, features_col: str = "features", window: int = 30) -> DataFrame:
     """Keep the newest ``window`` steps; a shorter request gets an ``error`` and null features."""
     n = F.coalesce(F.size(features_col), F.lit(0))
     ok = n >= window
     return df.withColumns({
         features_col: F.when(ok, F.slice(features_col, -window, window)),
-        "error": F.when(~ok, F.concat(F.lit(f"Expected at least {window} timesteps, got "), n.cast("string"))),
+        "error": F.when(~ok, F.concat(F.lit(f"window needs {window} steps, request has "), n.cast("string"))),
     })

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigilseries.functions.scalars import cyclic, hour_of, weekday_of
 from vigilseries.operators.layout import (
-    ROW_IDX, carry, chunk_over, drop_halo, ensure_index, running_sum, series_key, with_halo,
+    CHUNK, ROW_IDX, chunk_over, drop_halo, ensure_index, group_of, series_key, with_halo,
 )
 from vigilseries.operators.missing import ffill_zero
 from vigilseries.operators.rows import drop_warmup
 from vigilseries.operators.sliding import helpers, sliding, stats
+from vigilseries.session import materialize
 
 ROLLING_WINDOWS = (5, 15, 30)
 LAG_STEPS = (1, 5, 15, 30)
@@ -61,27 +65,87 @@ def rolling_mean_std_valid(df: DataFrame, metrics: Sequence[str], order_col, win
                            chunk: int | None = None) -> DataFrame:
     """Mean and std over the last ``window`` values present.
 
-    Missing rows use no slot and repeat the current statistics; before the
-    first value both are 0.0. Works in long form so each metric counts its own
-    values: number them, roll over them, then carry the result to the gaps.
+    Missing rows (null or NaN) use no slot and repeat the current statistics;
+    before the first value both are 0.0. A chunk needs only the last ``window``
+    values before it: each chunk gives its own last values, these are passed
+    along the chunks (in two levels), and every chunk is then worked through as
+    arrays. The rows are shuffled twice: once for the summary, once to meet it.
     """
     present = [m for m in metrics if m in df.columns]
     indexed = ensure_index(df, order_col, series_cols)
-    series = series_key(series_cols)
-    keys = [*series, "_m"]
-    long = indexed.select(*series, ROW_IDX, *present).unpivot([*series, ROW_IDX], present, "_m", "_v")
-    numbered = running_sum(long, {"_k": "CAST(_v IS NOT NULL AS BIGINT)"}, keys=keys, rows=chunk)
-    values = with_halo(numbered.where(F.col("_v").isNotNull()).withColumn("_k", F.col("_k") - 1), keys, window - 1, rows=chunk, idx="_k")
-    rolled = sliding(values, ["_v"], [window], chunk_over(keys, "_k"), extremes=False)
-    rolled = drop_halo(rolled.selectExpr("*", *stats(["_v"], [window], ("mean", "std"), "_{kind}")), rows=chunk, idx="_k")
-    gaps = numbered.where(F.col("_v").isNull()).withColumns({c: F.lit(None).cast("double") for c in ("_mean", "_std")})
-    picked = [*keys, ROW_IDX, "_mean", "_std"]
-    carried = carry(rolled.select(*picked).unionByName(gaps.select(*picked)), {"_now_mean": "_mean", "_now_std": "_std"},
-                    keys=keys, rows=chunk)
-    wide = carried.groupBy(*series, ROW_IDX).agg(*[
-        F.coalesce(F.max(F.when(F.col("_m") == m, F.col(f"_now_{s}"))), F.lit(0.0)).alias(f"{m}_roll_{s}_{window}")
-        for m in present for s in ("mean", "std")])
-    return indexed.join(wide, [*series, ROW_IDX])
+    keys = series_key(series_cols)
+    placed = indexed.withColumn(CHUNK, group_of(ROW_IDX, chunk))
+    tails = placed.groupBy(*keys, CHUNK).agg(*[_last_values(m, window).alias(m) for m in present])
+    before = values_before(materialize(tails, "tails"), present, window, CHUNK, keys, chunk)
+    names = [f"{m}_roll_{s}_{window}" for m in present for s in ("mean", "std")]
+    schema = T.StructType([*indexed.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    columns = indexed.columns
+
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        rows = rows.sort_by(ROW_IDX)
+        out = {}
+        for m in present:
+            values = rows.column(m).cast(pa.float64()).to_numpy()
+            known = held.column(m)[0].as_py() if held.num_rows else None
+            out[m] = rolled_valid(values, np.array(known or [], float), window)
+        added = [pa.array(out[m][k]) for m in present for k in (0, 1)]
+        return pa.Table.from_arrays([*[rows.column(c) for c in columns], *added], schema=pa.schema([*[rows.schema.field(c) for c in columns], *[pa.field(n, pa.float64()) for n in names]]))
+
+    spread = [*keys, CHUNK]
+    return placed.groupBy(*spread).cogroup(before.groupBy(*spread)).applyInArrow(run, schema)
+
+
+def _last_values(m: str, window: int):
+    """The last values present of a chunk, in row order."""
+    there = F.col(m).isNotNull() & ~F.isnan(F.col(m).cast("double"))
+    each = F.array_sort(F.collect_list(F.when(there, F.struct(F.col(ROW_IDX).alias("i"), F.col(m).cast("double").alias("v")))))
+    return F.reverse(F.slice(F.reverse(F.transform(each, lambda e: e["v"])), 1, window))
+
+
+def values_before(tails: DataFrame, metrics: Sequence[str], window: int, idx: str, keys: Sequence[str], rows: int | None,
+                  levels: int = 1) -> DataFrame:
+    """For each summary row, per metric the last ``window`` values of all rows before it in its series."""
+    group = "_above"
+    if levels:
+        grouped = tails.withColumn(group, group_of(idx, rows))
+        joined = [F.reverse(F.slice(F.reverse(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(m).alias("v")))), lambda e: e["v"]))), 1, window)).alias(m)
+                  for m in metrics]
+        above = values_before(grouped.groupBy(*keys, group).agg(*joined), metrics, window, group, keys, rows, levels - 1)
+    else:
+        grouped = tails.withColumn(group, F.lit(0).cast("bigint"))
+        above = grouped.groupBy(*keys, group).agg(*[F.array().cast("array<double>").alias(m) for m in metrics])
+    kind = grouped.schema[idx].dataType
+    fields = [*[grouped.schema[k] for k in keys], T.StructField(idx, kind), *[T.StructField(m, T.ArrayType(T.DoubleType())) for m in metrics]]
+
+    def run(own: pa.Table, start: pa.Table) -> pa.Table:
+        own = own.sort_by(idx)
+        out = {k: own.column(k).to_pylist() for k in [*keys, idx]}
+        for m in metrics:
+            state, lists = list(start.column(m)[0].as_py() or []) if start.num_rows else [], []
+            for values in own.column(m).to_pylist():
+                lists.append(state)
+                state = [*state, *(values or [])][-window:]
+            out[m] = lists
+        return pa.table({k: pa.array(v, pa.list_(pa.float64())) if k in metrics else pa.array(v) for k, v in out.items()})
+
+    spread = [*keys, group]
+    return grouped.groupBy(*spread).cogroup(above.groupBy(*spread)).applyInArrow(run, T.StructType(fields))
+
+
+def rolled_valid(values: np.ndarray, before: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and std (ddof 1, 0.0 where undefined) over the last values present, given those before."""
+    there = ~np.isnan(values)
+    known = np.concatenate([np.full(window, np.nan), before, values[there]])
+    frames = np.lib.stride_tricks.sliding_window_view(known, window)[1:]
+    n = (~np.isnan(frames)).sum(axis=1)
+    mean = np.nansum(frames, axis=1) / np.maximum(n, 1)
+    spread = np.where(np.isnan(frames), 0.0, frames - mean[:, None])
+    std = np.sqrt((spread * spread).sum(axis=1) / np.maximum(n - 1, 1))
+    at = np.cumsum(there) + len(before) - 1
+    if not len(mean):
+        return np.zeros(len(values)), np.zeros(len(values))
+    found, at = at >= 0, np.maximum(at, 0)
+    return np.where(found, mean[at], 0.0), np.where(found & (n[at] > 1), std[at], 0.0)
 
 
 def lag_features(df: DataFrame, metrics: Sequence[str], order_col, steps: Sequence[int] = LAG_STEPS, series_cols=None,

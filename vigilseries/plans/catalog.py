@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,9 +116,9 @@ def _windows(spark, sf):
     return materialize(split.sliding_sequences(scaled, METRICS, "is_anomaly", t.ORDER), "sequences")
 
 
-def _fitted(spark, sf, kind="logreg", max_iter=8):
+def _fitted(spark, sf, kind="logreg"):
     seq = _windows(spark, sf)
-    model = classifier.fit_window_classifier(seq.where("split = 'train'"), seq.where("split = 'val'"), kind, max_iter, layout="summary")
+    model = classifier.fit_window_classifier(seq.where("split = 'train'"), seq.where("split = 'val'"), kind)
     return model, seq.where("split = 'test'")
 
 
@@ -408,14 +408,9 @@ def sliding_sequences(spark, sf):
 
 @query
 def last_window(spark, sf):
-    """A request is the newest steps (up to five) of one user's day; fewer than three are rejected."""
-    day = F.to_date("ts").cast("string")
-    newest = Window.partitionBy("user_id", "day").orderBy(F.desc("ts"), F.desc("event_id"))
-    recent = t.events(spark, sf).withColumn("day", day).withColumn("_r", F.row_number().over(newest)).where("_r <= 5")
-    daily = recent.groupBy("user_id", "day").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda e: F.array(e["value"])).alias("features"))
-    out = split.last_window(daily, window=3)
-    return tidy(out.select("user_id", "day", "error", F.aggregate(F.flatten("features"), F.lit(0.0), lambda s, x: s + x).alias("total")))
+    """The newest 30 steps of each user; users with fewer are rejected."""
+    out = split.newest_window(t.events(spark, sf), ["value"], ["ts", "event_id"], USER)
+    return tidy(out.select("user_id", "error", F.aggregate(F.flatten("features"), F.lit(0.0), lambda s, x: s + x).alias("total")))
 
 
 @query
@@ -517,7 +512,7 @@ def local_outlier_factor_telemetry(spark, sf):
 
 @query
 def window_classifier(spark, sf):
-    model, test = _fitted(spark, sf, "gbt", 8)
+    model, test = _fitted(spark, sf, "gbt")
     return tidy(model.transform(test).select(ROW_IDX, "label", "anomaly_score", "is_anomaly_pred", "threshold"))
 
 
@@ -582,7 +577,7 @@ def analyze_logs(spark, sf):
 
 
 @query
-def log_flow(spark, sf):
+def log_pipeline(spark, sf):
     return tidy(run_log_pipeline(t.labelled_text(spark, sf))["report"])
 
 
@@ -621,8 +616,8 @@ def stream_analyze_logs_(spark, sf):
 
 
 @query
-def run_flow(spark, sf):
-    result = run_pipeline(spark, t.telemetry(spark, sf), t.labelled_text(spark, sf), skip_profile=True, max_iter=8, order_cols=t.ORDER)
+def run_pipeline_(spark, sf):
+    result = run_pipeline(spark, t.telemetry(spark, sf), t.labelled_text(spark, sf), order_cols=t.ORDER)
     return tidy(result["leaderboard"].withColumnRenamed("ROC-AUC", "ROC_AUC"))
 
 

@@ -15,7 +15,9 @@ from vigilseries.operators.evaluate import binary_metrics, classification_report
 from vigilseries.operators.layout import ROW_IDX, index_rows
 from vigilseries.operators.missing import impute_linear, missing_profile
 from vigilseries.operators.neighbours import knn_classify
-from vigilseries.operators.profile import class_means, correlation_matrix, histogram
+from vigilseries.operators.profile import (
+    anomaly_day_hour_pivot, anomaly_type_counts, class_means, correlation_matrix, histogram, kde, table_summary,
+)
 from vigilseries.operators.rows import feature_columns
 from vigilseries.operators.split import apply_scaler, chronological_split, fit_scaler, window_summaries
 from vigilseries.operators.text import embed_text, fit_encoder, stratified_split
@@ -47,7 +49,8 @@ def run_pipeline(spark: SparkSession, telemetry: DataFrame, logs: DataFrame | No
     """Profile, clean, build features, split, scale, fit four detectors, analyse logs and rank.
 
     Imputation comes before the split, so a gap on a split border sees later
-    values. A failing log stage is a warning.
+    values. A failing log stage is a warning, and the result holds it as
+    ``log_error``. Profile tables are computed and stored with the rest.
     """
     result: dict = {}
 
@@ -59,9 +62,11 @@ def run_pipeline(spark: SparkSession, telemetry: DataFrame, logs: DataFrame | No
 
     raw = index_rows(telemetry, list(order_cols))
     if not skip_profile:
-        result["profile"] = {
-            "missing": missing_profile(raw, metrics), "means": class_means(raw, metrics),
-            "histogram": histogram(raw, metrics), "correlation": correlation_matrix(raw, metrics)}
+        pages = {
+            "summary": table_summary(raw), "missing": missing_profile(raw, metrics), "means": class_means(raw, metrics),
+            "histogram": histogram(raw, metrics), "density": kde(raw, metrics), "correlation": correlation_matrix(raw, metrics),
+            "anomaly_types": anomaly_type_counts(raw), "day_hour": anomaly_day_hour_pivot(raw)}
+        result["profile"] = {name: keep(page, f"profile_{name}") for name, page in pages.items()}
     cleaned = keep(impute_linear(raw, metrics, order_cols), "telemetry_clean")
     built = build_features(cleaned, metrics, order_cols, dense=True)
     features = feature_columns(built, ("timestamp", "is_anomaly", "anomaly_type", ROW_IDX, *order_cols, *[c for c in cleaned.columns if c not in metrics]))
@@ -94,7 +99,8 @@ def run_pipeline(spark: SparkSession, telemetry: DataFrame, logs: DataFrame | No
     if logs is not None:
         try:
             result["logs"] = run_log_pipeline(logs, seed=seed, out=out)
-        except Exception:
+        except Exception as error:
+            result["log_error"] = error
             log.warning("log analysis failed", exc_info=True)
     result["leaderboard"] = leaderboard(stack_metrics(scores))
     if out:

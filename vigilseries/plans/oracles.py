@@ -223,10 +223,10 @@ ORACLES["sliding_sequences"] = f"""WITH {SPLIT}, s AS (SELECT row_idx, split, is
   sum(latency_ms + packet_loss_pct) {_w30} AS total FROM split)
 SELECT {i('row_idx', 'row_idx')}, split, {i('is_anomaly', 'label')}, {i('30', 'steps')}, {r('first_x', 'first_x')}, {r('last_y', 'last_y')}, {r('total', 'total')}
 FROM s WHERE pos >= 29 AND pos <= n - 2"""
-ORACLES["last_window"] = f"""WITH d AS (SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, value,
-  row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events)
-SELECT user_id, day, CASE WHEN count(*) < 3 THEN 'Expected at least 3 timesteps, got ' || count(*) END AS error,
-  {r('CASE WHEN count(*) >= 3 THEN sum(CASE WHEN rn <= 3 THEN value END) END', 'total')} FROM d GROUP BY user_id, day"""
+ORACLES["last_window"] = f"""WITH d AS (SELECT user_id, value,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id, CASE WHEN count(*) < 30 THEN 'window needs 30 steps, request has ' || count(*) END AS error,
+  {r('CASE WHEN count(*) >= 30 THEN sum(CASE WHEN rn <= 30 THEN value END) END', 'total')} FROM d GROUP BY user_id"""
 
 
 def _decomposed(period: int, part: str, idx: str, value: str = "value") -> str:

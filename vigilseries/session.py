@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigilseries.shipping import ship
+
 _written: list[str] = []
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,7 +28,9 @@ def get_session(app: str = "vigilseries", **settings) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**_SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -38,7 +42,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="vigilseries-")
     spark.conf.set("spark.checkpoint.dir", root)
