@@ -1,9 +1,10 @@
 """SentencePiece encoding over a relational lattice, and decoding.
 
 Texts fall into units that no piece crosses: a run of letters and signs with the
-spaces before it. Every different unit of the corpus is encoded once: its
-substrings up to the longest piece are exploded and joined to the piece table,
-the edges found are grouped by unit, and a higher-order ``aggregate`` folds them.
+spaces before it. The ``DICTIONARY`` most frequent units of the corpus are encoded
+once: their substrings up to the longest piece are exploded and joined to the
+piece table, the edges found are grouped by unit, and a higher-order
+``aggregate`` folds them.
 For unigram models the fold is Viterbi's. A BPE model's best-scoring path is not
 its encoding, so there the edges are folded in merge order: an edge is taken if
 exactly two neighbouring symbols make it up. One pass suffices, because the
@@ -11,8 +12,9 @@ parts of a piece were learned before it. That does not hold for pieces that shar
 a score (runs of spaces); units with those, and units of more than ``LONG_UNIT``
 characters, are folded in place instead of by ``aggregate``.
 
-The ``DICTIONARY`` most frequent units are shipped to the tasks that encode the
-documents. The units beyond are joined to their documents by (document, unit).
+The dictionary is shipped to the tasks that encode the documents. A task encodes
+the units beyond it (a few in a hundred) by the same edges, folded in place:
+sending every rare unit to a table and back would move more than the documents.
 """
 
 from __future__ import annotations
@@ -30,13 +32,13 @@ from pyspark.sql import types as T
 
 from vigilseries.llm.arrays import cuts, flat, spans_hash
 from vigilseries.llm.quality import kth_largest
-from vigilseries.llm.scratch import store
+from vigilseries.llm.scratch import drop, store
 
 SPACE = "▁"
-DICTIONARY = 1 << 22
+DICTIONARY = 1 << 20
+CACHE = 1 << 17
 LONG_UNIT = 128
 UNITS_A_TASK = 50_000
-BROADCAST_ROWS = 1 << 20
 UNKNOWN_COST = 10.0
 
 
@@ -204,31 +206,15 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     Null and empty texts get an empty list. Rows may repeat ids or have none.
     ``docs`` must not have a column ``ids``.
     """
-    spark = docs.sparkSession
     each = docs.select(F.explode(units(F.col(text_col), pieces)).alias("unit"))
-    seen = store(each.groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "units")
-    coded = store(encode_units(seen, pieces), "coded")
     # Equal counts are told apart by a hash, so that the dictionary stays within its bound.
     weight = F.col("n") + (F.xxhash64("unit").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)))
-    ranked = seen.select("unit", weight.alias("w"))
-    all_in = seen.count() <= DICTIONARY
-    if not all_in:
-        least = kth_largest(store(ranked.select("w"), "weights"), "w", DICTIONARY)
-        frequent = coded.join(ranked.where(F.col("w") >= F.lit(float(least))).select("unit"), "unit")
-    else:
-        frequent = coded
-    shared = spark.sparkContext.broadcast(_packed(frequent))
-    key = F.xxhash64(text_col)
-    if all_in:
-        rows = docs.withColumns({"_units": units(F.col(text_col), pieces), "_rest": F.array().cast("array<struct<unit:string,ids:array<int>>>")})
-    else:
-        marked = docs.select(key.alias("key"), units(F.col(text_col), pieces).alias("units")).dropDuplicates(["key"])
-        rare = marked.mapInArrow(_outside(shared), "key bigint, unit string")
-        rest = rare.join(coded, "unit").groupBy("key").agg(F.collect_list(F.struct("unit", "ids")).alias("_rest"))
-        rest = store(rest, "rest").withColumnRenamed("key", "_key")
-        held = rest.agg(F.sum(F.size("_rest"))).first()[0] or 0
-        rows = docs.withColumns({"_units": units(F.col(text_col), pieces), "_key": key})
-        rows = rows.join(F.broadcast(rest) if held <= BROADCAST_ROWS else rest, "_key", "left").select(*docs.columns, "_units", "_rest")
+    seen = store(each.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).select("unit", weight.alias("w")), "units")
+    least = kth_largest(seen, "w", DICTIONARY)
+    frequent = store(seen.where(F.col("w") >= F.lit(float(least))).select("unit"), "frequent")
+    shared = docs.sparkSession.sparkContext.broadcast((*_packed(encode_units(frequent, pieces)), pieces))
+    drop(seen, frequent)
+    rows = docs.select("*", units(F.col(text_col), pieces).alias("_units"))
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(_assembler(shared, len(docs.columns)), schema)
 
@@ -276,51 +262,57 @@ def _list(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return column.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
 
 
-def _outside(shared):
-    """Each text's units that are not in the dictionary."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = shared.value[0]
-        for batch in batches:
-            values, offsets = _list(batch.column(1))
-            hashed = _unit_keys(values)
-            at = np.flatnonzero(_find(keys, hashed) < 0)
-            owner = np.searchsorted(offsets, at, side="right") - 1
-            _, new = np.unique(np.stack([owner.astype(np.uint64), hashed[at]]), axis=1, return_index=True) if len(at) else (None, np.zeros(0, int))
-            yield pa.record_batch([batch.column(0).take(pa.array(owner[new])), values.take(pa.array(at[new]))], ["key", "unit"])
-    return run
-
-
 def _assembler(shared, n_columns: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, first, table = shared.value
+        keys, first, table, pieces = shared.value
+        beyond = _Beyond(pieces)
         for batch in batches:
             for lo, hi in _row_cuts(batch.column(n_columns)):
                 part = batch.slice(lo, hi - lo)
                 values, offsets = _list(part.column(n_columns))
-                hashed = _unit_keys(values)
-                place = _find(keys, hashed)
+                place = _find(keys, _unit_keys(values))
                 begin, size, pool = _looked_up(place, first, table)
-                lost = np.flatnonzero(place < 0)
-                if len(lost):
-                    rest = {}
-                    owner = np.searchsorted(offsets, lost, side="right") - 1
-                    extra, at = [pool], len(pool)
-                    given = part.column(n_columns + 1).to_pylist()
-                    for i, unit, row in zip(lost, values.take(pa.array(lost)).to_pylist(), owner, strict=True):
-                        if row not in rest:
-                            rest[row] = {u["unit"]: u["ids"] for u in given[row] or ()}
-                        ids = np.array(rest[row][unit], np.int32)
-                        begin[i], size[i] = at, len(ids)
-                        extra.append(ids)
-                        at += len(ids)
-                    pool = np.concatenate(extra)
+                rare = np.flatnonzero(place < 0)
+                if len(rare):
+                    made = [beyond.ids(u) for u in values.take(pa.array(rare)).to_pylist()]
+                    size[rare] = [len(x) for x in made]
+                    begin[rare] = len(pool) + np.concatenate([[0], np.cumsum(size[rare])[:-1]])
+                    pool = np.concatenate([pool, *made])
                 ends = np.concatenate([[0], np.cumsum(size)])
                 index = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)
-                made = pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(pool[index], pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:n_columns], made], [*part.schema.names[:n_columns], "ids"])
+                ids = pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(pool[index], pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_columns], ids], [*part.schema.names[:n_columns], "ids"])
     return run
 
 
+class _Beyond:
+    """Units outside the dictionary: their edges from the piece table, folded in place."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.table, self.cache = pieces, {p: (i, s) for p, i, s in pieces.rows}, {}
+        self.least, self.longest = min((s for _, _, s in pieces.rows), default=0.0) - UNKNOWN_COST, pieces.longest
+
+    def ids(self, unit: str) -> np.ndarray:
+        found = self.cache.get(unit)
+        if found is None:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            folded = _fold_long(unit, self.edges(unit), self.pieces.bpe, self.least, self.pieces.byte_ids, self.pieces.unknown_id)
+            found = self.cache[unit] = np.array(folded, np.int32)
+        return found
+
+    def edges(self, unit: str) -> list[dict]:
+        out, n, longest = [], len(unit), self.longest
+        for lo in range(n):
+            for hi in range(lo + 1, min(n, lo + longest) + 1):
+                piece = self.table.get(unit[lo:hi])
+                if piece or hi == lo + 1:
+                    i, s = piece or (None, None)
+                    out.append({"rank": -s if piece else float("inf"), "lo": lo, "hi": hi, "score": s, "id": i})
+        out.sort(key=(lambda e: (e["rank"], e["lo"], e["hi"])) if self.pieces.bpe else (lambda e: (e["hi"], e["lo"])))
+        return out
+
+
 def _row_cuts(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Runs of rows with about ``limit`` units."""
     offsets, lo = column.offsets.to_numpy(), 0
