@@ -3,10 +3,12 @@
 A line is trimmed text between line feeds; blank lines are none. Lines that are
 equal are one from the start. Every different line gets ``BANDS`` keys of
 ``ROWS`` MinHash values over its ``SHINGLE``-character shingles (a shorter line
-is one shingle). Neighbours under one key are confirmed on the whole shingle
+is one shingle). The values come from one hash of each shingle: it falls into one
+of ``BANDS * ROWS`` bins, the smallest in a bin is the value, and an empty bin
+takes that of the next full one. Neighbours under one key are confirmed on the whole shingle
 sets and joined to components; keys that still hold several components have all
 their sets intersected. A link of similarity s is missed only if no band has it,
-a chance of (1 - s**ROWS) ** BANDS: 5e-4 at 0.75, 2e-5 at 0.8, and no other path
+a chance of (1 - s**ROWS) ** BANDS: 2e-4 at 0.75, 1e-5 at 0.8, and no other path
 joins its ends. The first line of a component stays, by id and line number.
 """
 
@@ -20,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilseries.llm.arrays import distinct, flat, mix, pieces, ragged
+from vigilseries.llm.arrays import distinct, flat, mix, pieces
 from vigilseries.llm.components import components
 from vigilseries.llm.regions import across, confirm, small_semi
 from vigilseries.llm.scratch import drop, store
 
 SHINGLE = 10
-BANDS, ROWS = 14, 3
+BANDS, ROWS = 16, 3
 KEY_BITS = 48
 
 
@@ -38,11 +40,11 @@ def line_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     met = store(keyed.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_neighbours, "key bigint, a bigint, b bigint"), "met")
     regions = met.select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = store(regions.select("id").distinct(), "involved")
-    texts = small_semi(each.withColumnRenamed("line", "id"), involved).dropDuplicates(["id"])
-    sets = store(texts.mapInArrow(_setter, "id bigint, shingles binary"), "sets")
-    first = store(confirm(met.select("a", "b").distinct(), sets, percent), "links")
+    # Texts are an eighth of their shingle sets, which each task derives anew.
+    sets = store(small_semi(each.select(F.col("line").alias("id"), F.col("text").alias("shingles")), involved).dropDuplicates(["id"]), "texts")
+    first = store(confirm(met.select("a", "b").distinct(), sets, percent, _sets), "links")
     grouped = components(first)
-    rest = store(across(regions.withColumnRenamed("key", "region"), sets, grouped, percent), "links")
+    rest = store(across(regions.withColumnRenamed("key", "region"), sets, grouped, percent, _sets), "links")
     out = components(first.unionByName(rest))
     drop(met, involved, sets, first, rest, grouped)
     return out.withColumnRenamed("node", "line")
@@ -117,8 +119,28 @@ def char_shingles(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.nd
     return mix((sums[end] - sums[at]) * down[at] + (end - at).astype(np.uint64)), where
 
 
+def signatures(column: pa.Array) -> np.ndarray:
+    """One row of ``BANDS * ROWS`` values per text, from one hash per shingle."""
+    values, first = char_shingles(column)
+    bins = BANDS * ROWS
+    none = np.uint64(0xFFFFFFFF)
+    owner = np.repeat(np.arange(len(column)), np.diff(first))
+    place = owner * bins + ((values >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    low = np.full(len(column) * bins, none)
+    np.minimum.at(low, place, values & np.uint64(0xFFFFFFFE))
+    low = low.reshape(-1, bins)
+    out, empty = low.copy(), low == none
+    for step in range(1, bins):
+        if not empty.any():
+            break
+        other = np.roll(low, -step, axis=1)
+        found = empty & (other != none)
+        out[found] = other[found] + np.uint64(step << 32)
+        empty &= ~found
+    return out
+
+
 def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seeds = mix(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
         lines = batch.column(0).to_numpy()
         _, new = np.unique(lines, return_index=True)
@@ -126,11 +148,11 @@ def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines, column = lines[np.sort(new)], batch.column(1).take(rows)
         at = 0
         for texts in pieces(column, 1 << 20):
-            values, first = char_shingles(texts)
+            values = signatures(texts)
             for band in range(BANDS):
                 key = np.full(len(texts), band, np.uint64)
-                for seed in seeds[band * ROWS: (band + 1) * ROWS]:
-                    key = mix(key * np.uint64(31) + ragged(np.minimum, (values * seed) >> np.uint64(32), first, np.uint64(0)))
+                for row in range(ROWS):
+                    key = mix(key * np.uint64(31) + values[:, band * ROWS + row])
                 yield pa.record_batch([pa.array((key >> np.uint64(64 - KEY_BITS)).astype(np.int64)), pa.array(lines[at: at + len(texts)])], ["key", "line"])
             at += len(texts)
 
@@ -148,11 +170,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(key[near]), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["key", "a", "b"])
 
 
-def _setter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = 0
-        for texts in pieces(batch.column(1), 1 << 20):
-            values, first = distinct(*char_shingles(texts))
-            yield pa.record_batch([batch.column(0).slice(at, len(texts)),
-                                   pa.array([values[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], ["id", "shingles"])
-            at += len(texts)
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    out = []
+    for texts in pieces(column, 1 << 20):
+        values, first = distinct(*char_shingles(texts))
+        out += np.split(values, first[1:-1])
+    return out

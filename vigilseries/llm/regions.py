@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +17,24 @@ COLUMNS = 1 << 15
 BROADCAST_IDS = 1 << 21
 
 
+Read = Callable[[pa.Array], list[np.ndarray]]
+
+
+def as_sets(column: pa.Array) -> list[np.ndarray]:
+    """Stored sets: sorted 64-bit hashes as bytes."""
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+
 def small_semi(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows with a listed id; the list is broadcast only after counting it."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int, read: Read = as_sets) -> DataFrame:
     """Links inside one region between different components; large regions are dealt as pairs of blocks.
 
-    ``regions`` has (id, region), ``sets`` (id, shingles), ``grouped`` the
-    components found so far. Only regions with several components are looked at.
+    ``regions`` has (id, region), ``sets`` (id, shingles), read by ``read``;
+    ``grouped`` are the components found so far. Only regions with several components are looked at.
     """
     held = regions.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     held = store(held, "regions")
@@ -38,15 +46,15 @@ def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int
     placed = placed.withColumn("other", other).select(
         "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "shingles")
     keys = ["region", "x", "y"]
-    run = _linker(percent)
+    run = _linker(percent, read)
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _linker(percent: int):
+def _linker(percent: int, read: Read):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, first in whole_groups(batches, ["region", "x", "y"]):
             ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles").combine_chunks()]
+            sets = read(table.column("shingles").combine_chunks())
             found = []
             for lo, hi in zip(first[:-1], first[1:], strict=True):
                 i, j = _linked(sets[lo:hi], comp[lo:hi], percent)
@@ -87,7 +95,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return both
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, read: Read = as_sets) -> DataFrame:
     """Pairs similar enough on their full sets."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -95,8 +103,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for i, (x, y) in enumerate(zip(read(batch.column(2)), read(batch.column(3)), strict=True)):
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     continue
                 both = len(np.intersect1d(x, y, assume_unique=True))
