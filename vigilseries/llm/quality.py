@@ -148,7 +148,7 @@ def log_weight(docs: DataFrame, model: QualityModel, text_col: str = "text", nam
             for texts in pieces(batch.column(where), 1 << 20):
                 counts, kinds = features(texts)
                 owner, bucket = _distinct(kinds, wanted)
-                sums = np.bincount(owner, ratios[bucket], minlength=len(texts))
+                sums = np.bincount(owner, ratios[bucket], minlength=len(texts)).astype(float)  # of no pairs it counts whole numbers
                 none = counts == 0
                 part = batch.slice(at, len(texts))
                 at += len(texts)
