@@ -57,13 +57,32 @@ def _linker(percent: int, read: Read):
             sets = read(table.column("shingles").combine_chunks())
             found = []
             for lo, hi in zip(first[:-1], first[1:], strict=True):
-                i, j = _linked(sets[lo:hi], comp[lo:hi], percent)
+                i, j = _spanning(*_linked(sets[lo:hi], comp[lo:hi], percent), comp[lo:hi])
                 found.append(np.stack([ids[lo + i], ids[lo + j]]))
             pair = np.sort(np.concatenate(found, axis=1), axis=0)
             yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
     return run
 
 
+def _spanning(i: np.ndarray, j: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As many of the links as it takes to join the same components."""
+    pair = np.sort(np.stack([comp[i], comp[j]]), axis=0)
+    sides, at = np.unique(pair, axis=1, return_index=True)
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+    keep = []
+    for a, b, k in zip(*sides.tolist(), at, strict=True):
+        a, b = top(a), top(b)
+        if a != b:
+            up[b] = a
+            keep.append(k)
+    return i[keep], j[keep]
+
+
 def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of sets from different components that are similar enough."""
     size = np.array([len(s) for s in sets])
