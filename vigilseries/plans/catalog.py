@@ -528,6 +528,16 @@ def score_windows(spark, sf):
 
 # --- log analytics ---
 
+@query
+def embed_text_letters(spark, sf):
+    """Texts coded by a given column function: how often each vowel occurs."""
+    def vowels(col):
+        return F.array(*[(F.length(col) - F.length(F.replace(col, F.lit(c), F.lit("")))).cast("double") for c in "aeiou"])
+    coded = text.embed_text(t.labelled_text(spark, sf), "log_text", encoder=vowels)
+    norm = F.aggregate("embedding", F.lit(0.0), lambda s, e: s + e * e)
+    return tidy(coded.select("id", F.size("embedding").alias("dim"), F.element_at("embedding", 1).alias("first_dim"), norm.alias("sq_norm")))
+
+
 @query
 def embed_text(spark, sf):
     coded = text.embed_text(t.labelled_text(spark, sf), "log_text")

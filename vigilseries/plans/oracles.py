@@ -324,3 +324,11 @@ SELECT q AS id, {r('lof', 'lof')}, {r('lof + o', 'anomaly_score')}, {i('CASE WHE
 _u30 = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
 ORACLES["stream_score_windows"] = f"""WITH w AS (SELECT event_id, value, avg(value) {_u30} AS m, coalesce(stddev_samp(value) {_u30}, 0.0) AS s FROM events)
 SELECT event_id, {r('m', 'value_roll_mean_30')}, {r('s', 'value_roll_std_30')}, {r('1.0 / (1.0 + exp(-((value - m) / (s + 1.0))))', 'anomaly_score')} FROM w"""
+
+_vowel = {c: f"(length(text) - length(replace(text, '{c}', '')))" for c in "aeiou"}
+ORACLES["embed_text_letters"] = f"""SELECT doc_id AS id, {i('5', 'dim')}, {r(_vowel['a'], 'first_dim')},
+  {r(' + '.join(f'{v} * {v}' for v in _vowel.values()), 'sq_norm')} FROM documents JOIN labels USING (doc_id)"""
+
+# A reloaded model scores every row of the test split like the one that was saved.
+ORACLES["load_model"] = """SELECT 'anomaly_score' AS "column", CAST(0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS one_side_null,
+  CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b, true AS ok"""
