@@ -206,7 +206,7 @@ def test_window_classifier_round_trip(spark, tmp_path):
         assert artefacts.model_info(spark, f"{tmp_path}/{kind}").first()["window_size"] == 5
     short = spark.createDataFrame([(1, [[0.0, 0.0]] * 4), (2, [[9.0, 9.0], *[[0.0, 0.0]] * 5])], "id long, features array<array<double>>")
     got = {r.id: r for r in classifier.score_windows(short, model).collect()}
-    assert got[1]["anomaly_score"] is None and got[1]["error"].endswith("got 4") and got[2]["error"] is None and got[2]["anomaly_score"] is not None
+    assert got[1]["anomaly_score"] is None and got[1]["error"].endswith("has 4") and got[2]["error"] is None and got[2]["anomaly_score"] is not None
 
 
 def test_stream_over_batches_equals_one_batch(spark, tmp_path):
