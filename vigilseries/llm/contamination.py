@@ -38,9 +38,10 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     ``start`` counts words from 0; of equally similar windows the first is given.
     Null and wordless texts contain nothing and are contained nowhere; an item of
     fewer than five words is one shingle. Rows with a null id are looked at like
-    others and give a null id. Rows that repeat a key are reported once.
+    others and give a null id; items without an id are left out. Rows that repeat
+    a key are reported once.
     """
-    given = items.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("words")).where(F.size("words") > 0)
+    given = items.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("words")).where((F.size("words") > 0) & F.col("item").isNotNull())
     given = given.withColumn("k", F.least(F.size("words"), F.lit(SHINGLE)))
     sizes = sorted(r["k"] for r in given.select("k").distinct().collect())
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).where("text IS NOT NULL")
