@@ -119,6 +119,25 @@ def test_quality_keeps_good_and_drops_marked(spark):
     assert importance_sample(docs, marks.limit(0)).count() == 901 and importance_sample(docs.limit(0), marks).count() == 0
 
 
+def test_quality_drops_repetition_of_ordinary_words(spark):
+    rng = random.Random(12)
+    usual = [f"{rng.choice('bdfgklm')}{rng.choice('aeiou')}{rng.choice('nprst')}{rng.choice('aeiou')}" for _ in range(300)]
+    rows, labels = [], []
+    for i in range(600):
+        w = [usual[int(rng.paretovariate(0.6)) % 300] for _ in range(rng.randint(30, 200))]
+        if i % 6 == 0:
+            w = [x for x in w[:5] for _ in range(40)]
+        elif i % 3 == 0:
+            w[7:7] = [w[7]] * 2  # a word three times is no junk
+        rows.append((i, " ".join(w)))
+        if i % 5 < 2:
+            labels.append((i, int(i % 6 > 0), 0))
+    rows.append((601, " ".join([*(rng.choice(usual) for _ in range(200)), *["zyxowarn"] * 2, *(x for w in usual[:20] for x in (w, "zyxowarn"))])))  # its own word, often
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in importance_sample(docs, marks).collect()}
+    assert not kept & set(range(0, 600, 6)) and len(kept & {i for i in range(600) if i % 6}) > 0.97 * 500 and 601 in kept
+
+
 def test_kth_largest(spark):
     values = [float(x * x % 37) for x in range(200)]
     df = spark.createDataFrame([(v,) for v in values], "v double")

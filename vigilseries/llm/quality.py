@@ -2,10 +2,15 @@
 
 Two generative models are counted in hashed buckets: one from the documents
 labelled good (the target), one from all documents (raw). A document's log
-weight is the sum of log(target / raw) over its distinct n-grams. Ratios above
-one, and those within what chance explains, count as one, so a long ordinary
-text cannot make up for a few words that good documents never use. A sample is
-drawn by Gumbel top-k: the k largest of log weight plus Gumbel noise.
+weight is the sum of log(target / raw) over all occurrences of its n-grams,
+scaled to the average number of words of a document, so long texts do not weigh
+more than short ones and repetition weighs as much as it takes up of a text.
+Ratios above one, and those within what chance explains (``LEAST_Z`` standard
+deviations), count as one, so a long ordinary text cannot make up for words that
+good documents never use. A document's own occurrences are taken out of the raw
+model when it is scored, so a word that only it repeats does not speak against
+it. A sample is drawn by Gumbel top-k: the k largest of log weight plus Gumbel
+noise.
 
 The n-grams are the words, their first 4 and 5 bytes, their last 2 bytes, pairs
 of neighbours' last 2 bytes, and runs of one word three times over.
@@ -28,18 +33,21 @@ from vigilseries.llm.scratch import drop, store
 BUCKETS = 1 << 22
 LABELLED = 1 << 20
 LEAST_Z = 2.5
-LEAST_RATIO = 1.6
-FLOOR = -100.0
-STEPS = 10
+FLOOR = -20.0
+STEPS = 1000
 ROUNDS = 40
 
 
 @dataclass
 class QualityModel:
-    """Log ratios of the buckets that speak against a document, and the weight that parts the labelled rows best."""
+    """Both counts of the buckets that speak against a document, the target's share of all occurrences, the average
+    number of words, and the weight that parts the labelled rows best."""
 
     buckets: np.ndarray
-    ratios: np.ndarray
+    raw: np.ndarray
+    target: np.ndarray
+    share: float
+    length: float
     cut: float
 
 
@@ -59,12 +67,10 @@ def features(column: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.nd
     return w.counts, [(o, (v & np.uint64(BUCKETS - 1)).astype(np.int64)) for o, v in kinds]
 
 
-def _distinct(kinds: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) pairs, of the wanted buckets only if given."""
-    if wanted is not None:
-        kinds = [(o[hit], v[hit]) for o, v in kinds for hit in [wanted[v]]]
-    key = np.unique(np.concatenate([o * BUCKETS + v for o, v in kinds]))
-    return key // BUCKETS, key % BUCKETS
+def _counts(kinds: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, bucket and number of occurrences, of the wanted buckets only."""
+    key, many = np.unique(np.concatenate([o[hit] * BUCKETS + v[hit] for o, v in kinds for hit in [wanted[v]]]), return_counts=True)
+    return key // BUCKETS, key % BUCKETS, many
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
@@ -86,19 +92,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     rows = texts.join(F.broadcast(marked), "id", "left").select("text", "good")
     counted = rows.mapInArrow(_counter, "bucket int, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     counted = store(counted, "counts")
-    total = counted.where("bucket = -1").first()
-    share = total["target"] / total["raw"] if total and total["raw"] else 0.0
+    whole = {r["bucket"]: r for r in counted.where("bucket < 0").collect()}
+    share = whole[-1]["target"] / whole[-1]["raw"] if whole and whole[-1]["raw"] else 0.0
+    length = whole[-2]["raw"] / whole[-2]["target"] if whole and whole[-2]["target"] else 1.0
     expected = F.col("raw") * F.lit(share)
-    ratio = F.log((F.col("target") + 1) / (expected + 1))
     z = (F.col("target") - expected) / F.sqrt(expected + 1)
-    found = counted.where((F.col("bucket") >= 0) & (z < -LEAST_Z) & (ratio < -LEAST_RATIO)).select("bucket", ratio.alias("ratio")).toPandas()
+    found = counted.where((F.col("bucket") >= 0) & (z < -LEAST_Z)).select("bucket", "raw", "target").toPandas()
     found = found.sort_values("bucket")
-    model = QualityModel(found["bucket"].to_numpy(np.int64), found["ratio"].to_numpy(float), FLOOR)
+    model = QualityModel(found["bucket"].to_numpy(np.int64), found["raw"].to_numpy(float), found["target"].to_numpy(float), share, length, -np.inf)
     scored = log_weight(rows.where("good IS NOT NULL"), model)
-    place = F.floor(F.greatest(F.col("log_weight"), F.lit(FLOOR)) * STEPS).cast("int")
+    place = F.floor(F.greatest(F.col("log_weight") / F.lit(length), F.lit(FLOOR)) * STEPS).cast("int")
     bins = scored.groupBy(place.alias("bin"), "good").count().collect()
     drop(marked, counted)
-    model.cut = _best_cut([(r["bin"], r["good"], r["count"]) for r in bins])
+    model.cut = _best_cut([(r["bin"], r["good"], r["count"]) for r in bins]) * length
     return model
 
 
@@ -117,38 +123,48 @@ def _best_cut(bins: list[tuple[int, int, int]]) -> float:
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target, n = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32), [0, 0]
+    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    n_words, n_texts = 0, 0
     for batch in batches:
         at = 0
         for texts in pieces(batch.column(0), 1 << 20):
             good = batch.column(1).slice(at, len(texts)).fill_null(0).to_numpy(zero_copy_only=False) == 1
             at += len(texts)
-            owner, bucket = _distinct(features(texts)[1])
-            raw += np.bincount(bucket, minlength=BUCKETS).astype(np.int32)
-            target += np.bincount(bucket[good[owner]], minlength=BUCKETS).astype(np.int32)
-            n = [n[0] + len(texts), n[1] + int(good.sum())]
+            counts, kinds = features(texts)
+            owner, bucket = (np.concatenate(x) for x in zip(*kinds, strict=True))
+            raw += np.bincount(bucket, minlength=BUCKETS)
+            target += np.bincount(bucket[good[owner]], minlength=BUCKETS)
+            n_words, n_texts = n_words + int(counts.sum()), n_texts + int((counts > 0).sum())
     used = np.flatnonzero(raw)
-    yield pa.record_batch([pa.array(np.array([-1], np.int32)), pa.array([n[0]], pa.int64()), pa.array([n[1]], pa.int64())], ["bucket", "raw", "target"])
+    whole = [np.array([-1, -2], np.int32), np.array([raw.sum(), n_words]), np.array([target.sum(), n_texts])]
+    yield pa.record_batch([pa.array(x) for x in whole], ["bucket", "raw", "target"])
     for lo in range(0, len(used), 1 << 16):
         part = used[lo: lo + (1 << 16)]
-        yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(raw[part].astype(np.int64)), pa.array(target[part].astype(np.int64))], ["bucket", "raw", "target"])
+        yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(raw[part]), pa.array(target[part])], ["bucket", "raw", "target"])
 
 
 def log_weight(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "log_weight") -> DataFrame:
-    """All columns and rows, and the log weight of each text (null for null or wordless texts). Nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.ratios))
+    """All columns and rows, and the log weight of each text (null for null or wordless texts). Nothing is shuffled.
+
+    The texts are taken to be among those the model counted.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     where = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = np.zeros(BUCKETS)
-        ratios[shared.value[0]] = shared.value[1]
-        wanted = ratios < 0
+        m = shared.value
+        wanted = np.zeros(BUCKETS, bool)
+        wanted[m.buckets] = True
         for batch in batches:
             at = 0
             for texts in pieces(batch.column(where), 1 << 20):
                 counts, kinds = features(texts)
-                owner, bucket = _distinct(kinds, wanted)
-                sums = np.bincount(owner, ratios[bucket], minlength=len(texts)).astype(float)  # of no pairs it counts whole numbers
+                owner, bucket, many = _counts(kinds, wanted)
+                place = np.searchsorted(m.buckets, bucket)
+                target, expected = m.target[place], np.maximum(m.raw[place] - many, 0) * m.share
+                ratio = np.where(target - expected < -LEAST_Z * np.sqrt(expected + 1), np.log((target + 1) / (expected + 1)), 0.0)
+                sums = np.bincount(owner, many * ratio, minlength=len(texts)).astype(float)  # of no pairs it counts whole numbers
+                sums *= m.length / np.maximum(counts, 1)
                 none = counts == 0
                 part = batch.slice(at, len(texts))
                 at += len(texts)
