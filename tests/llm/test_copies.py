@@ -127,6 +127,27 @@ def test_contamination_matches_brute_force(spark):
     assert len(want) > 15 and got == want
 
 
+def test_contamination_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(10)
+    items = [(i, [f"q{rng.randrange(300)}" for _ in range(n)]) for i, n in enumerate((8, 20, 40, 60))]
+    docs = [(1000, items[2][1][:-1]), (1001, items[2][1][:20] + items[2][1][21:]), (1002, items[2][1][:30])]
+    for _, v in items:
+        for _ in range(30):
+            w = list(v)
+            for _ in range(rng.randint(1, 1 + len(w) // 3)):
+                del w[rng.choice([0, -1, rng.randrange(len(w))])]
+            docs.append((len(docs), w))
+    want = {}
+    for d, w in docs:
+        for i, v in items:
+            a, b = ([tuple(z[t:t + 5]) for t in range(len(z) - 4)] for z in (w, v))
+            if len(w) < len(v) and a and (j := multiset_similarity(a, b)) >= 0.75:
+                want[d, i] = (j, 0, len(w))
+    told = [spark.createDataFrame([(i, " ".join(w)) for i, w in x], f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id"))]
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_words"]) for r in find_contamination(*told).collect()}
+    assert want[1000, 2][0] == 35 / 36 and want[1001, 2][0] == 31 / 40 and (1002, 2) not in want and len(want) > 20 and got == want
+
+
 def test_contamination_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "word"), (2, None), (7, "same text here again and again"), (None, "word"), (1, "word")], "item_id long, text string")
     got = sorted({(r["doc_id"], r["item_id"]) for r in find_contamination(odd_docs, items).collect()}, key=str)
