@@ -148,6 +148,16 @@ def test_contamination_of_documents_shorter_than_the_item(spark):
     assert want[1000, 2][0] == 35 / 36 and want[1001, 2][0] == 31 / 40 and (1002, 2) not in want and len(want) > 20 and got == want
 
 
+def test_fingerprint_of_a_very_long_item(spark, monkeypatch):
+    from vigilseries.llm import contamination
+    widths, made = [], contamination._fingerprint
+    monkeypatch.setattr(contamination, "_fingerprint", lambda grams, keys, *width: widths.append(made(grams, keys, *width)) or widths[-1])
+    long = spark.createDataFrame([(1, " ".join(["same"] * 70_000))], "item_id long, text string")
+    find_contamination(spark.createDataFrame([], "doc_id long, text string"), long)
+    gram = spark.sql("SELECT xxhash64(h, h, h, h, h) FROM (SELECT xxhash64('same') AS h)").first()[0]
+    assert [r["mark"] for r in widths[1].collect()] == [gram]
+
+
 def test_contamination_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "word"), (2, None), (7, "same text here again and again"), (None, "word"), (1, "word")], "item_id long, text string")
     got = sorted({(r["doc_id"], r["item_id"]) for r in find_contamination(odd_docs, items).collect()}, key=str)

@@ -28,9 +28,8 @@ from vigilseries.llm.scratch import store
 SHINGLE = 5
 PERCENT = 75
 BLOCKS, RADIUS = 8, 23
-LANES = 16
+LONG = 1 << 15
 BROADCAST_ROWS = 1 << 21
-_MASK = 0x0001000100010001
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -91,8 +90,9 @@ def _contained(texts: DataFrame, given: DataFrame, k: int) -> DataFrame:
     starts = _starts(hits.select("id", "key", "n", "pos", F.explode("spans").alias("span")))
     windows = _null_safe(starts, held).select("id", "key", "span", "start", F.slice("grams", F.col("start") + 1, F.col("span")).alias("grams"))
     windows = windows.select("id", "key", "span", "start", F.explode("grams").alias("gram"))
-    marked = _fingerprint(windows, ["id", "key", "span", "start"])
-    coded = store(_fingerprint(entries.select("item", "span", F.explode("grams").alias("gram")), ["item", "span"])
+    width = 16 if (entries.agg(F.max("span")).first()[0] or 0) < LONG else 32
+    marked = _fingerprint(windows, ["id", "key", "span", "start"], width)
+    coded = store(_fingerprint(entries.select("item", "span", F.explode("grams").alias("gram")), ["item", "span"], width)
                   .withColumnRenamed("mark", "item_mark"), "marks")
     near = [v for v in range(256) if v.bit_count() <= RADIUS // BLOCKS]
     entered = coded.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))) \
@@ -139,17 +139,19 @@ def _block(mark: Column, block: Column) -> Column:
     return F.call_function("shiftrightunsigned", mark, (block * 8).cast("int")).bitwiseAND(F.lit(255)).cast("int")
 
 
-def _fingerprint(grams: DataFrame, keys: list[str]) -> DataFrame:
+def _fingerprint(grams: DataFrame, keys: list[str], width: int) -> DataFrame:
     """SimHash of each group: bit b is set where most shingles (with repeats) have it.
 
-    Four 16-bit counters share one sum, so 16 sums count all 64 bits.
+    Counters of ``width`` bits share a sum: 16 sums count all 64 bits of groups of
+    fewer than ``LONG`` shingles, 32 sums (``width`` 32) those of longer ones.
     """
-    lanes = [F.sum(F.call_function("shiftrightunsigned", F.col("gram"), F.lit(j)).bitwiseAND(F.lit(_MASK))).alias(f"s{j}") for j in range(LANES)]
+    mask = sum(1 << at for at in range(0, 64, width))
+    lanes = [F.sum(F.call_function("shiftrightunsigned", F.col("gram"), F.lit(j)).bitwiseAND(F.lit(mask))).alias(f"s{j}") for j in range(width)]
     counted = grams.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *lanes)
     bits = []
-    for j in range(LANES):
-        for lane in range(64 // LANES):
-            ones = F.call_function("shiftrightunsigned", F.col(f"s{j}"), F.lit(16 * lane)).bitwiseAND(F.lit(0xFFFF))
-            bit = 1 << (j + 16 * lane)
+    for j in range(width):
+        for at in range(0, 64, width):
+            ones = F.call_function("shiftrightunsigned", F.col(f"s{j}"), F.lit(at)).bitwiseAND(F.lit((1 << width) - 1))
+            bit = 1 << (j + at)
             bits.append(F.when(2 * ones > F.col("n"), F.lit(bit - (1 << 64) if bit >> 63 else bit)).otherwise(F.lit(0).cast("bigint")))
     return counted.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("mark"))
