@@ -16,9 +16,12 @@ from vigilseries.llm.lines import dedup_lines
 from vigilseries.llm.near import near_duplicates
 from vigilseries.llm.pieces import SPACE, decode, encode, load_pieces
 from vigilseries.llm.quality import importance_sample
+from vigilseries.llm.resample import resample
+from vigilseries.llm.shards import assign_shards
 from vigilseries.llm.spans import remove_repeats
 from vigilseries.llm.tokens import count_tokens
 from vigilseries.llm.topk import integer_vectors, top_k
+from vigilseries.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +134,54 @@ def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     out = decode(coded, pieces)
     same = F.col("decoded").eqNullSafe(F.coalesce(F.replace("text", F.lit(SPACE), F.lit(" ")), F.lit("")))
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", same.alias("round_trip"))
+
+
+@query
+def op11_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return assign_shards(table(spark, sf, "documents"))
+
+
+@query
+def op12_target_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return resample(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("key")
+
+
+# CRC-32 by its table; the table of eight shifts a byte is folded from 0 to 255.
+ORACLES["op12_target_sample"] = """
+WITH crc AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS t FROM range(256) r(b)),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w, row_number() OVER () AS r FROM documents),
+q AS (
+  SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+f AS (
+  SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM d WHERE len(w) > 0),
+g AS (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM q WHERE len(w) > 0),
+u AS (SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM f UNION SELECT x FROM g)),
+b AS MATERIALIZED (
+  SELECT x, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+                            lambda c, v: xor(c >> 8, t[1 + (xor(c, v) & 255)])), 4294967295) % 10000 AS k FROM u, crc),
+s AS (SELECT k, count(*) AS n FROM f JOIN b USING (x) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM g JOIN b USING (x) GROUP BY k),
+gain AS (
+  SELECT k, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (SELECT coalesce(sum(n), 0) + 10000 FROM s)::DOUBLE
+                            / ((coalesce(s.n, 0)::DOUBLE + 1) * (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE)))::BIGINT AS v
+  FROM s FULL JOIN t USING (k)),
+m AS (SELECT r, count(*) AS n, floor(sum(v) / count(*))::BIGINT AS weight FROM f JOIN b USING (x) JOIN gain USING (k) GROUP BY r),
+e AS (
+  SELECT doc_id, coalesce(len(w), 0) AS words, coalesce(m.n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM d LEFT JOIN m USING (r)),
+o AS (
+  SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY words >= 20 ORDER BY weight + noise DESC, doc_id) AS at,
+         count(*) OVER (PARTITION BY words >= 20) AS able FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND at <= able * 25 // 100 THEN at END::BIGINT AS rank FROM o
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(table(spark, sf, "embeddings"))
