@@ -10,11 +10,11 @@ its encoding, so there the edges are folded in merge order: an edge is taken if
 exactly two neighbouring symbols make it up. One pass suffices, because the
 parts of a piece were learned before it. That does not hold for pieces that share
 a score (runs of spaces); units with those, and units of more than ``LONG_UNIT``
-characters, are folded in place instead of by ``aggregate``.
+characters, are merged from a heap of neighbouring pairs, in n log n steps.
 
 The dictionary is shipped to the tasks that encode the documents. A task encodes
-the units beyond it (a few in a hundred) by the same edges, folded in place:
-sending every rare unit to a table and back would move more than the documents.
+the units beyond it (a few in a hundred) by the same heap: sending every rare
+unit to a table and back would move more than the documents.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import groupby
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilseries.llm.arrays import cuts, flat, spans_hash
+from vigilseries.llm.arrays import _hash_words, cuts, flat, spans_hash
+from vigilseries.llm.arrays import pieces as text_runs
 from vigilseries.llm.quality import kth_largest
 from vigilseries.llm.scratch import drop, store
 
 SPACE = "▁"
 DICTIONARY = 1 << 20
-CACHE = 1 << 17
+CACHE = 1 << 15
 LONG_UNIT = 128
 UNITS_A_TASK = 50_000
 UNKNOWN_COST = 10.0
@@ -52,10 +53,16 @@ class Pieces:
     bpe: bool
     spelled: list[bytes] = field(repr=False)
 
+    @property
+    def lone_bytes(self) -> np.ndarray:
+        """By byte, whether it is white space that no longer piece holds."""
+        held = {c for p, _, _ in self.rows if len(p) > 1 for c in p}
+        return np.array([0x09 <= b < 0x0E and chr(b) not in held for b in range(256)])
+
     @property
     def unit_pattern(self) -> str:
         """Units: spaces and what follows them; white space that no longer piece holds stands alone."""
-        lone = "".join(f"\\x{b:02X}" for b in range(0x09, 0x0E) if not any(chr(b) in p for p, _, _ in self.rows if len(p) > 1))
+        lone = "".join(f"\\x{b:02X}" for b in np.flatnonzero(self.lone_bytes))
         return f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else "")
 
     @property
@@ -105,8 +112,10 @@ def encode_units(each: DataFrame, pieces: Pieces) -> DataFrame:
     n = each.count()
     dealt = each.select("unit").repartition(max(1 + n // UNITS_A_TASK, each.sparkSession.sparkContext.defaultParallelism), "unit")
     size = F.length("unit")
-    starts = dealt.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("lo"))
-    spans = starts.select("unit", "lo", F.explode(F.sequence(F.col("lo") + 1, F.least(size, F.col("lo") + pieces.longest))).alias("hi"))
+    # A long unit keeps one start only, so that it stays in the frame; its edges are not used.
+    starts = dealt.select("unit", F.explode(F.when(size > LONG_UNIT, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), size - 1))).alias("lo"))
+    reach = F.when(size > LONG_UNIT, F.lit(1)).otherwise(F.least(size, F.col("lo") + pieces.longest))
+    spans = starts.select("unit", "lo", F.explode(F.sequence(F.col("lo") + 1, reach)).alias("hi"))
     cut = spans.withColumn("piece", F.substring("unit", F.col("lo") + 1, F.col("hi") - F.col("lo")))
     # Single characters without a piece stay as edges without an id.
     edges = cut.join(F.broadcast(pieces.frame(each.sparkSession)), "piece", "left").where("id IS NOT NULL OR hi = lo + 1")
@@ -114,10 +123,10 @@ def encode_units(each: DataFrame, pieces: Pieces) -> DataFrame:
     grouped = edges.groupBy("unit").agg(F.array_sort(F.collect_list(order)).alias("edges"),
                                          F.coalesce(F.bool_or("tied"), F.lit(False)).alias("tied"))
     in_place = (size > LONG_UNIT) | (F.col("tied") & F.lit(pieces.bpe))
-    small = grouped.where(~in_place)
     ends = _merge_fold() if pieces.bpe else _viterbi_fold(min((s for _, _, s in pieces.rows), default=0.0) - UNKNOWN_COST)
-    short = small.select("unit", "edges", ends.alias("ends")).select("unit", _ids(pieces).alias("ids"))
-    return short.unionByName(grouped.where(in_place).select("unit", "edges").mapInArrow(_long_folder(pieces), "unit string, ids array<int>"))
+    # One pass over the grouped edges; what is merged in place leaves the expression null.
+    folded = grouped.select("unit", F.when(~in_place, F.col("edges")).alias("edges")).select("unit", "edges", ends.alias("ends"))
+    return folded.select("unit", F.when(F.col("edges").isNotNull(), _ids(pieces)).alias("ids")).mapInArrow(_filler(pieces), "unit string, ids array<int>")
 
 
 def _merge_fold() -> Column:
@@ -153,59 +162,82 @@ def _ids(pieces: Pieces) -> Column:
         i -> CASE WHEN {known} IS NOT NULL THEN array({known}) ELSE {other} END))""")
 
 
-def _long_folder(pieces: Pieces):
-    """The same folds in place instead of by copied arrays."""
-    byte_ids, unknown, bpe = pieces.byte_ids, pieces.unknown_id, pieces.bpe
-    least = min((s for _, _, s in pieces.rows), default=0.0) - UNKNOWN_COST
-
+def _filler(pieces: Pieces):
+    """Ids of the units that the expression left null; the others pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone = InPlace(pieces)
         for batch in batches:
-            out = [_fold_long(u, e, bpe, least, byte_ids, unknown) for u, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["unit", "ids"])
+            ids = batch.column(1)
+            if ids.null_count:
+                made = [alone.ids(u) if x is None else x for u, x in zip(batch.column(0).to_pylist(), ids.to_pylist(), strict=True)]
+                ids = pa.array(made, pa.list_(pa.int32()))
+            yield pa.record_batch([batch.column(0), ids], ["unit", "ids"])
     return run
 
 
-def _fold_long(unit: str, edges: list[dict], bpe: bool, least: float, byte_ids: list[int] | None, unknown: int) -> list[int]:
-    n = len(unit)
-    ids = {(e["lo"], e["hi"]): e["id"] for e in edges}
-    ends = list(range(1, n + 1))
-    if bpe:
-        for _, same in groupby(edges, lambda e: e["rank"]):
-            same = list(same)
-            tied = len({e["id"] for e in same}) > 1
-            k = 0
-            while k < len(same):
-                lo, hi = same[k]["lo"], same[k]["hi"]
-                k += 1
-                mid = ends[lo]
-                if 0 < mid < hi and ends[mid] == hi:
-                    ends[lo], ends[mid] = hi, 0
-                    if tied:
-                        # Of equal scores the leftmost pair comes first: new ones may lie a piece to the left.
-                        while k and same[k - 1]["lo"] >= lo - LONG_UNIT:
-                            k -= 1
-    else:
-        score, back = [0.0] + [-1e300] * n, [0] * (n + 1)
-        for e in edges:
-            found = score[e["lo"]] + (least if e["score"] is None else e["score"])
-            if found > score[e["hi"]]:
-                score[e["hi"]], back[e["hi"]] = found, e["lo"]
+class InPlace:
+    """Ids of one unit at a time, from the piece table, in about n log n steps for n characters."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.id = pieces, {p: i for p, i, _ in pieces.rows}
+        self.rank = {p: -s for p, _, s in pieces.rows if len(p) > 1 or not pieces.bpe}
+        self.most, self.longest, self.cache = UNKNOWN_COST - min((s for _, _, s in pieces.rows), default=0.0), pieces.longest, {}
+
+    def ids(self, unit: str) -> list[int]:
+        found = self.cache.get(unit)
+        if found is None:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            ends = self.merged(unit) if self.pieces.bpe else self.best_path(unit)
+            found, lo = [], 0
+            while lo < len(unit):
+                piece = self.id.get(unit[lo: ends[lo]])
+                found += [piece] if piece is not None else [self.pieces.byte_ids[b] for b in unit[lo].encode()] if self.pieces.byte_ids else [self.pieces.unknown_id]
+                lo = ends[lo]
+            if len(unit) <= LONG_UNIT:
+                self.cache[unit] = found
+        return found
+
+    def merged(self, unit: str) -> list[int]:
+        """``ends[i]``: where the symbol that begins at i ends. The pair of the best score is merged first, the leftmost of equal ones."""
+        n, rank, longest = len(unit), self.rank, self.longest
+        ends, before = list(range(1, n + 1)), list(range(-1, n))
+        heap = [(r, lo, lo + 2) for lo in range(n - 1) if (r := rank.get(unit[lo: lo + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, lo, hi = heappop(heap)
+            mid = ends[lo]
+            if not 0 < mid < hi or ends[mid] != hi:
+                continue  # one of the two has been merged with another since
+            ends[lo], ends[mid], before[hi] = hi, 0, lo
+            if hi < n and ends[hi] - lo <= longest and (r := rank.get(unit[lo: ends[hi]])) is not None:
+                heappush(heap, (r, lo, ends[hi]))
+            if lo and hi - before[lo] <= longest and (r := rank.get(unit[before[lo]: hi])) is not None:
+                heappush(heap, (r, before[lo], hi))
+        return ends
+
+    def best_path(self, unit: str) -> list[int]:
+        """The same for the path of the largest score; the longer last piece of equal ones."""
+        n, rank = len(unit), self.rank
+        cost, back = [0.0] + [float("inf")] * n, [0] * (n + 1)
+        for hi in range(1, n + 1):
+            for lo in range(max(0, hi - self.longest), hi):
+                r = rank.get(unit[lo:hi], self.most if hi == lo + 1 else None)
+                if r is not None and cost[lo] + r < cost[hi]:
+                    cost[hi], back[hi] = cost[lo] + r, lo
         ends, at = [0] * n, n
         while at:
             ends[back[at]], at = at, back[at]
-    out = []
-    for lo in (i for i in range(n) if ends[i]):
-        found = ids.get((lo, ends[lo]))
-        out += [found] if found is not None else [byte_ids[b] for b in unit[lo].encode()] if byte_ids else [unknown]
-    return out
+        return ends
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` and ``ids``, as the library encodes without begin and end marks.
 
     Null and empty texts get an empty list. Rows may repeat ids or have none.
-    ``docs`` must not have a column ``ids``.
+    A column ``ids`` of ``docs`` is replaced.
     """
+    docs = docs.drop("ids")
     each = docs.select(F.explode(units(F.col(text_col), pieces)).alias("unit"))
     # Equal counts are told apart by a hash, so that the dictionary stays within its bound.
     weight = F.col("n") + (F.xxhash64("unit").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)))
@@ -214,9 +246,8 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     frequent = store(seen.where(F.col("w") >= F.lit(float(least))).select("unit"), "frequent")
     shared = docs.sparkSession.sparkContext.broadcast((*_packed(encode_units(frequent, pieces)), pieces))
     drop(seen, frequent)
-    rows = docs.select("*", units(F.col(text_col), pieces).alias("_units"))
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(_assembler(shared, len(docs.columns)), schema)
+    return docs.mapInArrow(_assembler(shared, docs.columns.index(text_col)), schema)
 
 
 def _packed(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,18 +259,19 @@ def _packed(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 counts = np.diff(ids.offsets.to_numpy()).astype(np.uint32)
                 flat_ids = ids.flatten().to_numpy().astype(np.uint32)
                 yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (_unit_keys(batch.column(0)), counts, flat_ids)], ["k", "c", "i"])
-    keys, counts, ids = [], [], []
-    for row in frequent.select("unit", "ids").mapInArrow(pack, "k binary, c binary, i binary").toLocalIterator():
-        keys.append(np.frombuffer(row["k"], np.uint64))
-        counts.append(np.frombuffer(row["c"], np.uint32))
-        ids.append(np.frombuffer(row["i"], np.uint32))
+    # Written by all tasks at once; the result is read in one job.
+    packed = store(frequent.select("unit", "ids").mapInArrow(pack, "k binary, c binary, i binary"), "packed")
+    rows = packed.collect()
+    drop(packed)
+    keys, counts, ids = ([np.frombuffer(r[name], kind) for r in rows] for name, kind in (("k", np.uint64), ("c", np.uint32), ("i", np.uint32)))
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32)
     key, count, flat_ids = np.concatenate(keys), np.concatenate(counts).astype(np.int64), np.concatenate(ids).astype(np.int32)
     order, first = np.argsort(key), np.concatenate([[0], np.cumsum(count)])
     sorted_first = np.concatenate([[0], np.cumsum(count[order])])
     index = np.arange(sorted_first[-1]) + np.repeat(first[order] - sorted_first[:-1], count[order])
-    return key[order], sorted_first, flat_ids[index]
+    # Small types, as every Python worker holds a copy.
+    return key[order], sorted_first.astype(np.min_scalar_type(sorted_first[-1])), flat_ids[index].astype(np.min_scalar_type(flat_ids.max(initial=0)))
 
 
 def _unit_keys(column: pa.Array) -> np.ndarray:
@@ -262,57 +294,60 @@ def _list(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return column.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
 
 
-def _assembler(shared, n_columns: int):
+def cut_units(column: pa.Array, lone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The units of ``units`` as byte ranges: spaced bytes, starts, ends, and the first unit of each text."""
+    raw, offsets = flat(column)
+    full = np.diff(offsets) > 0
+    data = np.insert(raw, offsets[:-1][full], 0x20)
+    offsets = offsets + np.concatenate([[0], np.cumsum(full)])
+    space = np.flatnonzero(data == 0x20)
+    data = np.repeat(data, np.where(data == 0x20, 3, 1).astype(np.uint8))
+    at = space + 2 * np.arange(len(space))
+    for k, byte in enumerate(SPACE.encode()):
+        data[at + k] = byte
+    offsets = offsets + 2 * np.searchsorted(space, offsets)
+    # Bytes of the sign for a space (also where the text has it), of lone white space, and others.
+    kind = np.where(lone[data], 2, 0).astype(np.uint8)
+    marks = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)) if len(data) > 2 else np.zeros(0, np.int64)
+    for k in range(3):
+        kind[marks + k] = 1
+    new = (kind == 2) | (np.diff(kind, prepend=kind[:1]) != 0)
+    new[1:] &= ~((kind[1:] == 0) & (kind[:-1] == 1))
+    new[offsets[:-1][full]] = True
+    starts = np.flatnonzero(new)
+    return data, starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
+
+
+def _assembler(shared, where: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, first, table, pieces = shared.value
-        beyond = _Beyond(pieces)
+        lone, beyond = pieces.lone_bytes, InPlace(pieces)
         for batch in batches:
-            for lo, hi in _row_cuts(batch.column(n_columns)):
-                part = batch.slice(lo, hi - lo)
-                values, offsets = _list(part.column(n_columns))
-                place = _find(keys, _unit_keys(values))
-                begin, size, pool = _looked_up(place, first, table)
-                rare = np.flatnonzero(place < 0)
-                if len(rare):
-                    made = [beyond.ids(u) for u in values.take(pa.array(rare)).to_pylist()]
-                    size[rare] = [len(x) for x in made]
-                    begin[rare] = len(pool) + np.concatenate([[0], np.cumsum(size[rare])[:-1]])
-                    pool = np.concatenate([pool, *made])
-                ends = np.concatenate([[0], np.cumsum(size)])
-                index = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)
-                ids = pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(pool[index], pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:n_columns], ids], [*part.schema.names[:n_columns], "ids"])
+            at = 0
+            for texts in text_runs(batch.column(where), 1 << 20):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                data, starts, ends, owner = cut_units(texts, lone)
+                place = _find(keys, _hash_words(data, starts, ends))
+                known = place >= 0
+                size = np.zeros(len(place), np.int64)
+                size[known] = first[place[known] + 1].astype(np.int64) - first[place[known]]
+                made: list[int] = []
+                for k, lo, hi in zip(*(x[~known].tolist() for x in (np.arange(len(place)), starts, ends)), strict=True):
+                    found = beyond.ids(data[lo:hi].tobytes().decode())
+                    made += found
+                    size[k] = len(found)
+                total = np.concatenate([[0], np.cumsum(size)])
+                looked_up = np.repeat(known, size)
+                values = np.empty(total[-1], np.int32)
+                values[~looked_up] = made
+                begin = (first[place[known]].astype(np.int64) - total[:-1][known]).repeat(size[known])
+                values[looked_up] = table[np.flatnonzero(looked_up) + begin]
+                ids = pa.ListArray.from_arrays(pa.array(total[owner].astype(np.int32)), pa.array(values))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
     return run
 
 
-class _Beyond:
-    """Units outside the dictionary: their edges from the piece table, folded in place."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces, self.table, self.cache = pieces, {p: (i, s) for p, i, s in pieces.rows}, {}
-        self.least, self.longest = min((s for _, _, s in pieces.rows), default=0.0) - UNKNOWN_COST, pieces.longest
-
-    def ids(self, unit: str) -> np.ndarray:
-        found = self.cache.get(unit)
-        if found is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            folded = _fold_long(unit, self.edges(unit), self.pieces.bpe, self.least, self.pieces.byte_ids, self.pieces.unknown_id)
-            found = self.cache[unit] = np.array(folded, np.int32)
-        return found
-
-    def edges(self, unit: str) -> list[dict]:
-        out, n, longest = [], len(unit), self.longest
-        for lo in range(n):
-            for hi in range(lo + 1, min(n, lo + longest) + 1):
-                piece = self.table.get(unit[lo:hi])
-                if piece or hi == lo + 1:
-                    i, s = piece or (None, None)
-                    out.append({"rank": -s if piece else float("inf"), "lo": lo, "hi": hi, "score": s, "id": i})
-        out.sort(key=(lambda e: (e["rank"], e["lo"], e["hi"])) if self.pieces.bpe else (lambda e: (e["hi"], e["lo"])))
-        return out
-
-
 def _row_cuts(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Runs of rows with about ``limit`` units."""
     offsets, lo = column.offsets.to_numpy(), 0
@@ -322,21 +357,14 @@ def _row_cuts(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int
         lo = hi
 
 
-def _looked_up(place, first, table):
-    if not len(first) or not len(table):
-        return np.zeros(len(place), np.int64), np.zeros(len(place), np.int64), table
-    at = np.maximum(place, 0)
-    size = np.where(place >= 0, first[at + 1] - first[at], 0)
-    return first[at].copy(), size, table
-
-
 def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """All rows and columns and the text of the ids, as the library decodes.
 
     The space in front is taken off; ids without a piece give nothing; byte
     pieces that are not UTF-8 give the replacement character. A null list gives
-    null.
+    null. A column called ``name`` is replaced.
     """
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(pieces.spelled)
     where = docs.columns.index(ids_col)
 

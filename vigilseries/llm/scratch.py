@@ -16,6 +16,18 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return back
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Helper column names that ``df`` does not have, made from the given ones."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete what ``store`` wrote for these frames."""
     for df in frames:
