@@ -23,28 +23,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilseries.llm.scratch import store
+from vigilseries.llm.fold import folded
+from vigilseries.llm.scratch import drop, store
 
 SCALE = 1024
-LARGEST = float(1 << 52)
+LARGEST = 2.0 ** 500
+LONG = float(1 << 63)
 BLOCK = 8192
 QUERIES = 1024
 CHUNK = 512
 HEAD = 4
 ROTATED = 1024
 FLOAT_EXACT = float(1 << 52)
+#: Partial scores beyond a long are held at its ends; among the best they are an error.
+ENDS = -np.iinfo(np.int64).max, np.iinfo(np.int64).max
 
 
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(id, v)`` with v = floor(1024 * component).
+    """``(id, v)`` with v = floor(1024 * component), whole numbers as doubles, which hold them exactly.
 
     Left out: null ids, null vectors, and vectors with a null or non-finite
-    component or one beyond 2**52 after scaling.
+    component. A component beyond 2**500 after scaling is an error.
     """
-    scaled = F.transform(F.col(vector_col), lambda x: x.cast("double") * SCALE)
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), scaled.alias("v")).where("v IS NOT NULL")
-    rows = rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > LARGEST)))
-    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x)))
+    whole = df[vector_col]
+    rows = df.where(F.col(id_col).isNotNull() & whole.isNotNull() & ~F.exists(whole, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
+    floor = F.transform(F.col(vector_col), lambda x: _floored(x.cast("double") * SCALE))
+    return rows.select(F.col(id_col).cast("bigint").alias("id"), floor.alias("v"))
+
+
+def _floored(x):
+    """Doubles from 2**52 on are whole; beyond ``LARGEST`` squares would not be finite."""
+    far = F.raise_error(F.lit("a component is too large")).cast("double")
+    return F.when(F.abs(x) < FLOAT_EXACT, F.floor(x).cast("double")).when(F.abs(x) <= LARGEST, x).otherwise(far)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -52,9 +62,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Only vectors of a query's own dimension are compared with it, never those of
     its own id. Ties go to the smaller id. Fewer than k candidates are returned
-    whole. Queries that repeat an id and a vector count once.
+    whole. Queries that repeat an id and a vector count once. Scores are exact; a
+    returned score that does not fit a long is an error.
     """
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    vectors, queries = (d.withColumn("v", F.col("v").cast("array<double>")) for d in (vectors, queries))
     base = store(vectors.select("id", "v", F.size("v").alias("dim"), F.sqrt(length).alias("length")), "vectors")
     blocks = 1 + base.count() // BLOCK
     placed = base.repartitionByRange(int(blocks), "dim", F.desc("length"), "id").withColumn("block", F.spark_partition_id())
@@ -66,7 +78,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     # One row per block and dimension reaches the driver, and one matrix per task.
     reach = placed.groupBy("dim", "block").agg(F.max("length").alias("most"))
     reach = store(reach, "reach")
-    turns = {d: _rotation(base.where(F.col("dim") == d), d) for d in sorted(r["dim"] for r in reach.select("dim").distinct().collect())}
+    turns = _rotations(base, sorted(r["dim"] for r in reach.select("dim").distinct().collect()))
+    drop(base)
     shared = vectors.sparkSession.sparkContext.broadcast(turns)
     first = reach.groupBy("dim").agg(F.max_by("block", "most").alias("block"))
     start = asked.withColumn("least", F.lit(None).cast("bigint"))
@@ -78,26 +91,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     more = _meet(placed.join(F.broadcast(rest.select("dim", "block")), ["dim", "block"]), sent, k, shared, groups)
     order = Window.partitionBy("qid", "key").orderBy(F.desc("score"), "id")
     best = found.unionByName(more).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    fits = F.when(F.col("score").isin(*map(int, ENDS)), F.raise_error(F.lit("a score does not fit a long")).cast("bigint")).otherwise(F.col("score"))
+    return best.select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), fits.alias("score"))
 
 
-def _rotation(rows: DataFrame, dim: int) -> np.ndarray:
-    """Singular vectors by falling weight, as columns; the identity for very long vectors."""
-    if not 1 < dim <= ROTATED:
-        return np.eye(max(dim, 1))[:dim, :dim]
+def _rotations(base: DataFrame, dims: list[int]) -> dict[int, np.ndarray]:
+    """By dimension, singular vectors by falling weight, as columns; the identity for very long vectors."""
+    turned = [d for d in dims if 1 < d <= ROTATED]
 
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dim, dim))
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            x = _matrix(batch.column(0), dim).astype(float)
-            total += x.T @ x
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["m"])
-    total = sum((np.frombuffer(r["m"]).reshape(dim, dim) for r in rows.select("v").mapInArrow(gram, "m binary").toLocalIterator()), np.zeros((dim, dim)))
-    return np.ascontiguousarray(np.linalg.eigh(total)[1][:, ::-1])
+            size = batch.column(0).value_lengths().to_numpy()
+            for d in np.unique(size).tolist():
+                if d in turned:
+                    x = _matrix(batch.column(0).filter(pa.array(size == d)), d)
+                    total[d] = total.get(d, 0.0) + x.T @ x
+        yield from total.items()
+    sums = folded(base.select("v"), gram, np.add)
+    return {d: np.ascontiguousarray(np.linalg.eigh(sums[d])[1][:, ::-1]) if d in turned else np.eye(max(d, 1))[:d, :d] for d in dims}
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.asarray(column.flatten(), np.int64).reshape(len(column), dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
 def _meet(candidates: DataFrame, sent: DataFrame, k: int, shared, groups: int) -> DataFrame:
@@ -110,7 +126,7 @@ def _meet(candidates: DataFrame, sent: DataFrame, k: int, shared, groups: int) -
         if not len(queries) or not len(rows):
             return pd.DataFrame({"qid": [], "key": [], "id": [], "score": []}).astype("int64")
         rows = rows.sort_values(["length", "id"], ascending=[False, True], kind="stable")
-        q, x = (np.stack(f["v"].to_numpy()).astype(np.int64) for f in (queries, rows))
+        q, x = (np.stack(f["v"].to_numpy()) for f in (queries, rows))
         least = queries["least"].to_numpy(float, na_value=np.nan)
         return _block(queries["qid"].to_numpy(), queries["key"].to_numpy(), q, np.where(np.isnan(least), -np.inf, least), rows["id"].to_numpy(), x, turn, k)
 
@@ -118,13 +134,29 @@ def _meet(candidates: DataFrame, sent: DataFrame, k: int, shared, groups: int) -
     return asked.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(run, "qid bigint, key bigint, id bigint, score bigint")
 
 
+def _products(q: np.ndarray, x: np.ndarray):
+    """Exact products of one query with some candidates: in doubles, longs or whole numbers of any size."""
+    most = q.shape[1] * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0))
+    if most < FLOAT_EXACT:
+        return lambda i, at: (x[at] @ q[i]).astype(np.int64)
+    if max(most, float(np.abs(q).max(initial=0)), float(np.abs(x).max(initial=0))) < LONG:
+        whole_q, whole_x = q.astype(np.int64), x.astype(np.int64)
+        return lambda i, at: whole_x[at] @ whole_q[i]
+
+    def wide(i: int, at: np.ndarray) -> np.ndarray:
+        asked = [int(c) for c in q[i]]
+        each = [sum(a * int(c) for a, c in zip(asked, row, strict=True)) for row in x[at]]
+        return np.array([min(max(s, ENDS[0]), ENDS[1]) for s in each], np.int64)
+    return wide
+
+
 def _block(qid, key, q, least, ids, x, turn, k) -> pd.DataFrame:
     """Best k of sorted candidates ``x`` for each query, passing over what the bounds exclude."""
     qf, xf = q @ turn, x @ turn
     head = max(1, q.shape[1] // HEAD)
     ql, xl = np.linalg.norm(qf, axis=1), np.linalg.norm(xf, axis=1)
     qr, xr = np.linalg.norm(qf[:, head:], axis=1), np.linalg.norm(xf[:, head:], axis=1)
-    small = q.shape[1] * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) < FLOAT_EXACT
+    product = _products(q, x)
     best_id, best = np.full((len(q), k), np.iinfo(np.int64).max), np.full((len(q), k), np.iinfo(np.int64).min)
     filled = np.zeros(len(q), np.int64)
     for lo in range(0, len(x), CHUNK):
@@ -139,7 +171,7 @@ def _block(qid, key, q, least, ids, x, turn, k) -> pd.DataFrame:
             at = np.flatnonzero(row) + lo
             if not len(at):
                 continue
-            score = (x[at].astype(float) @ q[i].astype(float)).astype(np.int64) if small else x[at] @ q[i]
+            score = product(i, at)
             all_ids = np.concatenate([best_id[i, : filled[i]], ids[at]])
             scores = np.concatenate([best[i, : filled[i]], score])
             order = np.lexsort((all_ids, -scores))[:k]

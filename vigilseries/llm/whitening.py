@@ -1,7 +1,7 @@
 """Embedding whitening: blockwise QR of the centred rows, then a bidiagonal qd solver for the small factor.
 
 Every task reduces its centred rows block by block to one triangular factor;
-factors are stacked and reduced in groups of ``FAN`` until one is left, so the
+factors are stacked and reduced in groups until one is left, so the
 covariance matrix is never formed and its rounding never enters. Householder
 reflections make that factor bidiagonal, dqds finds its singular values and
 twisted factorisations its right singular vectors: the whitening directions.
@@ -17,17 +17,15 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.llm.bidiagonal import right_singular
-from vigilseries.llm.scratch import drop, store
+from vigilseries.llm.fold import folded
 
 SCALE, LIFT = 64, 1_000_000
 BLOCK = 4096
-FAN = 64
 COMPONENTS = 32
 
 
@@ -179,29 +177,11 @@ def _qr(factor: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _reduced(rows: DataFrame, made: Callable[[np.ndarray], np.ndarray], fold: Callable[[np.ndarray, np.ndarray], np.ndarray], dim: int,
              merge: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
-    """Fold all rows to one ``dim`` x ``dim`` matrix: one per task, then one per ``FAN`` of these, until one is left."""
-    merge = merge or fold
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fold all rows, block by block, to one ``dim`` x ``dim`` matrix."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
         total = np.zeros((dim, dim))
         for batch in batches:
             for lo in range(0, batch.num_rows, BLOCK):
                 total = fold(total, made(_matrix(batch.column(0).slice(lo, BLOCK))))
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["m"])
-
-    def again(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((dim, dim))
-        for m in pdf.sort_values("at")["m"]:
-            total = merge(total, np.frombuffer(m).reshape(dim, dim))
-        return pd.DataFrame({"at": [int(pdf["at"].iloc[0]) // FAN], "m": [total.tobytes()]})
-
-    current = store(rows.select("x").mapInArrow(first, "m binary").select(F.spark_partition_id().cast("bigint").alias("at"), "m"), "factors")
-    while True:
-        n = current.count()
-        if n <= 1:
-            found = current.first()
-            drop(current)
-            return np.frombuffer(found["m"]).reshape(dim, dim) if found else np.zeros((dim, dim))
-        fewer = store(current.groupBy(F.expr(f"at div {FAN}").alias("g")).applyInPandas(lambda pdf: again(pdf), "at bigint, m binary"), "factors")
-        drop(current)
-        current = fewer
+        yield 0, total
+    return folded(rows.select("x"), first, merge or fold).get(0, np.zeros((dim, dim)))
