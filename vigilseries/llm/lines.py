@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from vigilseries.llm.arrays import distinct, flat, mix, pieces
 from vigilseries.llm.components import components
 from vigilseries.llm.regions import across, confirm, small_semi
-from vigilseries.llm.scratch import drop, store
+from vigilseries.llm.scratch import drop, store, unused
 
 SHINGLE = 10
 BANDS, ROWS = 16, 3
@@ -57,17 +57,20 @@ def dedup_lines(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
     nothing stay as they are. A null text stays null and has no lines. Rows with
     a null id are left alone and drop nothing elsewhere. Rows that repeat id and
     text count as one document. A document whose lines all go keeps its row with
-    an empty text. ``docs`` must not have the two columns added here.
+    an empty text. A column of ``docs`` named ``n_lines`` or ``n_dropped`` is
+    replaced; all others are kept whatever their names.
     """
+    docs = docs.drop("n_lines", "n_dropped")
+    id_, key, lost = unused(docs, "_id", "_key", "_gone")
     linked = line_components(docs, percent, id_col, text_col)
     placed = _lines(docs, id_col, text_col).select("id", "key", "no", "line").join(linked, "line", "left")
     placed = placed.select("id", "key", "no", F.coalesce("component", "line").alias("line"))
     first = placed.groupBy("line").agg(F.min(F.struct("id", "no")).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = placed.join(first, "line").where("id <> at.id OR no <> at.no")
-    gone = store(gone.groupBy("id", "key").agg(F.collect_set("no").alias("_gone")), "gone")
+    gone = store(gone.groupBy("id", "key").agg(F.collect_set("no").alias(lost)), "gone")
     drop(linked)
-    keyed = docs.withColumns({"_id": F.col(id_col), "_key": F.xxhash64(text_col)})
-    out = keyed.join(gone.withColumnsRenamed({"id": "_id", "key": "_key"}), ["_id", "_key"], "left").select(*docs.columns, "_gone")
+    keyed = docs.withColumns({id_: F.col(id_col), key: F.xxhash64(text_col)})
+    out = keyed.join(gone.withColumnsRenamed({"id": id_, "key": key}), [id_, key], "left").select(*docs.columns, lost)
     where, names = docs.columns.index(text_col), [*docs.columns, "n_lines", "n_dropped"]
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 

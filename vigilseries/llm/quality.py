@@ -146,8 +146,10 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_weight(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "log_weight") -> DataFrame:
     """All columns and rows, and the log weight of each text (null for null or wordless texts). Nothing is shuffled.
 
-    The texts are taken to be among those the model counted.
+    The texts are taken to be among those the model counted. A column called
+    ``name`` is replaced.
     """
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     where = docs.columns.index(text_col)
 

@@ -60,17 +60,17 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 16, id_col: str = "
     """Write ``docs`` to ``path/shard=N`` in files of about ``file_bytes`` of text; the number and bytes of rows per shard.
 
     A shard is dealt to its files by row, so neither a large shard nor a group
-    of copies goes to one task. ``docs`` must not have a column ``shard``.
+    of copies goes to one task. A column ``shard`` of ``docs`` is replaced.
     """
-    if "shard" in docs.columns:
-        raise ValueError("the documents already have a column named shard")
+    docs = docs.drop("shard")
     groups = store(shard_groups(docs, n_shards, text_col, id_col), "groups")
     facts = store(groups.groupBy("shard").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("size")).alias("bytes")), "shards")
     files = 1 + (facts.agg(F.max("bytes")).first()[0] or 0) // file_bytes
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.struct(*docs.columns).alias("_doc"), *_group_columns(text))
-    out = with_shard(whole, groups, "shard").select("_doc.*", "shard", F.pmod(F.xxhash64("_doc"), F.lit(files)).alias("_file"))
-    out.repartition("shard", "_file").drop("_file").write.partitionBy("shard").parquet(path)
+    file = F.pmod(F.xxhash64("_doc"), F.lit(files))
+    out = with_shard(whole, groups, "shard").repartition("shard", file)
+    out.select("_doc.*", "shard").write.partitionBy("shard").parquet(path)
     drop(groups)
     return facts
 
