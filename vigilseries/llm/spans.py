@@ -6,8 +6,8 @@ windows with one mark make a segment. Marks met once (nearly all) end there;
 segments with other marks are dealt to shards by their mark, so all copies of a
 window are in one shard, and each document is streamed only through the shards
 of its own marks. A shard indexes its segments in document order and finds, by
-backward search, the interval of every window; a window goes if the interval
-begins with an earlier place than its own.
+backward search, the interval of every window; a window goes if one in its
+interval has an earlier place (id, start) than its own.
 
 Equal segments are reduced to the first of them before they are dealt (the
 others are covered as a whole). A mark with more than ``HOT`` different segments
@@ -58,8 +58,15 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     firsts = store(segments.groupBy("mark", "content").agg(F.min(place).alias("at"), F.min_by(F.struct("windows", "words"), place).alias("of"))
                    .select("mark", "content", "at.*", "of.*"), "firsts")
     heads = firsts.select("mark", "content", F.col("id").alias("first_id"), F.col("start").alias("first_start"))
-    copies = segments.drop("words").join(heads, ["mark", "content"]).where("id <> first_id OR start <> first_start")
-    copies = copies.select("id", "key", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (window - 1)).alias("hi"))
+    met = segments.drop("words").join(heads, ["mark", "content"])
+    # Another row of the same id with the segment at the same place: as early as the first one, so it is searched too.
+    first_key = F.col("key").alias("first_key")
+    twins = store(met.where("id = first_id AND start = first_start").join(firsts.select("mark", "content", first_key), ["mark", "content"])
+                  .where("key <> first_key").select("mark", "content", F.col("key").alias("twin_key")).distinct(), "twins") if _repeated_ids(able) else None
+    if twins is not None:
+        again = firsts.join(twins, ["mark", "content"]).withColumn("key", F.col("twin_key")).select(*firsts.columns)
+        firsts = store(firsts.unionByName(again), "firsts")
+    copies = met.where("id <> first_id OR start <> first_start").select("id", "key", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (window - 1)).alias("hi"))
 
     hot = store(firsts.groupBy("mark").count().where(f"count > {HOT}").select("mark"), "hot")
     calm = firsts.join(hot, "mark", "left_anti")
@@ -76,6 +83,11 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     return out.withColumnRenamed("id", id_col)
 
 
+def _repeated_ids(rows: DataFrame) -> bool:
+    """Whether two rows with different texts share an id."""
+    return not rows.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").isEmpty()
+
+
 def _hot_windows(firsts: DataFrame, window: int) -> DataFrame:
     """Windows of marks with very many segments: all but the first place of each are covered."""
     each = firsts.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
@@ -153,11 +165,13 @@ def _searcher(window: int):
         offsets = np.concatenate([[0], np.cumsum(windows)])
         owner = np.repeat(np.arange(len(windows)), windows)
         place = np.arange(offsets[-1]) - offsets[owner] + begin[owner]
-        hit = np.zeros(len(place), bool)
-        for lo in range(0, len(place), QUERIES_AT_ONCE):
-            part = place[lo: lo + QUERIES_AT_ONCE]
-            left, right = index.search(text, part, window)
-            hit[lo: lo + len(part)] = (right - left > 1) & (index.suffixes[left] < part)
+        interval = np.concatenate([np.zeros(0, np.int64), *(index.search(text, place[lo: lo + QUERIES_AT_ONCE], window)[0]
+                                                            for lo in range(0, len(place), QUERIES_AT_ONCE))])
+        # Equal windows have one interval, and all that lie in it are asked for here.
+        rank = _ranks(shard.column("id").to_numpy()[owner], shard.column("start").to_numpy()[owner] + place - begin[owner])
+        earliest = np.full(len(text) + 1, len(place))
+        np.minimum.at(earliest, interval, rank)
+        hit = earliest[interval] < rank
         new = hit.copy()
         new[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1])
         first = np.flatnonzero(new)
@@ -172,6 +186,15 @@ def _searcher(window: int):
     return run
 
 
+def _ranks(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Dense ranks of (id, start)."""
+    order = np.lexsort((starts, ids))
+    new = (np.diff(ids[order], prepend=ids[order[:1]]) != 0) | (np.diff(starts[order], prepend=starts[order[:1]]) != 0)
+    out = np.empty(len(ids), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leave out the words in a text's ranges."""
     for batch in batches:
