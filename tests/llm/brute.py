@@ -38,19 +38,22 @@ def components(sets):
 
 
 def without_repeats(rows, window=20):
-    """{id: (words, removed, sha)} for (id, text) rows with different ids."""
-    seen, out = set(), {}
-    for i, text in sorted(rows):
+    """Sorted (id, words, removed, sha) for (id, text) rows; rows may repeat ids."""
+    first, out = {}, []
+    for i, text in rows:
         w = words(text)
-        gone = [False] * len(w)
         for s in range(len(w) - window + 1):
             key = tuple(w[s:s + window])
-            if key in seen:
+            first[key] = min(first.get(key, (i, s)), (i, s))
+    for i, text in rows:
+        w = words(text)
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            if first[tuple(w[s:s + window])] < (i, s):
                 gone[s:s + window] = [True] * window
-            seen.add(key)
         kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
-        out[i] = len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()
-    return out
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
 
 
 def line_sets(text, n=10):

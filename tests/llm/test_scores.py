@@ -1,6 +1,7 @@
 """Tokens, pieces, languages, quality, chat and top-k."""
 
 import random
+import time
 from itertools import accumulate
 from pathlib import Path
 
@@ -50,6 +51,21 @@ def test_pieces_equal_the_library_and_round_trip(spark, corpus, monkeypatch, dic
         assert r["ids"] == ids and r["decoded"] == model.decode(ids) == (r["text"] or "").replace("▁", " ")
 
 
+@pytest.mark.parametrize("text", [" " * 100_000, "ab" * 50_000, "qzjkvw" * 9_000, "." * 50_000 + "=" * 50_000])
+def test_long_runs_are_merged_quickly(text):
+    alone, started = sp.InPlace(sp.load_pieces(MODEL)), time.perf_counter()
+    ids = alone.ids("▁" + text.replace(" ", "▁"))
+    assert time.perf_counter() - started < 5 and ids == SentencePieceProcessor(model_file=MODEL).encode(text)
+
+
+def test_pieces_keep_columns_of_any_name(odd_docs):
+    table = sp.load_pieces(MODEL)
+    docs = odd_docs.withColumns({"_units": F.lit("own"), "ids": F.lit("theirs")})
+    out = sp.decode(sp.encode(docs, table), table, name="component")
+    assert out.count() == docs.count() and out.select("_units").distinct().collect() == [("own",)]
+    assert dict(out.dtypes)["ids"] == "array<int>" and dict(out.dtypes)["component"] == "string"
+
+
 def test_unigram_fold_matches_brute_force(spark):
     rng = random.Random(4)
     rows = [(p, i, -rng.random() * 9) for i, p in enumerate(["▁", "a", "b", "▁a", "ab", "ba", "aa", "aba", "▁ab", "bb", "abb"])]
@@ -116,6 +132,7 @@ def test_quality_keeps_good_and_drops_marked(spark):
     clean = [i for i in range(900) if i % 5]
     assert sum(i in kept for i in clean) > 0.98 * len(clean) and sum(i in kept for i in range(0, 900, 5)) < 20
     assert importance_sample(docs, marks, k=10).count() == 10
+    assert dict(importance_sample(docs.withColumn("log_weight", F.lit("own")), marks, k=10).dtypes)["log_weight"] == "double"
     assert importance_sample(docs, marks.limit(0)).count() == 901 and importance_sample(docs.limit(0), marks).count() == 0
 
 
@@ -184,6 +201,17 @@ def test_top_k_matches_brute_force(spark, monkeypatch, long_tail):
     assert top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    def best(*vectors):
+        v = integer_vectors(spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(vectors)], "vec_id long, embedding array<double>"))
+        return [(r["vec_id"], r["score"]) for r in top_k(v, v.where("id = 0"), 2).orderBy("rank").collect()]
+    assert best([2.0**20] * 4, [2.0**20] * 4, [2.0**20, 2.0**20, 2.0**20, 2.0**20 + 2.0**-10]) == [(2, 2**62 + 2**30), (1, 2**62)]
+    assert best([2.0**-10, 0], [2.0**50, 0], [2.0**45, 2.0**45], [-(2.0**60), 0]) == [(1, 2**60), (2, 2**55)]
+    assert best([2.0**30, 1], [-(2.0**60), 5], [0, 7], [0, 8]) == [(3, 1024 * 8192), (2, 1024 * 7168)]  # what does not fit is not among the best
+    with pytest.raises(Exception, match="does not fit a long"):
+        best([2.0**30] * 4, [2.0**30] * 4, [1.0] * 4)
+
+
 def test_queries_of_all_operators_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
@@ -218,3 +246,35 @@ def test_pipeline_runs_and_decides(spark):
         counts.append(after.count())
     out = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert out.count() == counts[-1] < counts[0] and out.where(F.size("ids") != F.col("n_pieces")).count() == 0
+
+
+def odd_rows(spark):
+    """Null and repeated ids, null and wordless texts, a benchmark passage under a null and under a shared id."""
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 200").first()["text"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    fine = docs.where("doc_id = 1").first()["text"]
+    rows = [(None, item), (5, item), (5, fine), (6, None), (7, ""), (7, fine), (None, None), (8, fine), (8, fine), (9, " \n ")]
+    return spark.createDataFrame([(i, x, "en", None, len(x or "")) for i, x in rows], docs.schema), fine
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+    docs, fine = odd_rows(spark)
+    sf = "/root/testdata/sf0.001"
+
+    def left(stage):
+        return sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, sf).collect()), key=str)
+    blank = [(6, None), (7, ""), (9, " \n "), (None, None)]
+    assert left(corpus_pipeline.decontaminate) == sorted([*blank, (5, fine), (7, fine), (8, fine), (8, fine)], key=str)
+    kept = left(corpus_pipeline.near)
+    assert [x for x in kept if x in blank] == sorted(blank, key=str) and (7, fine) not in kept and (8, fine) not in kept and (5, fine) in kept
+    assert corpus_pipeline.pieces(spark, docs, sf).count() == docs.count()
+    assert corpus_pipeline.lines(spark, docs, sf).count() == docs.count()
+
+
+def test_pipeline_on_empty_tables(spark):
+    import corpus_pipeline
+    docs = odd_rows(spark)[0].limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0, name

@@ -89,8 +89,9 @@ def test_shards_odd_rows(odd_docs, no_docs, tmp_path):
     back = odd_docs.sparkSession.read.parquet(str(tmp_path / "out"))
     assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == {s: n for s, (n, _) in facts.items()}
     assert back.drop("shard").exceptAll(odd_docs.select(*back.drop("shard").columns)).count() == 0
-    with pytest.raises(ValueError, match="shard"):
-        write_shards(odd_docs.withColumn("shard", F.lit(1)), str(tmp_path / "no"))
+    write_shards(odd_docs.withColumns({"shard": F.lit(77), "key": F.lit("own"), "size": F.lit("own")}), str(tmp_path / "again"), 3)
+    again = odd_docs.sparkSession.read.parquet(str(tmp_path / "again"))
+    assert again.where("shard > 2 OR key <> 'own' OR size <> 'own'").count() == 0 and again.count() == odd_docs.count()
 
 
 @pytest.mark.parametrize("bits", [12, 2])
