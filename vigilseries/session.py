@@ -18,6 +18,8 @@ _SETTINGS = {
     # Row windows cost more time than their bytes suggest: let small shuffles keep all cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A Python task holds a batch on both sides, more than once: rows may be whole texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # HotSpot leaves methods above 8,000 bytecodes uncompiled; wide feature rows would run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -33,6 +35,13 @@ def get_session(app: str = "vigilseries", **settings) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller batches for Python tasks in a session made elsewhere, unless it sets their size itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, _SETTINGS[key])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
