@@ -2,167 +2,53 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigilseries.functions.scalars import NORMAL, round4, truncate_doc
-from vigilseries.session import materialize
+from vigilseries.operators.index import BLOCK_ROWS, COPIES, NeighbourIndex, build_index
 
-BLOCK_ROWS = 4096
-MAX_PIVOTS = 8192
-MATRIX_CELLS = 4_000_000
-_SLACK = 1e-9
+__all__ = ["NeighbourIndex", "analyze_embedded", "analyze_logs", "build_index", "knn_anomaly_prob", "knn_classify", "knn_join",
+           "neighbour_votes", "similar_logs"]
+MOST_SIMILAR = 10
 
 
-def _matrix(col: pd.Series, metric: str, side: int) -> np.ndarray:
-    """Vectors as rows. For cosine they get length 1 and two spare axes: a zero vector points along the axis
-    of its side, which puts it at cosine distance 1 from everything on the other side."""
-    if not len(col):
-        return np.zeros((0, 0))
-    x = np.stack(col.to_numpy()).astype("float64")
-    if metric != "cosine":
-        return x
-    norm = np.sqrt((x * x).sum(1))
-    spare = np.zeros((len(x), 2))
-    spare[norm == 0, side] = 1.0
-    return np.hstack([x / np.where(norm > 0, norm, 1.0)[:, None], spare])
-
-
-def _pieces(batches, columns: int):
-    """Arrow batches cut so that a distance matrix against ``columns`` vectors stays small."""
-    size = max(16, MATRIX_CELLS // max(columns, 1))
-    for pdf in batches:
-        for at in range(0, len(pdf), size):
-            yield pdf.iloc[at:at + size]
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    return np.sqrt(np.maximum(sq, 0.0))
-
-
-def knn_join(queries: DataFrame, corpus: DataFrame, k: int, vec_col: str, id_col: str, metric: str = "cosine",
+def knn_join(queries: DataFrame, corpus: DataFrame | NeighbourIndex, k: int, vec_col: str, id_col: str, metric: str = "cosine",
              payload: Sequence[str] = (), exclude_self: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
     """The k nearest corpus rows of every query: (qid, rank, cid, distance, payload...).
 
-    Exact. Corpus rows belong to the cell of their nearest pivot; a query visits
-    only cells whose distance bounds can still hold one of its k nearest. Cells
-    and their visitors are cut into blocks of bounded size, each pair of blocks
-    emits at most k rows per query, and those partial lists are merged. Of
-    identical corpus vectors only the first k (by id) can ever be answers, so
-    the rest are set aside before any pairing. Ties go to the smaller id.
+    Exact; ties go to the smaller id. A frame is indexed for this one search, an
+    index is used as it is (its own metric holds, and it must hold the payload).
+    Rows without a vector have no neighbours and are none.
     """
-    need = k + 1 if exclude_self else k
-    queries, corpus = queries.where(F.col(vec_col).isNotNull()), corpus.where(F.col(vec_col).isNotNull())
-    q = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).cast("array<double>").alias("qvec"))
-    pay = [f"p{i}" for i in range(len(payload))]
-    c = corpus.select(F.col(id_col).alias("cid"), F.col(vec_col).cast("array<double>").alias("cvec"), *[F.col(p).alias(a) for p, a in zip(payload, pay)])
-    copies = Window.partitionBy("cvec").orderBy("cid")
-    c = c.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= need).drop("_copy")
-    c = materialize(c, "corpus")
-
-    n = c.count()
-    out_schema = T.StructType([
-        T.StructField("qid", q.schema["qid"].dataType), T.StructField("cid", c.schema["cid"].dataType),
-        T.StructField("distance", T.DoubleType()), *[T.StructField(a, c.schema[a].dataType) for a in pay]])
-    # At most MAX_PIVOTS vectors reach the driver.
-    n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n / block)))
-    pivots = _matrix(pd.Series([r["cvec"] for r in c.select("cvec", F.xxhash64("cid").alias("h")).orderBy("h", "cvec").limit(n_pivots).collect()]), metric, 1)
-    if n == 0:
-        return _finish(q.sparkSession.createDataFrame([], out_schema), k, metric, payload, pay)
-
-    def assign(batches):
-        for pdf in _pieces(batches, len(pivots)):
-            d = _distances(_matrix(pdf["cvec"], metric, 1), pivots)
-            cell = d.argmin(1)
-            yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
-
-    celled = T.StructType([*c.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())])
-    c = c.mapInPandas(assign, celled) if n_pivots > 1 else c.withColumns({"cell": F.lit(0), "far": F.lit(0.0)})
-    if n_pivots > 1:
-        c = materialize(c, "cells")
-    # One row per cell: bounded by MAX_PIVOTS.
-    cells = c.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("lo"), F.max("far").alias("hi")).collect()
-    size, near, far = np.zeros(n_pivots, int), np.zeros(n_pivots), np.zeros(n_pivots)
-    for r in cells:
-        size[r["cell"]], near[r["cell"]], far[r["cell"]] = r["n"], r["lo"], r["hi"]
-
-    def visit(batches):
-        used = np.flatnonzero(size)
-        for pdf in _pieces(batches, len(pivots)):
-            d = _distances(_matrix(pdf["qvec"], metric, 0), pivots)[:, used]
-            upper = d + far[used]
-            order = upper.argsort(1)
-            enough = (np.take(size[used], order).cumsum(1) >= min(need, size.sum())).argmax(1)
-            bound = np.take_along_axis(upper, order, 1)[np.arange(len(d)), enough]
-            lower = np.maximum(d - far[used], near[used] - d)
-            rows, cols = np.nonzero(lower <= bound[:, None] * (1 + _SLACK) + _SLACK)
-            yield pdf.iloc[rows].assign(cell=used[cols].astype("int32"))
-
-    seen = T.StructType([*q.schema.fields, T.StructField("cell", T.IntegerType())])
-    visits = materialize(q.mapInPandas(visit, seen) if n_pivots > 1 else q.withColumn("cell", F.lit(0)), "visits")
-    visitors = np.zeros(n_pivots, int)
-    for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        visitors[r["cell"]] = r["n"]
-    c_blocks = F.element_at(F.lit([max(1, math.ceil(s / block)) for s in size.tolist()]), F.col("cell") + 1)
-    q_blocks = F.element_at(F.lit([max(1, math.ceil(s / block)) for s in visitors.tolist()]), F.col("cell") + 1)
-
-    def other(blocks):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), (blocks - 1).cast("bigint")))
-
-    left = visits.withColumn("qb", F.pmod(F.xxhash64("qid"), q_blocks)).withColumn("cb", other(c_blocks))
-    right = c.drop("far").withColumn("cb", F.pmod(F.xxhash64("cid"), c_blocks)).withColumn("qb", other(q_blocks))
-    names = [f.name for f in out_schema.fields]
-
-    def nearest(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if not len(qs) or not len(cs):
-            return pd.DataFrame(columns=names)
-        cs = cs.sort_values("cid", ignore_index=True)
-        cm, cid, parts = _matrix(cs["cvec"], metric, 1), cs["cid"].to_numpy(), []
-        for at in range(0, len(qs), 512):
-            some = qs.iloc[at:at + 512]
-            qm, qid = _matrix(some["qvec"], metric, 0), some["qid"].to_numpy()
-            rough = _distances(qm, cm)
-            if exclude_self:
-                rough[qid[:, None] == cid[None, :]] = np.inf
-            kth = np.partition(rough, min(k, rough.shape[1]) - 1, axis=1)[:, min(k, rough.shape[1]) - 1]
-            # The matrix product loses digits near 0: keep near ties, then measure those exactly.
-            rows, cols = np.nonzero((rough <= (kth + 1e-5 * (1 + kth))[:, None]) & np.isfinite(rough))
-            exact = np.sqrt(((qm[rows] - cm[cols]) ** 2).sum(1))
-            order = np.lexsort((cols, exact, rows))
-            rows, cols, exact = rows[order], cols[order], exact[order]
-            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-            kept = place < k
-            found = cs.iloc[cols[kept]][["cid", *pay]].reset_index(drop=True)
-            parts.append(found.assign(qid=qid[rows[kept]], distance=exact[kept])[names])
-        return pd.concat(parts, ignore_index=True)
-
-    keys = ["cell", "qb", "cb"]
-    partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, out_schema)
-    return _finish(partial, k, metric, payload, pay)
-
-
-def _finish(partial: DataFrame, k: int, metric: str, payload, pay) -> DataFrame:
-    best = Window.partitionBy("qid").orderBy("distance", "cid")
-    merged = partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    distance = F.col("distance") * F.col("distance") / 2 if metric == "cosine" else F.col("distance")
-    return merged.select("qid", "rank", "cid", distance.alias("distance"), *[F.col(a).alias(p) for p, a in zip(payload, pay)])
-
-
-def similar_logs(queries: DataFrame, corpus: DataFrame, vec_col: str = "embedding", id_col: str = "id", k: int = 5,
-                 payload: Sequence[str] = ()) -> DataFrame:
-    """Top-k by cosine with ``similarity`` rounded to 4 places."""
-    found = knn_join(queries, corpus, k, vec_col, id_col, payload=payload)
+    if isinstance(corpus, NeighbourIndex):
+        if lacking := set(payload) - set(corpus.payload):
+            raise ValueError(f"the index does not hold {sorted(lacking)}")
+        found = corpus.search(queries, vec_col, id_col, k, exclude_self)
+        return found.select("qid", "rank", "cid", "distance", *payload)
+    index = build_index(corpus, vec_col, id_col, metric=metric, payload=payload, copies=k + 1 if exclude_self else k, block=block)
+    return index.search(queries, vec_col, id_col, k, exclude_self)
+
+
+def similar_logs(queries: DataFrame, corpus: DataFrame | NeighbourIndex, vec_col: str = "embedding", id_col: str = "id", k: int = 5,
+                 payload: Sequence[str] = (), approx: bool = False, recall: float = 0.9, stats: dict | None = None) -> DataFrame:
+    """Top-k by cosine with ``similarity`` rounded to 4 places.
+
+    With ``approx`` candidates come from hashed buckets, looked into until a
+    sample of queries reaches ``recall`` (see ``NeighbourIndex.search_approx``);
+    their similarities are exact.
+    """
+    if approx:
+        index = corpus if isinstance(corpus, NeighbourIndex) else build_index(corpus, vec_col, id_col, payload=payload, copies=max(k, COPIES))
+        found = index.search_approx(queries, vec_col, id_col, k, recall, stats=stats)
+    else:
+        found = knn_join(queries, corpus, k, vec_col, id_col, payload=payload)
     return found.select("qid", "rank", "cid", round4(1 - F.col("distance")).alias("similarity"), *payload)
 
 
-def neighbour_votes(queries: DataFrame, corpus: DataFrame, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
+def neighbour_votes(queries: DataFrame, corpus: DataFrame | NeighbourIndex, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
     """Votes of the k nearest per query and label: (qid, label, votes, share)."""
     found = knn_join(queries, corpus, k, vec_col, id_col, payload=[label_col])
     votes = found.groupBy("qid", F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("votes"))
@@ -178,30 +64,46 @@ def _winner(votes: DataFrame) -> DataFrame:
     ).select("qid", F.col("w.label").alias("label"), F.col("w.share").alias("confidence"), "p_anomaly")
 
 
-def knn_classify(queries: DataFrame, corpus: DataFrame, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
+def knn_classify(queries: DataFrame, corpus: DataFrame | NeighbourIndex, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
     """(qid, label, confidence) by uniform vote of the k nearest by cosine."""
     return _winner(neighbour_votes(queries, corpus, vec_col, label_col, id_col, k)).drop("p_anomaly")
 
 
-def knn_anomaly_prob(queries: DataFrame, corpus: DataFrame, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
+def knn_anomaly_prob(queries: DataFrame, corpus: DataFrame | NeighbourIndex, vec_col: str, label_col: str, id_col: str, k: int = 7) -> DataFrame:
     """(qid, label, confidence, p_anomaly): p_anomaly is the vote share that is not ``normal``."""
     return _winner(neighbour_votes(queries, corpus, vec_col, label_col, id_col, k))
 
 
-def analyze_embedded(queries: DataFrame, train: DataFrame, store: DataFrame, vec_col: str = "embedding",
+def analyze_embedded(queries: DataFrame, train: DataFrame | NeighbourIndex, store: DataFrame | NeighbourIndex, vec_col: str = "embedding",
                      label_col: str = "category", id_col: str = "id", document_col: str = "document",
-                     metadata_col: str | None = "metadata", k: int = 7, top_k: int = 3) -> DataFrame:
+                     metadata_col: str | None = "metadata", k: int = 7, top_k: int | str = 3) -> DataFrame:
     """One row per query id: category, confidence and the ``similar_logs`` array; all null for a line without a vector.
 
-    Votes come from the train split, similar logs from the whole store.
+    Votes come from the train split, similar logs from the whole store; either
+    may be a stored index. ``top_k`` is a number for all lines or the name of a
+    column with each line's own, from 1 to 10 (3 where it is null).
     """
+    own = isinstance(top_k, str)
+    every = queries.select(F.col(id_col).alias("qid"), *([F.coalesce(F.col(top_k), F.lit(3)).alias("_top")] if own else [])).distinct()
+    if own:
+        fits = F.col("_top").between(1, MOST_SIMILAR)
+        every = every.withColumn("_top", F.when(fits, F.col("_top")).otherwise(F.raise_error(F.lit(f"top_k must be 1 to {MOST_SIMILAR}")).cast("int")))
     classes = knn_anomaly_prob(queries, train, vec_col, label_col, id_col, k)
     payload = [document_col, *([metadata_col] if metadata_col else [])]
-    near = similar_logs(queries, store, vec_col, id_col, top_k, payload)
+    near = similar_logs(queries, store, vec_col, id_col, MOST_SIMILAR if own else top_k, payload)
     entry = F.struct("rank", truncate_doc(F.col(document_col)).alias("document"),
                      *([F.col(metadata_col).alias("metadata")] if metadata_col else []), "similarity")
     listed = near.groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e.dropFields("rank")).alias("similar_logs"))
-    every = queries.select(F.col(id_col).alias("qid")).distinct()
+    logs = F.slice("similar_logs", F.lit(1), F.col("_top")) if own else F.col("similar_logs")
     return every.join(classes, "qid", "left").join(listed, "qid", "left").select(
         F.col("qid").alias(id_col), F.col("label").alias("predicted_category"), round4(F.col("confidence")).alias("confidence"),
-        "p_anomaly", "similar_logs")
+        "p_anomaly", logs.alias("similar_logs"))
+
+
+def analyze_logs(logs: DataFrame, train: DataFrame | NeighbourIndex, store: DataFrame | NeighbourIndex, encode: Callable[[DataFrame], DataFrame],
+                 id_col: str = "id", **options) -> DataFrame:
+    """``analyze_embedded`` for log lines as text: ``encode`` adds the column ``embedding``, as the stored vectors were made.
+
+    Every line gets a row; a line that ``encode`` gives no vector has nulls.
+    """
+    return analyze_embedded(encode(logs), train, store, id_col=id_col, **options)
