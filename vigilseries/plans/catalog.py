@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigilseries.functions.scalars import binarize_score, category_map, log_line_parse, round4, sigmoid, truncate_doc
 from vigilseries.operators import alerts, classifier, decompose, detectors, evaluate, missing, neighbours, profile, rows, split, text, windows
+from vigilseries.operators import index as index_
 from vigilseries.operators.layout import ROW_IDX, SERIES_ID
 from vigilseries.plans import tables as t
 from vigilseries.plans.flow import run_log_pipeline, run_pipeline
@@ -275,7 +277,7 @@ def impute_linear_by_user(spark, sf):
 
 @query
 def impute_forward_linear(spark, sf):
-    return tidy(missing.impute_forward_linear(t.telemetry(spark, sf), METRICS[:1], t.ORDER).select("event_id", METRICS[0]))
+    return tidy(missing.impute_forward_linear(t.telemetry(spark, sf), METRICS, t.ORDER).select("event_id", *METRICS))
 
 
 @query
@@ -399,7 +401,7 @@ def chronological_split_by_user(spark, sf):
 @query
 def sliding_sequences(spark, sf):
     """Each window by its size, ends and total."""
-    seq = split.sliding_sequences(_split_clean(spark, sf), METRICS[:2], "is_anomaly", t.ORDER)
+    seq = split.sliding_sequences(_split_clean(spark, sf), METRICS, "is_anomaly", t.ORDER)
     return tidy(seq.select(
         ROW_IDX, "split", "label", F.size("features").alias("steps"), F.col("features")[0][0].alias("first_x"),
         F.element_at("features", -1)[1].alias("last_y"),
@@ -528,19 +530,35 @@ def score_windows(spark, sf):
 
 # --- log analytics ---
 
+def _vowels(col):
+    return F.array(*[(F.length(col) - F.length(F.replace(col, F.lit(c), F.lit("")))).cast("double") for c in "aeiou"])
+
+
+def _vowel_model():
+    """Loads a model that counts each vowel of each text."""
+    return lambda texts: np.array([[x.count(c) for c in "aeiou"] for x in texts], float)
+
+
+def _coded(df):
+    norm = F.aggregate("embedding", F.lit(0.0), lambda s, e: s + e * e)
+    return tidy(df.select("id", F.size("embedding").alias("dim"), F.element_at("embedding", 1).alias("first_dim"), norm.alias("sq_norm")))
+
+
 @query
 def embed_text_letters(spark, sf):
     """Texts coded by a given column function: how often each vowel occurs."""
-    def vowels(col):
-        return F.array(*[(F.length(col) - F.length(F.replace(col, F.lit(c), F.lit("")))).cast("double") for c in "aeiou"])
-    coded = text.embed_text(t.labelled_text(spark, sf), "log_text", encoder=vowels)
-    norm = F.aggregate("embedding", F.lit(0.0), lambda s, e: s + e * e)
-    return tidy(coded.select("id", F.size("embedding").alias("dim"), F.element_at("embedding", 1).alias("first_dim"), norm.alias("sq_norm")))
+    return _coded(text.embed_text(t.document_text(spark, sf), "log_text", encoder=_vowels))
+
+
+@query
+def embed_text_batched(spark, sf):
+    """The same by a Python model, loaded once per worker and given batches."""
+    return _coded(text.embed_text(t.document_text(spark, sf), "log_text", encoder=text.batched_encoder("vowels", _vowel_model)))
 
 
 @query
 def embed_text(spark, sf):
-    coded = text.embed_text(t.labelled_text(spark, sf), "log_text")
+    coded = text.embed_text(t.document_text(spark, sf), "log_text")
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, e: s + e * e)
     return tidy(coded.select("id", F.size("embedding").alias("dim"), norm.alias("sq_norm")))
 
@@ -579,6 +597,38 @@ def similar_logs(spark, sf):
     return tidy(neighbours.similar_logs(store, store, payload=["log_text", "category"]))
 
 
+@query
+def similar_logs_stored(spark, sf):
+    """Searched in an index that was written and opened again."""
+    store, path = t.vectors(spark, sf), scratch_path(spark, "index")
+    index_.build_index(store, "embedding", "id", path, payload=["log_text", "category"])
+    return tidy(neighbours.similar_logs(store, index_.load_index(spark, path), payload=["log_text", "category"]))
+
+
+@query
+def similar_logs_recall(spark, sf):
+    """How much of the exact answer approximate search finds, over all vectors."""
+    store = t.vectors(spark, sf)
+    index = index_.build_index(store, "embedding", "id")
+    exact = materialize(neighbours.similar_logs(store, index), "exact")
+    found = neighbours.similar_logs(store, index, approx=True).select("qid", "cid", F.lit(1).alias("hit"))
+    both = exact.join(found, ["qid", "cid"], "left").agg(F.countDistinct("qid").alias("queries"), (F.avg(F.coalesce("hit", F.lit(0))) >= 0.9).alias("enough"))
+    return tidy(both)
+
+
+@query
+def analyze_log_text(spark, sf):
+    """Labelled documents as log lines in plain text, each with its own number of similar logs, against stored indexes."""
+    lines = text.embed_text(t.labelled_text(spark, sf), "log_text", encoder=_vowels)
+    parts = materialize(text.stratified_split(lines, "id", "category"), "lines")
+    train, store = (index_.build_index(df, "embedding", "id", payload=["log_text", "category"]) for df in (parts.where("split = 'train'"), parts))
+    asked = parts.where("split = 'test'").select("id", "log_text", F.expr("CAST(id % 10 + 1 AS INT)").alias("top_k"))
+    out = neighbours.analyze_logs(asked, train, store, lambda df: text.embed_text(df, "log_text", encoder=_vowels), document_col="log_text",
+                                  metadata_col=None, top_k="top_k")
+    total = F.aggregate("similar_logs", F.lit(0.0), lambda s, e: s + e["similarity"])
+    return tidy(out.select("id", "predicted_category", "confidence", F.size("similar_logs").alias("n_similar"), total.alias("similarity")), 3)
+
+
 @query
 def analyze_logs(spark, sf):
     test, train, store = _stored(spark, sf)

@@ -125,7 +125,7 @@ ORACLES["missing_mask"] = f"""WITH {TELE} SELECT event_id, {cols(i(f'CASE WHEN {
 FROM tele ORDER BY ts, event_id LIMIT 500"""
 ORACLES["impute_linear"] = f"WITH {TELE}, {imputed()} SELECT event_id, {RAW} FROM imp"
 ORACLES["impute_linear_by_user"] = f"WITH {TELE}, {imputed('user_id', 'user_idx')} SELECT event_id, {RAW} FROM imp"
-ORACLES["impute_forward_linear"] = f"WITH {TELE}, {imputed(metrics=METRICS[:1])} SELECT event_id, {r(METRICS[0], METRICS[0])} FROM imp"
+ORACLES["impute_forward_linear"] = f"WITH {TELE}, {imputed()} SELECT event_id, {cols(r(m, m) for m in METRICS)} FROM imp"
 _carried = cols(r(f"coalesce(last_value({m} IGNORE NULLS) OVER (ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0)", m) for m in METRICS)
 ORACLES["ffill_zero"] = f"WITH {TELE} SELECT event_id, {_carried} FROM tele"
 ORACLES["fill_stat_zero"] = f"""SELECT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {r('coalesce(stddev_samp(value), 0.0)', 'std')}
@@ -220,7 +220,7 @@ ORACLES["chronological_split_by_user"] = f"""WITH {TELE} SELECT event_id, user_i
 _w30 = "OVER (PARTITION BY split ORDER BY row_idx ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
 ORACLES["sliding_sequences"] = f"""WITH {SPLIT}, s AS (SELECT row_idx, split, is_anomaly, row_number() OVER (PARTITION BY split ORDER BY row_idx) - 1 AS pos,
   count(*) OVER (PARTITION BY split) AS n, lag(latency_ms, 29) OVER (PARTITION BY split ORDER BY row_idx) AS first_x, packet_loss_pct AS last_y,
-  sum(latency_ms + packet_loss_pct) {_w30} AS total FROM split)
+  sum({' + '.join(METRICS)}) {_w30} AS total FROM split)
 SELECT {i('row_idx', 'row_idx')}, split, {i('is_anomaly', 'label')}, {i('30', 'steps')}, {r('first_x', 'first_x')}, {r('last_y', 'last_y')}, {r('total', 'total')}
 FROM s WHERE pos >= 29 AND pos <= n - 2"""
 ORACLES["last_window"] = f"""WITH d AS (SELECT user_id, value,
@@ -327,7 +327,19 @@ SELECT event_id, {r('m', 'value_roll_mean_30')}, {r('s', 'value_roll_std_30')},
 
 _vowel = {c: f"(length(text) - length(replace(text, '{c}', '')))" for c in "aeiou"}
 ORACLES["embed_text_letters"] = f"""SELECT doc_id AS id, {i('5', 'dim')}, {r(_vowel['a'], 'first_dim')},
-  {r(' + '.join(f'{v} * {v}' for v in _vowel.values()), 'sq_norm')} FROM documents JOIN labels USING (doc_id)"""
+  {r(' + '.join(f'{v} * {v}' for v in _vowel.values()), 'sq_norm')} FROM documents"""
+ORACLES["embed_text_batched"] = ORACLES["embed_text_letters"]
+ORACLES["similar_logs_stored"] = ORACLES["similar_logs"]
+ORACLES["similar_logs_recall"] = f"SELECT {i('count(*)', 'queries')}, true AS enough FROM embeddings"
+_texts = f"""vectors AS (SELECT doc_id AS id, [{', '.join(f'{v}::DOUBLE' for v in _vowel.values())}] AS e, 'quality_' || quality AS category,
+  text AS log_text FROM documents JOIN labels USING (doc_id))"""
+_zero_safe = "coalesce(CASE WHEN isnan(list_cosine_similarity(q.e, c.e)) THEN 0 ELSE list_cosine_similarity(q.e, c.e) END, 0)"
+ORACLES["analyze_log_text"] = f"""WITH {_votes}, al AS (SELECT q.id AS qid, round(list_cosine_similarity(q.e, c.e), 4) AS s,
+  row_number() OVER (PARTITION BY q.id ORDER BY round(1 - list_cosine_similarity(q.e, c.e), 12), c.id) AS rn
+  FROM (SELECT * FROM parts WHERE split = 'test') q, parts c),
+sim AS (SELECT qid, count(*) AS n, sum(s) AS s FROM al WHERE rn <= qid % 10 + 1 GROUP BY qid)
+SELECT qid AS id, label AS predicted_category, {r('v / 7.0', 'confidence', 3)}, {i('n', 'n_similar')}, {r('s', 'similarity', 3)}
+FROM win JOIN sim USING (qid) WHERE place = 1""".replace(VECTORS, _texts).replace("list_cosine_similarity(q.e, c.e)", _zero_safe)
 
 # A reloaded model scores every row of the test split like the one that was saved.
 ORACLES["load_model"] = """SELECT 'anomaly_score' AS "column", CAST(0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS one_side_null,

@@ -89,6 +89,12 @@ def labelled_text(spark: SparkSession, sf: str) -> DataFrame:
         F.col("lang").alias("severity"), F.col("source").alias("error_code"))
 
 
+def document_text(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as log lines."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("log_text"), F.col("lang").alias("severity"), F.col("source").alias("error_code"))
+
+
 def episodes(spark: SparkSession, sf: str) -> DataFrame:
     """An episode starts at every purchase above HIGH; its metric follows the digit sum of its value."""
     pick = F.floor(F.col("value")).cast("bigint")
