@@ -176,9 +176,9 @@ e AS (
          floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
   FROM d LEFT JOIN m USING (r)),
 o AS (
-  SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY words >= 20 ORDER BY weight + noise DESC, doc_id) AS at,
+  SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY words >= 20 ORDER BY weight + noise DESC, doc_id) AS place,
          count(*) OVER (PARTITION BY words >= 20) AS able FROM e)
-SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND at <= able * 25 // 100 THEN at END::BIGINT AS rank FROM o
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN words >= 20 AND place <= able * 25 // 100 THEN place END AS BIGINT) AS rank FROM o
 """
 
 
