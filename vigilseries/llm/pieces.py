@@ -263,15 +263,19 @@ def _packed(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     packed = store(frequent.select("unit", "ids").mapInArrow(pack, "k binary, c binary, i binary"), "packed")
     rows = packed.collect()
     drop(packed)
-    keys, counts, ids = ([np.frombuffer(r[name], kind) for r in rows] for name, kind in (("k", np.uint64), ("c", np.uint32), ("i", np.uint32)))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32)
-    key, count, flat_ids = np.concatenate(keys), np.concatenate(counts).astype(np.int64), np.concatenate(ids).astype(np.int32)
-    order, first = np.argsort(key), np.concatenate([[0], np.cumsum(count)])
-    sorted_first = np.concatenate([[0], np.cumsum(count[order])])
-    index = np.arange(sorted_first[-1]) + np.repeat(first[order] - sorted_first[:-1], count[order])
-    # Small types, as every Python worker holds a copy.
-    return key[order], sorted_first.astype(np.min_scalar_type(sorted_first[-1])), flat_ids[index].astype(np.min_scalar_type(flat_ids.max(initial=0)))
+    if not rows:
+        return np.zeros(0, np.uint64), np.zeros(1, np.uint8), np.zeros(0, np.uint8)
+    key, count, ids = (np.concatenate([np.frombuffer(r[name], kind) for r in rows]) for name, kind in (("k", np.uint64), ("c", np.uint32), ("i", np.uint32)))
+    del rows
+    # Small types, as the driver and every Python worker hold a copy.
+    ids = ids.astype(np.min_scalar_type(ids.max(initial=0)))
+    small = np.min_scalar_type(-1 - len(ids))
+    order, first = np.argsort(key), np.concatenate([[0], np.cumsum(count, dtype=small)]).astype(small)
+    count = count[order]
+    sorted_first = np.concatenate([[0], np.cumsum(count, dtype=small)]).astype(small)
+    index = np.repeat(first[order] - sorted_first[:-1], count)
+    index += np.arange(len(index), dtype=small)
+    return key[order], sorted_first, ids[index]
 
 
 def _unit_keys(column: pa.Array) -> np.ndarray:
