@@ -207,33 +207,3 @@ def test_window_classifier_round_trip(spark, tmp_path):
     short = spark.createDataFrame([(1, [[0.0, 0.0]] * 4), (2, [[9.0, 9.0], *[[0.0, 0.0]] * 5])], "id long, features array<array<double>>")
     got = {r.id: r for r in classifier.score_windows(short, model).collect()}
     assert got[1]["anomaly_score"] is None and got[1]["error"].endswith("has 4") and got[2]["error"] is None and got[2]["anomaly_score"] is not None
-
-
-def test_stream_over_batches_equals_one_batch(spark, tmp_path):
-    from vigilseries.streaming.jobs import stream_score_windows
-    rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"t": np.arange(300), "s": np.where(rng.random(300) < 0.7, "hot", "cold"), "v": rng.normal(0, 1, 300).round(3)})
-    (tmp_path / "in").mkdir()
-    for i in range(3):
-        part = tmp_path / "in" / f"{i}.parquet"
-        pdf.iloc[100 * i:100 * (i + 1)].to_parquet(part)
-        os.utime(part, (1e9 + i, 1e9 + i))  # files are taken oldest first
-    stream = spark.readStream.schema("t long, s string, v double").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    stream_score_windows(stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/ck", ["v"], ["t"], ["s"], lambda d: d).awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").toPandas().sort_values("t", ignore_index=True)
-    assert len(got) == 300 and list(got["batch_id"]) == [i // 100 for i in range(300)]
-    want = pdf.groupby("s")["v"].rolling(30, min_periods=1).mean().reset_index(level=0, drop=True).sort_index()
-    np.testing.assert_allclose(got["v_roll_mean_30"], want, atol=1e-9)
-
-
-def test_stream_forgets_silent_series(spark, tmp_path):
-    from vigilseries.streaming.jobs import stream_score_windows
-    (tmp_path / "in").mkdir()
-    for i, rows in enumerate(([("2024-01-01 00:00:00", "old", 1.0)], [("2024-01-01 05:00:00", "new", 2.0)])):
-        part = tmp_path / "in" / f"{i}.parquet"
-        pdf = pd.DataFrame(rows, columns=["t", "s", "v"]).assign(t=lambda d: pd.to_datetime(d["t"]).astype("datetime64[us]"))
-        pdf.to_parquet(part)
-        os.utime(part, (1e9 + i, 1e9 + i))
-    stream = spark.readStream.schema("t timestamp_ntz, s string, v double").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    stream_score_windows(stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/ck", ["v"], ["t"], ["s"], lambda d: d, ttl="1 hour").awaitTermination()
-    assert [r.s for r in spark.read.parquet(f"{tmp_path}/state/batch_id=1").collect()] == ["new"]

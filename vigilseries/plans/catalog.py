@@ -655,8 +655,7 @@ def stream_score_windows_(spark, sf):
         gap = (F.col("value") - F.col("value_roll_mean_30")) / (F.col("value_roll_std_30") + 1.0)
         return recent.withColumn("anomaly_score", sigmoid(gap))
 
-    stream_score_windows(stream, out, scratch_path(spark, "state"), scratch_path(spark, "offsets"), ["value"],
-                         ["ts", "event_id"], USER, scorer).awaitTermination()
+    stream_score_windows(stream, out, scratch_path(spark, "offsets"), ["value"], ["ts", "event_id"], USER, scorer).awaitTermination()
     return tidy(spark.read.parquet(out).select("event_id", "value_roll_mean_30", "value_roll_std_30", "anomaly_score"))
 
 

@@ -6,44 +6,56 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilseries.operators.layout import ROW_IDX, SERIES_ID, as_list, attach, index_rows, series_key, series_length
+from vigilseries.operators.layout import ROW_IDX, SERIES_ID, as_list, index_rows
 from vigilseries.operators.neighbours import analyze_embedded
 from vigilseries.operators.text import embed_text
 from vigilseries.operators.windows import rolling_mean_std
 from vigilseries.session import materialize
+from vigilseries.streaming.tails import KEY, NEW, PACKED, TIE, TIME, earlier_tails, opened, series_name
 
 
-def stream_score_windows(stream: DataFrame, out_path: str, state_path: str, checkpoint: str, metrics: Sequence[str],
-                         order_cols: Sequence[str], series_cols: Sequence[str], scorer: Callable[[DataFrame], DataFrame],
-                         window: int = 30, ttl: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+def stream_score_windows(stream: DataFrame, out_path: str, checkpoint: str, metrics: Sequence[str], order_cols: Sequence[str],
+                         series_cols: Sequence[str], scorer: Callable[[DataFrame], DataFrame], window: int = 30,
+                         ttl: str | None = None, lateness: str = "0 seconds", trigger: dict | None = None) -> StreamingQuery:
     """Score each new row over the last ``window`` rows of its series.
 
-    The state is a table: the newest ``window`` rows per series, one version per
-    batch. A batch is put behind it and runs through the same chunked windows as
-    a batch job, so a series that dominates a batch is still split. Outputs and
-    state are written per batch id, which makes a replayed batch harmless. Late
-    rows are scored at their place among the rows still kept. ``ttl`` (an
-    interval) forgets series silent for that long.
+    Spark's state store keeps the newest ``window`` rows of each series; a batch
+    reads and writes only the series it has rows of. The kept rows go before the
+    batch, and both run through the same chunked windows as a batch job, so a
+    series that dominates a batch is split. Output is written per batch id and
+    state is versioned per batch, which makes a replayed batch harmless.
+
+    A late row is scored at its place among the rows kept and those of its
+    batch; it is kept if it is among the newest ``window``, and rows scored
+    before are not scored again. ``ttl`` (an interval) forgets a series whose
+    newest row is that much older than the watermark, which is the newest value
+    of the first order column in all earlier batches minus ``lateness``. With
+    it, rows of a series that arrive in a partition wholly before the watermark
+    meet the rows of their batch alone and are not kept.
     """
-    series, order = as_list(series_cols), as_list(order_cols)
+    series, order = as_list(series_cols), [*as_list(order_cols), TIE]
+    plain = [f.name for f in stream.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = stream.withColumns({TIE: F.xxhash64(*plain), KEY: series_name(series)})
+    given = T.StructType([f for f in rows.schema.fields if f.name != KEY])
+    ttl_ms = None
+    if ttl:
+        rows = rows.withColumn(TIME, F.col(order[0]).cast("timestamp"))
+        ttl_ms = stream.sparkSession.range(1).select(
+            F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {ttl}"))).first()[0]
+    earlier = earlier_tails(rows, order, window, lateness, ttl_ms)
+    both = rows.drop(KEY, TIME).withColumn(PACKED, F.lit(None).cast("binary")).unionByName(earlier.drop(KEY), allowMissingColumns=True)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("_new", F.lit(True))
-        if batch_id > 0:
-            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{state_path}/batch_id={batch_id - 1}").withColumn("_new", F.lit(False)))
-        placed = index_rows(rows, order, series)
+        here = materialize(batch, "batch")  # the state is read and written once
+        new, old = here.where(F.col(PACKED).isNull()).drop(PACKED), here.where(F.col(PACKED).isNotNull())
+        placed = index_rows(new.withColumn(NEW, F.lit(True)).unionByName(opened(old, given).withColumn(NEW, F.lit(False))), order, series)
         recent = rolling_mean_std(placed, metrics, order, window, series)
-        scorer(recent.where("_new").drop("_new", ROW_IDX, SERIES_ID)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        tail = attach(placed, series_length(placed, series_key(series)), series_key(series)).where(F.col(ROW_IDX) >= F.col("_n") - window)
-        if ttl:
-            newest = placed.agg(F.max(order[0]).alias("_latest"))
-            tail = attach(tail, newest).where(F.col(order[0]) >= F.col("_latest") - F.expr(f"INTERVAL {ttl}"))
-        tail.select(*batch.columns).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        scorer(recent.where(NEW).drop(NEW, TIE, ROW_IDX, SERIES_ID)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer = both.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
