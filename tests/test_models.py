@@ -190,6 +190,62 @@ def test_stratified_split_keeps_shares(spark):
     assert {(r.y, r.t, r.n) for r in got} == {("rare", 20, 100), ("usual", 180, 899), (None, 0, 1)}
 
 
+def test_stratified_split_moves_no_payload(spark):
+    df = spark.range(4000).selectExpr("id", "CAST(id % 3 AS STRING) AS y", "repeat('x', 50) AS payload")
+    plan = text.stratified_split(df, "id", "y")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_stratified_split_matches_sorting_whatever_the_digits(spark, monkeypatch):
+    import hashlib
+    rng = np.random.default_rng(7)
+    ids, y = rng.permutation(3000), rng.choice(["a", "b", "c"], 3000, p=[0.9, 0.099, 0.001])
+    df = spark.createDataFrame(pd.DataFrame({"id": ids, "y": y}))
+    want = {}
+    for c in "abc":
+        own = sorted((int(i) for i in ids[y == c]), key=lambda i: (hashlib.md5(f"{i}:42".encode()).hexdigest(), i))
+        cut = int(len(own) * 0.3 + 0.5)
+        want |= {i: "test" if n < cut else "train" for n, i in enumerate(own)}
+    for digits in (1, 3):
+        monkeypatch.setattr(text, "DIGITS", digits)
+        assert {r.id: r.split for r in text.stratified_split(df, "id", "y", 0.3).collect()} == want
+
+
+def test_stratified_split_keeps_copies_together(spark):
+    rows = [(1, "a")] * 6 + [(i, "a") for i in range(2, 16)] + [(None, "b"), (None, "b"), (None, None)]
+    got = text.stratified_split(spark.createDataFrame(rows, "id long, y string"), "id", "y", 0.5).toPandas()
+    assert len(got) == 23 and got.fillna(-1).groupby(["id", "y"])["split"].nunique().max() == 1
+    assert (got[got.y == "a"]["split"] == "test").sum() <= 10 and set(got[got.y == "b"]["split"]) == {"train"}
+    assert text.stratified_split(spark.createDataFrame([], "id long, y string"), "id", "y").count() == 0
+
+
+def test_area_of_many_scores_with_ties_and_nulls(spark, monkeypatch):
+    from vigilseries.operators import layout
+    monkeypatch.setattr(layout, "CHUNK_ROWS", 16)
+    rng = np.random.default_rng(11)
+    s = np.concatenate([rng.random(1500), rng.choice([0.25, 0.5], 400)])
+    y = (rng.random(len(s)) < s).astype(int)
+    rows = [(float(a), int(b)) for a, b in zip(s, y)] + [(None, 1), (0.3, None)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    pairs = s[y == 1][:, None] - s[y == 0][None, :]
+    assert evaluate.roc_auc(df, "s", "y") == pytest.approx((pairs > 0).mean() + (pairs == 0).mean() / 2, abs=1e-12)
+    assert evaluate.roc_auc(df.where("y = 1"), "s", "y") == 1.0 and evaluate.roc_auc(df.where("false"), "s", "y") == 0.0
+
+
+def test_metrics_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+    df = spark.range(1000).selectExpr("id / 1000 AS s", "CAST(id % 3 = 0 AS INT) AS y", "CAST(id > 500 AS INT) AS p").mapInPandas(count, "s double, y int, p int")
+    for run in (lambda: evaluate.binary_metrics(df, "y", "p", "s"), lambda: evaluate.optimise_threshold(df, "s", "y")):
+        seen.value = 0
+        run().collect()
+        assert seen.value == 1000
+
+
 def test_window_classifier_round_trip(spark, tmp_path):
     rng = np.random.default_rng(2)
     y = (rng.random(400) < 0.2).astype(int)

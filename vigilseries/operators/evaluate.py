@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilseries.operators.layout import null_safe_join
+from vigilseries.operators.layout import CHUNK, ROW_IDX, chunk_over, group_of, index_rows, null_safe_join, running_sum
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -21,20 +20,49 @@ def prf(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
     return {"precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn), "f1": ratio(2 * tp, 2 * tp + fp + fn)}
 
 
+def score_counts(df: DataFrame, score_col: str, label_col: str, **more: Column) -> DataFrame:
+    """Per distinct score, in score order, its positives ``p`` and negatives ``q``; ``df`` is read once.
+
+    ``more`` are further sums per score. Everything else about a scored frame
+    follows from these rows.
+    """
+    y = F.col(label_col) == 1
+    counts = df.groupBy(F.col(score_col).cast("double").alias("s")).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("q"), *[c.alias(n) for n, c in more.items()])
+    return index_rows(counts, "s")
+
+
+def rank_area(counts: DataFrame) -> float:
+    """Exact area under the ROC curve of ``score_counts``: the share of (positive, negative) pairs in the right order, ties half.
+
+    Running counts stay inside chunks of distinct scores; one row per chunk
+    carries the rest. Rows without a score are left out. 0.0 without positives,
+    1.0 without negatives.
+    """
+    whole = "decimal(19,0)"
+    chunks = counts.where("s IS NOT NULL").withColumn(CHUNK, group_of(ROW_IDX, None))
+    below = f"coalesce(sum(q) OVER ({chunk_over()} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
+    twice = chunks.selectExpr(CHUNK, "p", "q", f"CAST(p AS {whole}) * CAST(2 * {below} + q AS {whole}) AS w")
+    each = twice.groupBy(CHUNK).agg(*[F.sum(c).alias(c) for c in ("p", "q", "w")])
+    placed = running_sum(each, {"before": "q"}, idx=CHUNK, levels=1, inclusive=False)
+    row = placed.selectExpr("sum(p) AS p", "sum(q) AS q", f"sum(w + 2 * CAST(p AS {whole}) * CAST(before AS {whole})) AS w").first()
+    if not row["p"]:
+        return 0.0
+    return int(row["w"]) / (2 * row["p"] * row["q"]) if row["q"] else 1.0
+
+
 def roc_auc(df: DataFrame, score_col: str, label_col: str) -> float:
     """Exact area under the ROC curve; 0.0 without positives."""
-    scored = df.select(F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("double").alias("y"))
-    if scored.where(F.col("y") > 0).isEmpty():
-        return 0.0
-    return BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0).evaluate(scored)
+    return rank_area(score_counts(df, score_col, label_col))
 
 
 def binary_metrics(df: DataFrame, label_col: str, pred_col: str, score_col: str) -> DataFrame:
-    """One row: precision, recall, F1 and ROC AUC."""
+    """One row: precision, recall, F1 and ROC AUC, from one pass over ``df``."""
     y, p = F.col(label_col) == 1, F.col(pred_col) == 1
-    counts = df.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"))
-    area = roc_auc(df, score_col, label_col)
-    return counts.select(*[c.alias(n) for n, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()], F.lit(area).alias("roc_auc"))
+    cells = {"tp": F.count_if(y & p), "fp": F.count_if(~y & p), "fn": F.count_if(y & ~p)}
+    counts = score_counts(df, score_col, label_col, **cells)
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells])
+    area = rank_area(counts)
+    return sums.select(*[c.alias(n) for n, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()], F.lit(area).alias("roc_auc"))
 
 
 def confusion_matrix(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
@@ -81,10 +109,10 @@ def macro_f1(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
     return classes.unionByName(classes.agg(F.avg("f1").alias("f1")).select(F.lit("macro").alias("label"), "f1"))
 
 
-def threshold_counts(df: DataFrame, score_col: str, label_col: str, lo: float, hi: float, n: int) -> DataFrame:
-    """Per threshold of an even grid, how many rows of each class reach it (one pass)."""
+def threshold_counts(counts: DataFrame, lo: float, hi: float, n: int) -> DataFrame:
+    """Per threshold of an even grid, how many rows of each class reach it, from ``score_counts``."""
     step = (hi - lo) / (n - 1)
-    s = F.col(score_col).cast("double")
+    s = F.col("s")
 
     def grid(k):
         return F.when(k >= n - 1, F.lit(float(hi))).otherwise(k * F.lit(step) + F.lit(float(lo)))
@@ -93,9 +121,8 @@ def threshold_counts(df: DataFrame, score_col: str, label_col: str, lo: float, h
     guess = F.greatest(F.least(F.floor((s - lo) / step), F.lit(n - 1)), F.lit(-1)).cast("int")
     up = F.when((guess < n - 1) & (grid(guess + 1) <= s), guess + 1).otherwise(guess)
     reached = F.when((up >= 0) & (grid(up) > s), up - 1).otherwise(up)
-    y = F.col(label_col) == 1
-    hits = df.where(s.isNotNull()).groupBy(reached.alias("k")).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("q"))
-    spine = df.sparkSession.range(-1, n).select(F.col("id").cast("int").alias("k"))
+    hits = counts.where(s.isNotNull()).groupBy(reached.alias("k")).agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+    spine = counts.sparkSession.range(-1, n).select(F.col("id").cast("int").alias("k"))
     above = Window.partitionBy(F.lit(0)).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
     everyone = Window.partitionBy(F.lit(0))
     filled = spine.join(hits, "k", "left").fillna(0, ["p", "q"])  # n + 1 rows
@@ -105,11 +132,11 @@ def threshold_counts(df: DataFrame, score_col: str, label_col: str, lo: float, h
 
 
 def optimise_threshold(df: DataFrame, score_col: str, label_col: str, lo: float = 0.01, hi: float = 0.99, n: int = 200) -> DataFrame:
-    """The lowest threshold with the best F1, its metrics and the AUC."""
-    counts = threshold_counts(df, score_col, label_col, lo, hi, n)
-    scores = counts.select("k", "threshold", *[c.alias(m) for m, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()])
+    """The lowest threshold with the best F1, its metrics and the AUC, from one pass over ``df``."""
+    counts = score_counts(df, score_col, label_col)
+    scores = threshold_counts(counts, lo, hi, n).select("k", "threshold", *[c.alias(m) for m, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()])
     best = scores.orderBy(F.desc("f1"), "k").limit(1)
-    return best.select("threshold", "precision", "recall", "f1", F.lit(roc_auc(df, score_col, label_col)).alias("roc_auc"))
+    return best.select("threshold", "precision", "recall", "f1", F.lit(rank_area(counts)).alias("roc_auc"))
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:
