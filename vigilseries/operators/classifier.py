@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilseries.functions.scalars import binarize_score
 from vigilseries.operators.evaluate import binary_metrics, optimise_threshold, prf
 from vigilseries.operators.split import class_weight, last_window, scaler_values
-from vigilseries.session import materialize
+from vigilseries.session import materialize, scratch_path
 
 ROUNDS = 4
 
@@ -94,11 +94,18 @@ def _boosted(ready: DataFrame, max_iter: int, patience: int):
     return (full if best == len(weights) else _estimator("gbt", best).fit(ready)), history
 
 
+def _alone(model: LogisticRegressionModel, spark: SparkSession) -> LogisticRegressionModel:
+    """The model without its training summary, which holds the session and cannot go to tasks once the session observes queries."""
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def _regressed(ready: DataFrame, max_iter: int, patience: int):
     """Fit with ``ROUNDS`` growing iteration budgets and keep the best."""
     models, history = {}, []
     for budget in sorted({max(1, max_iter * 2 ** i // 2 ** (ROUNDS - 1)) for i in range(ROUNDS)}):
-        models[budget] = _estimator("logreg", budget).fit(ready.where(~F.col("_val")))
+        models[budget] = _alone(_estimator("logreg", budget).fit(ready.where(~F.col("_val"))), ready.sparkSession)
         checked = models[budget].transform(ready.where("_val")).select("label", vector_to_array("probability")[1].alias("s"))
         scores = binary_metrics(checked.withColumn("p", binarize_score(F.col("s"), 0.5)), "label", "p", "s").first().asDict()
         history.append({"step": budget, **{f"val_{k}": float(v) for k, v in scores.items()}})
