@@ -16,7 +16,7 @@ from vigilseries.operators.layout import ROW_IDX, SERIES_ID
 from vigilseries.plans import tables as t
 from vigilseries.plans.flow import run_log_pipeline, run_pipeline
 from vigilseries.session import materialize, scratch_path
-from vigilseries.sources import artefacts, files
+from vigilseries.sources import artefacts, bundles, files
 from vigilseries.sources.files import METRICS
 from vigilseries.streaming.jobs import stream_analyze_logs, stream_score_windows
 
@@ -641,6 +641,23 @@ def log_pipeline(spark, sf):
     return tidy(run_log_pipeline(t.labelled_text(spark, sf))["report"])
 
 
+@query
+def log_pipeline_letters(spark, sf):
+    """The same job with a given column function as encoder."""
+    return tidy(run_log_pipeline(t.labelled_text(spark, sf), encode=_vowels)["report"])
+
+
+@query
+def load_bundle(spark, sf):
+    """Differences between the answers of a log bundle and of its reloaded copy, for all documents as text; 0 when saving is faithful."""
+    path, asked = scratch_path(spark, "bundle"), t.document_text(spark, sf)
+    made = run_log_pipeline(t.labelled_text(spark, sf))["bundle"]
+    bundles.save_bundle(made, spark, path)
+    answers = [materialize(b.analyze(asked, top_k=1).select("id", "confidence", "p_anomaly", F.col("similar_logs")[0]["similarity"].alias("similarity")), "answers")
+               for b in (made, bundles.load_bundle(spark, path))]
+    return tidy(evaluate.reconcile_outputs(*answers, ["id"], ["confidence", "p_anomaly", "similarity"]))
+
+
 # --- streams ---
 
 @query

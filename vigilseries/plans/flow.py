@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilseries.operators.classifier import fit_window_classifier, for_windows
@@ -35,18 +35,21 @@ log = logging.getLogger(__name__)
 
 
 def run_log_pipeline(logs: DataFrame, id_col: str = "id", text_col: str = "log_text", label_col: str = "category", dim: int = 256,
-                     k: int = 7, test_frac: float = 0.2, seed: int = 42, out: str | None = None, encoder=None) -> dict:
+                     k: int = 7, test_frac: float = 0.2, seed: int = 42, out: str | None = None, encoder=None,
+                     encode: Callable[[Column], Column] | None = None) -> dict:
     """Embed, store, split, classify the held-out lines and report.
 
     The result holds a ``bundle`` of encoder and neighbour indexes, which is
-    saved below ``out``; from it log text is analysed in another session.
+    saved below ``out``; from it log text is analysed in another session. A
+    column function ``encode`` takes the place of a fitted encoder; it is not
+    saved, so such a bundle needs it as ``encode`` again.
     """
-    encoder = encoder or fit_encoder(logs, text_col, dim)
-    coded = embed_text(logs, text_col, dim, encoder)
+    encoder = None if encode else encoder or fit_encoder(logs, text_col, dim)
+    coded = embed_text(logs, text_col, dim, encoder, encode)
     split = materialize(stratified_split(coded, id_col, label_col, test_frac, seed), "logs")
     train, test = (split.where(F.col("split") == s) for s in ("train", "test"))
     payload = [label_col, text_col]
-    bundle = Bundle(encoder=encoder, label_col=label_col, text_col=text_col, train=build_index(train, "embedding", id_col, payload=payload),
+    bundle = Bundle(encoder=encoder, encode=encode, label_col=label_col, text_col=text_col, train=build_index(train, "embedding", id_col, payload=payload),
                     store=build_index(split, "embedding", id_col, payload=payload))
     if out:
         store_embeddings(split, f"{out}/vectors", [id_col], document_col=text_col)

@@ -344,3 +344,7 @@ FROM win JOIN sim USING (qid) WHERE place = 1""".replace(VECTORS, _texts).replac
 # A reloaded model scores every row of the test split like the one that was saved.
 ORACLES["load_model"] = """SELECT 'anomaly_score' AS "column", CAST(0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS one_side_null,
   CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b, true AS ok"""
+ORACLES["load_bundle"] = " UNION ALL ".join(ORACLES["load_model"].replace("anomaly_score", c) for c in ("confidence", "p_anomaly", "similarity"))
+_report = ORACLES["classification_report"]
+ORACLES["log_pipeline_letters"] = f"""WITH {_votes}, g AS (SELECT category AS y, label AS p FROM win JOIN parts ON qid = id WHERE place = 1),
+{_report[_report.index("s AS (SELECT y AS label"):]}""".replace(VECTORS, _texts).replace("list_cosine_similarity(q.e, c.e)", _zero_safe)
