@@ -1,20 +1,22 @@
-"""Supervised window classifier: MLlib models over 30-row windows."""
+"""Supervised window classifier: boosted trees or logistic weights over 30-row windows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilseries.functions.scalars import binarize_score
-from vigilseries.operators.evaluate import binary_metrics, optimise_threshold, prf
+from vigilseries.operators.evaluate import optimise_threshold, prf
 from vigilseries.operators.split import class_weight, last_window, scaler_values
-from vigilseries.session import materialize, scratch_path
+from vigilseries.operators.trainer import LogisticWeights, score_blocks, stored_folds, train_logistic, window_blocks
+from vigilseries.session import materialize
 
-ROUNDS = 4
+FOLDS = 4
 
 
 def window_vector(features: Column, layout: str = "flat") -> Column:
@@ -44,6 +46,8 @@ class WindowClassifier:
 
     def probability(self, df: DataFrame, features_col: str = "features") -> DataFrame:
         """Add ``anomaly_score``; rows without features get null."""
+        if isinstance(self.model, LogisticWeights):
+            return df.withColumn("anomaly_score", F.when(F.col(features_col).isNotNull(), self.model.score(window_vector(F.col(features_col), self.layout))))
         vectors = df.withColumn("_vec", array_to_vector(F.coalesce(
             window_vector(F.col(features_col), self.layout), F.array_repeat(F.lit(0.0), self.model.numFeatures))))
         scored = self.model.transform(vectors)
@@ -56,13 +60,8 @@ class WindowClassifier:
             "is_anomaly_pred": binarize_score(F.col("anomaly_score"), self.threshold), "threshold": F.lit(self.threshold)})
 
 
-def _estimator(kind: str, budget: int):
-    common = {"featuresCol": "_vec", "labelCol": "label", "weightCol": "_weight"}
-    if kind == "logreg":
-        return LogisticRegression(maxIter=budget, regParam=1e-3, **common)
-    if kind == "gbt":
-        return GBTClassifier(maxIter=budget, maxDepth=4, seed=42, validationIndicatorCol="_val", **common)
-    raise ValueError(f"unknown kind {kind!r}")
+def _boosting(budget: int) -> GBTClassifier:
+    return GBTClassifier(maxIter=budget, maxDepth=4, seed=42, validationIndicatorCol="_val", featuresCol="_vec", labelCol="label", weightCol="_weight")
 
 
 def _better(history: list[dict], patience: int) -> int:
@@ -77,7 +76,7 @@ def _better(history: list[dict], patience: int) -> int:
 
 def _boosted(ready: DataFrame, max_iter: int, patience: int):
     """Grow all trees once, score every prefix of them in one pass, and refit to the best length."""
-    full = _estimator("gbt", max_iter).fit(ready)
+    full = _boosting(max_iter).fit(ready)
     held, weights = ready.where("_val").select("_vec", "label"), full.treeWeights
     for i, tree in enumerate(full.trees):
         held = tree.setPredictionCol(f"_t{i}").setFeaturesCol("_vec").transform(held)
@@ -91,27 +90,22 @@ def _boosted(ready: DataFrame, max_iter: int, patience: int):
     scored = counts.select("step", *[c.alias(f"val_{n}") for n, c in prf(F.col("tp"), F.col("fp"), F.col("fn")).items()]).orderBy("step").collect()
     history = [{**r.asDict(), "step": r["step"] + 1} for r in scored]
     best = _better(history, patience) if history else max_iter
-    return (full if best == len(weights) else _estimator("gbt", best).fit(ready)), history
+    return (full if best == len(weights) else _boosting(best).fit(ready)), history
 
 
-def _alone(model: LogisticRegressionModel, spark: SparkSession) -> LogisticRegressionModel:
-    """The model without its training summary, which holds the session and cannot go to tasks once the session observes queries."""
-    path = scratch_path(spark, "model")
-    model.write().save(path)
-    return LogisticRegressionModel.load(path)
+def _regressed(ready: DataFrame, max_iter: int, patience: int):
+    """Train in mini-batches, every row a window of one step; at most ``max_iter`` epochs."""
+    rows = ready.select(F.array(vector_to_array("_vec")).alias("steps"), F.array("label").alias("y"), "_val")
+    size = rows.select(F.size(F.element_at("steps", 1))).first()[0]
+    return train_logistic(stored_folds(rows, F.col("_val"), ["steps"], FOLDS), 1, size, FOLDS, max_iter, patience)
 
 
-def _regressed(ready: DataFrame, max_iter: int, patience: int):
-    """Fit with ``ROUNDS`` growing iteration budgets and keep the best."""
-    models, history = {}, []
-    for budget in sorted({max(1, max_iter * 2 ** i // 2 ** (ROUNDS - 1)) for i in range(ROUNDS)}):
-        models[budget] = _alone(_estimator("logreg", budget).fit(ready.where(~F.col("_val"))), ready.sparkSession)
-        checked = models[budget].transform(ready.where("_val")).select("label", vector_to_array("probability")[1].alias("s"))
-        scores = binary_metrics(checked.withColumn("p", binarize_score(F.col("s"), 0.5)), "label", "p", "s").first().asDict()
-        history.append({"step": budget, **{f"val_{k}": float(v) for k, v in scores.items()}})
-        if _better(history, patience) != budget and budget - _better(history, patience) >= patience:
-            break
-    return models[_better(history, patience)], history
+def _tuned(fitted: WindowClassifier, scored: DataFrame, label_col: str) -> WindowClassifier:
+    """With the threshold of the best F1 over scored windows."""
+    found = optimise_threshold(scored, "anomaly_score", label_col).first().asDict()
+    fitted.threshold = float(found["threshold"])
+    fitted.metrics = {k: float(v) for k, v in found.items()}
+    return fitted
 
 
 def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", max_iter: int = 50, patience: int = 10,
@@ -131,13 +125,29 @@ def fit_window_classifier(train: DataFrame, val: DataFrame, kind: str = "gbt", m
     ready = materialize(rows.select(
         array_to_vector(window_vector(F.col(features_col), layout)).alias("_vec"), F.col(label_col).cast("double").alias("label"), "_val",
         F.when(F.col(label_col) == 1, F.lit(float(weight or 1.0))).otherwise(F.lit(1.0)).alias("_weight")), "windows")
+    if kind not in ("logreg", "gbt"):
+        raise ValueError(f"unknown kind {kind!r}")
     best, history = (_boosted if kind == "gbt" else _regressed)(ready, max_iter, patience)
     fitted = WindowClassifier(best, kind, layout, window=window, feature_count=n_features, history=history)
-    tuned = fitted.probability(test if tune_on == "test" else val, features_col)
-    found = optimise_threshold(tuned, "anomaly_score", label_col).first().asDict()
-    fitted.threshold = float(found["threshold"])
-    fitted.metrics = {k: float(v) for k, v in found.items()}
-    return fitted
+    return _tuned(fitted, fitted.probability(test if tune_on == "test" else val, features_col), label_col)
+
+
+def fit_row_classifier(df: DataFrame, feature_cols: Sequence[str], label_col: str, order_col, window: int = 30, series_cols=None,
+                       max_iter: int = 50, patience: int = 10, folds: int = FOLDS) -> WindowClassifier:
+    """The logistic classifier over whole windows, trained from the rows of the splits ``train`` and ``val``.
+
+    The same windows as those of ``sliding_sequences``, but none is written
+    out, so all features of all steps can take part on long series. The model
+    scores windows like any other, and rows by ``score_blocks``. Windows with a
+    null feature or without a label take no part.
+    """
+    blocks = materialize(window_blocks(df.where("split IN ('train', 'val')"), feature_cols, label_col, order_col, window, series_cols=series_cols), "blocks")
+    keys = [c for c in blocks.columns if c not in ("steps", "y", "ends")]
+    rows = stored_folds(blocks, F.col("split") == "val", keys, folds)
+    weights, history = train_logistic(rows, window, len(feature_cols), folds, max_iter, patience)
+    fitted = WindowClassifier(weights, "logreg", "flat", window=window, feature_count=len(feature_cols), history=history)
+    held = score_blocks(blocks.where("split = 'val'"), weights).where("label IS NOT NULL AND anomaly_score IS NOT NULL")
+    return _tuned(fitted, materialize(held.select("label", "anomaly_score"), "held"), "label")
 
 
 def for_windows(model: WindowClassifier) -> WindowClassifier:

@@ -60,7 +60,7 @@ def sliding_sequences(df: DataFrame, feature_cols: Sequence[str], label_col: str
     Windows never cross a group. The last window of a group is left out unless
     ``include_last``.
     """
-    groups, placed = _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [F.array(*x.values()).alias("_x")])
+    groups, placed = place_rows(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [F.array(*x.values()).alias("_x")])
     frame = chunk_window(groups, "_pos").rowsBetween(-(window - 1), 0)
     seq = with_halo(placed, groups, window - 1, rows=chunk, idx="_pos").withColumn("features", F.collect_list("_x").over(frame))
     return _complete(seq, groups, window, include_last, chunk)
@@ -74,7 +74,7 @@ def window_summaries(df: DataFrame, feature_cols: Sequence[str], label_col: str,
     Keeps 2 values per feature and row instead of ``window``. Means are
     differences of chunk-local running sums; features must not be null.
     """
-    groups, placed = _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [c.alias(f"_x{i}") for i, c in enumerate(x.values())])
+    groups, placed = place_rows(df, feature_cols, label_col, order_col, group_cols, series_cols, lambda x: [c.alias(f"_x{i}") for i, c in enumerate(x.values())])
     spread, over, n = with_halo(placed, groups, window, rows=chunk, idx="_pos"), chunk_over(groups, "_pos"), len(feature_cols)
     summed = spread.selectExpr("*", *[f"sum(_x{i}) OVER ({over} ROWS UNBOUNDED PRECEDING) AS _s{i}" for i in range(n)])
     older = summed.selectExpr("*", *[f"lag(_s{i}, {window}) OVER ({over}) AS _o{i}" for i in range(n)])
@@ -83,7 +83,7 @@ def window_summaries(df: DataFrame, feature_cols: Sequence[str], label_col: str,
     return _complete(ready, groups, window, include_last, chunk)
 
 
-def _placed(df, feature_cols, label_col, order_col, group_cols, series_cols, columns):
+def place_rows(df, feature_cols, label_col, order_col, group_cols, series_cols, columns):
     """Rows with their place ``_pos`` in their group and its size ``_n``."""
     groups = [*series_key(series_cols), *group_cols]
     indexed = ensure_index(df, order_col, series_cols)
