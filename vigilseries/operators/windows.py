@@ -195,4 +195,4 @@ def build_features(df: DataFrame, metrics: Sequence[str], order_col, drop_rows:
     if dense:
         filled = set(fill)
         return out.selectExpr(*[f"coalesce(`{c}`, 0.0D) AS `{c}`" if c in filled else f"`{c}`" for c in out.columns])
-    return ffill_zero(out, fill, order_col, series_cols, chunk)
+    return ffill_zero(materialize(out, "features"), fill, order_col, series_cols, chunk)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigilseries.functions.scalars import binarize_score, category_map, log_line_parse, round4, sigmoid, truncate_doc
-from vigilseries.operators import alerts, classifier, decompose, detectors, evaluate, missing, neighbours, profile, rows, split, text, windows
+from vigilseries.operators import alerts, classifier, decompose, detectors, evaluate, missing, neighbours, profile, rows, split, text, trainer, windows
 from vigilseries.operators import index as index_
 from vigilseries.operators.layout import ROW_IDX, SERIES_ID
 from vigilseries.plans import tables as t
@@ -388,6 +388,13 @@ def build_features(spark, sf):
     return tidy(built.drop("user_id", "timestamp"), 5)
 
 
+@query
+def build_features_gaps(spark, sf):
+    """All features of the telemetry as it came: what is undefined takes the last known value."""
+    built = windows.build_features(t.indexed(spark, sf), METRICS, t.ORDER)
+    return tidy(built.drop("user_id", "timestamp"), 5)
+
+
 @query
 def chronological_split(spark, sf):
     return tidy(split.chronological_split(t.telemetry(spark, sf), t.ORDER).select("event_id", "split"))
@@ -528,6 +535,62 @@ def score_windows(spark, sf):
     return tidy(classifier.score_windows(requests, model, params).select(ROW_IDX, "anomaly_score", "is_anomaly_pred", "threshold", "error"))
 
 
+@query
+def score_windows_scaled(spark, sf):
+    """Whether raw windows with the scaler and windows scaled before get the same score, per test window."""
+    rows_ = materialize(_split_clean(spark, sf), "split")
+    params = materialize(split.fit_scaler(rows_.where("split = 'train'"), METRICS), "params")
+    model, scaled = _fitted(spark, sf)
+    raw = split.sliding_sequences(rows_, METRICS, "is_anomaly", t.ORDER).where("split = 'test'")
+    one = classifier.score_windows(raw, model, params).select(ROW_IDX, "error", F.col("anomaly_score").alias("a"), F.col("is_anomaly_pred").alias("flag"))
+    two = model.transform(scaled).select(ROW_IDX, F.col("anomaly_score").alias("b"))
+    return tidy(one.join(two, ROW_IDX, "full").select(ROW_IDX, "error", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("same_score"),
+                                                     (F.col("flag") == (F.col("b") >= model.threshold).cast("int")).alias("flag_fits")))
+
+
+@query
+def model_info_recomputed(spark, sf):
+    """The saved facts of a model, and whether its F1 and threshold come out again from the validation windows."""
+    path = scratch_path(spark, "model")
+    seq = _windows(spark, sf)
+    model = classifier.fit_window_classifier(seq.where("split = 'train'"), seq.where("split = 'val'"), "logreg")
+    artefacts.save_model(model, spark, path)
+    again = materialize(artefacts.load_model(spark, path).transform(seq.where("split = 'val'")).select("label", "is_anomaly_pred", "anomaly_score"), "again")
+    scores = evaluate.binary_metrics(again, "label", "is_anomaly_pred", "anomaly_score").first()
+    info = artefacts.model_info(spark, path)
+    return tidy(info.select("model_name", "model_version", "feature_count", "window_size", F.col("threshold").between(0.01, 0.99).alias("threshold_on_grid"),
+                            (F.abs(F.col("metrics")["f1"] - F.lit(scores["f1"])) < 1e-9).alias("same_f1")))
+
+
+@query
+def window_classifier_rows(spark, sf):
+    """Trained from the rows over all features and whole windows; every test window is scored, alike after a reload."""
+    path = scratch_path(spark, "model")
+    built = windows.build_features(t.clean(spark, sf), METRICS, t.ORDER, dense=True)
+    names = rows.feature_columns(built.drop("event_id", "user_id", ROW_IDX))
+    rows_ = materialize(split.chronological_split(built, t.ORDER), "split")
+    scaled = split.apply_scaler(rows_, split.fit_scaler(rows_.where("split = 'train'"), names))
+    model = classifier.fit_row_classifier(scaled, names, "is_anomaly", t.ORDER, max_iter=12, patience=4)
+    artefacts.save_model(model, spark, path)
+    again = artefacts.load_model(spark, path).model
+    test = materialize(trainer.window_blocks(scaled, names, "is_anomaly", t.ORDER).where("split = 'test'"), "test")
+    one, two = (trainer.score_blocks(test, m).select("split", ROW_IDX, F.col("label").cast("int").alias("label"), "anomaly_score") for m in (model.model, again))
+    both = one.join(two.select(ROW_IDX, F.col("anomaly_score").alias("b")), ROW_IDX)
+    return tidy(both.select(ROW_IDX, "split", "label", F.col("anomaly_score").between(0, 1).alias("scored"), (F.col("anomaly_score") == F.col("b")).alias("same_after_reload")))
+
+
+@query
+def isolation_forest_planted(spark, sf):
+    """Every test row and a copy of it far outside the telemetry; the copies must be flagged, whichever rows are."""
+    flat = _flat(spark, sf)
+    model = detectors.fit_isolation_forest(flat.where("split = 'train'"), "x", "event_id")
+    test = flat.where("split = 'test'").select("event_id", "x", F.lit(0).alias("planted"))
+    far = test.select("event_id", F.transform("x", lambda v: v + 1000.0).alias("x"), F.lit(1).alias("planted"))
+    found = model.transform(test.unionByName(far))
+    return tidy(found.select("event_id", "planted", F.when(F.col("planted") == 1, F.col("is_outlier")).alias("flagged"),
+                             (F.col("anomaly_score") - F.lit(float(model.offset))).between(0, 1).alias("in_range")))
+
+
 # --- log analytics ---
 
 def _vowels(col):

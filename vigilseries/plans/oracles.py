@@ -214,6 +214,9 @@ ORACLES["build_features"] = f"""WITH {CLEAN}, built AS (SELECT row_idx - 30 AS r
   {r('sin(2 * pi() * (isodow(ts) - 1) / 7)', 'dow_sin', 5)}, {r('cos(2 * pi() * (isodow(ts) - 1) / 7)', 'dow_cos', 5)},
   {i('CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END', 'is_weekend')} FROM clean)
 SELECT * REPLACE (CAST(is_anomaly AS BIGINT) AS is_anomaly, CAST(row_idx AS BIGINT) AS row_idx) FROM built WHERE row_idx >= 0"""
+_filled = [*METRICS, *[f"{m}_{s}_{n}" for m in METRICS for n in (5, 15, 30) for s in ("mean", "min", "max")], *[f"{m}_lag_{k}" for m in METRICS for k in (1, 5, 15, 30)]]
+ORACLES["build_features_gaps"] = ORACLES["build_features"].replace(CLEAN, TELE).replace("FROM clean", "FROM tele").replace(
+    "SELECT * REPLACE (", "SELECT * REPLACE (" + cols(f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY row_idx), 0.0) AS {c}" for c in _filled) + ", ")
 ORACLES["chronological_split"] = f"WITH {TELE}, {_plain_split} SELECT event_id, split FROM s"
 ORACLES["chronological_split_by_user"] = f"""WITH {TELE} SELECT event_id, user_id,
   {SPLIT_CASE.format(i='user_idx', n='count(*) OVER (PARTITION BY user_id)')} AS split FROM tele"""
@@ -223,6 +226,18 @@ ORACLES["sliding_sequences"] = f"""WITH {SPLIT}, s AS (SELECT row_idx, split, is
   sum({' + '.join(METRICS)}) {_w30} AS total FROM split)
 SELECT {i('row_idx', 'row_idx')}, split, {i('is_anomaly', 'label')}, {i('30', 'steps')}, {r('first_x', 'first_x')}, {r('last_y', 'last_y')}, {r('total', 'total')}
 FROM s WHERE pos >= 29 AND pos <= n - 2"""
+ORACLES["score_windows_scaled"] = f"""WITH {SPLIT}, s AS (SELECT row_idx, split, row_number() OVER (PARTITION BY split ORDER BY row_idx) - 1 AS pos,
+  count(*) OVER (PARTITION BY split) AS n FROM split)
+SELECT {i('row_idx', 'row_idx')}, CAST(NULL AS VARCHAR) AS error, true AS same_score, true AS flag_fits FROM s WHERE split = 'test' AND pos >= 29 AND pos <= n - 2"""
+ORACLES["model_info_recomputed"] = f"""SELECT 'window_classifier' AS model_name, '1.0.0' AS model_version, {i(str(len(METRICS)), 'feature_count')}, {i('30', 'window_size')},
+  true AS threshold_on_grid, true AS same_f1"""
+ORACLES["window_classifier_rows"] = f"""WITH {TELE}, kept AS (SELECT row_idx - 30 AS row_idx, is_anomaly FROM tele WHERE row_idx >= 30),
+f AS (SELECT *, {SPLIT_CASE.format(i='row_idx', n='count(*) OVER ()')} AS split FROM kept),
+s AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY row_idx) - 1 AS pos, count(*) OVER (PARTITION BY split) AS n FROM f)
+SELECT {i('row_idx', 'row_idx')}, split, {i('is_anomaly', 'label')}, true AS scored, true AS same_after_reload
+FROM s WHERE split = 'test' AND pos >= 29 AND pos <= n - 2"""
+ORACLES["isolation_forest_planted"] = f"""WITH {SPLIT} SELECT event_id, CAST(planted AS BIGINT) AS planted, CAST(CASE WHEN planted = 1 THEN 1 END AS BIGINT) AS flagged, true AS in_range
+FROM split, (VALUES (0), (1)) v(planted) WHERE split = 'test'"""
 ORACLES["last_window"] = f"""WITH d AS (SELECT user_id, value,
   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 SELECT user_id, CASE WHEN count(*) < 30 THEN 'window needs 30 steps, request has ' || count(*) END AS error,
