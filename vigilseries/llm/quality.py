@@ -132,8 +132,9 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(texts)
             counts, kinds = features(texts)
             owner, bucket = (np.concatenate(x) for x in zip(*kinds, strict=True))
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[good[owner]], minlength=BUCKETS)
+            # Adds in place: memory follows the buckets met, and no array of all buckets is made for a piece.
+            np.add.at(raw, bucket, 1)
+            np.add.at(target, bucket[good[owner]], 1)
             n_words, n_texts = n_words + int(counts.sum()), n_texts + int((counts > 0).sum())
     used = np.flatnonzero(raw)
     whole = [np.array([-1, -2], np.int32), np.array([raw.sum(), n_words]), np.array([target.sum(), n_texts])]
