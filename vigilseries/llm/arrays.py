@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers 0..n-1 and their inverses modulo 2**64."""
     if len(_powers["up"]) < n:
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
@@ -46,7 +46,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range ``[start, end)`` of ``data``."""
-    up, down = _power(max(len(data), 1))
+    up, down = powers(max(len(data), 1))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.multiply(_VALUE[data], up[: len(data)], out=sums[1:])
     np.cumsum(sums, out=sums)

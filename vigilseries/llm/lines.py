@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilseries.llm.arrays import distinct, flat, mix, pieces
+from vigilseries.llm.arrays import distinct, flat, mix, pieces, powers
 from vigilseries.llm.components import components
 from vigilseries.llm.regions import across, confirm, small_semi
 from vigilseries.llm.scratch import drop, store, unused
@@ -30,6 +30,10 @@ from vigilseries.llm.scratch import drop, store, unused
 SHINGLE = 10
 BANDS, ROWS = 16, 3
 KEY_BITS = 48
+#: Bytes of lines hashed at once: what is made of them stays in a core's cache.
+PIECE = 1 << 15
+#: Scrambled code points of the usual scripts.
+_CODES = mix(np.arange(1 << 12))
 
 
 def line_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,18 +112,34 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def char_shingles(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's runs of ``n`` characters (a shorter text is one), and their offsets."""
     data, offsets = flat(column)
-    codes = mix(np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64))
-    first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    if len(data) and data.max() >= 0x80:
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        codes = _CODES[np.minimum(points, len(_CODES) - 1)]
+        far = np.flatnonzero(points >= len(_CODES))
+        codes[far] = mix(points[far])
+        first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    else:
+        codes, first = _CODES[data], offsets
     size = np.diff(first)
     # Sums of code * base**place over runs; a run's place is divided out by the inverse.
-    base = 0x9E3779B97F4A7C15
-    up, down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(codes), b, np.uint64)])) for b in (base, pow(base, -1, 1 << 64)))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * up[:-1], dtype=np.uint64)])
-    many = np.where(size > n, size - n + 1, np.minimum(size, 1))
-    where = np.concatenate([[0], np.cumsum(many)])
-    at = np.arange(where[-1]) + np.repeat(first[:-1] - where[:-1], many)
-    end = at + np.repeat(np.minimum(size, n), many)
-    return mix((sums[end] - sums[at]) * down[at] + (end - at).astype(np.uint64)), where
+    up, down = powers(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.multiply(codes, up[: len(codes)], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    # A run at every place, then those that lie within one text.
+    count = max(len(codes) - n + 1, 0)
+    run = (sums[n:] - sums[:count]) * down[:count] + np.uint64(n)
+    inside = np.ones(count, bool)
+    for k in range(1, n):
+        last = first[1:] - k
+        inside[last[(last >= 0) & (last < count)]] = False
+    values, where = mix(run[inside]), np.concatenate([[0], np.cumsum(np.maximum(size - n + 1, 0))])
+    few = np.flatnonzero((size > 0) & (size < n))
+    if len(few):
+        whole = (sums[first[few + 1]] - sums[first[few]]) * down[first[few]] + size[few].astype(np.uint64)
+        values = np.insert(values, where[few], mix(whole))
+        where = where + np.concatenate([[0], np.cumsum((size > 0) & (size < n))])
+    return values, where
 
 
 def signatures(column: pa.Array) -> np.ndarray:
@@ -132,31 +152,28 @@ def signatures(column: pa.Array) -> np.ndarray:
     low = np.full(len(column) * bins, none)
     np.minimum.at(low, place, values & np.uint64(0xFFFFFFFE))
     low = low.reshape(-1, bins)
-    out, empty = low.copy(), low == none
-    for step in range(1, bins):
-        if not empty.any():
-            break
-        other = np.roll(low, -step, axis=1)
-        found = empty & (other != none)
-        out[found] = other[found] + np.uint64(step << 32)
-        empty &= ~found
-    return out
+    # The next full bin at or after each, going round.
+    full = np.concatenate([low, low], axis=1) != none
+    after = np.where(full, np.arange(2 * bins), 2 * bins)
+    after = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1][:, :bins]
+    out = np.take_along_axis(low, after % bins, axis=1) + ((after - np.arange(bins)).astype(np.uint64) << np.uint64(32))
+    return np.where(after < 2 * bins, out, none)
 
 
 def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = batch.column(0).to_numpy()
         _, new = np.unique(lines, return_index=True)
-        rows = pa.array(np.sort(new))
-        lines, column = lines[np.sort(new)], batch.column(1).take(rows)
+        lines, column = lines[np.sort(new)], batch.column(1).take(pa.array(np.sort(new)))
         at = 0
-        for texts in pieces(column, 1 << 20):
+        for texts in pieces(column, PIECE):
             values = signatures(texts)
-            for band in range(BANDS):
-                key = np.full(len(texts), band, np.uint64)
-                for row in range(ROWS):
-                    key = mix(key * np.uint64(31) + values[:, band * ROWS + row])
-                yield pa.record_batch([pa.array((key >> np.uint64(64 - KEY_BITS)).astype(np.int64)), pa.array(lines[at: at + len(texts)])], ["key", "line"])
+            rows = values.reshape(-1, BANDS, ROWS)
+            key = np.arange(BANDS, dtype=np.uint64)
+            for row in range(ROWS):
+                key = mix(key * np.uint64(31) + rows[:, :, row])
+            key = (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+            yield pa.record_batch([pa.array(key.ravel()), pa.array(np.repeat(lines[at: at + len(texts)], BANDS))], ["key", "line"])
             at += len(texts)
 
 
@@ -175,7 +192,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
     out = []
-    for texts in pieces(column, 1 << 20):
+    for texts in pieces(column, PIECE):
         values, first = distinct(*char_shingles(texts))
         out += np.split(values, first[1:-1])
     return out
