@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilseries.llm.arrays import distinct, flat, mix, pieces, powers
+from vigilseries.llm.arrays import flat, mix, pieces, powers
 from vigilseries.llm.components import components
 from vigilseries.llm.regions import across, confirm, small_semi
 from vigilseries.llm.scratch import drop, store, unused
@@ -193,6 +193,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(column: pa.Array) -> list[np.ndarray]:
     out = []
     for texts in pieces(column, PIECE):
-        values, first = distinct(*char_shingles(texts))
-        out += np.split(values, first[1:-1])
+        values, first = char_shingles(texts)
+        for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            one = np.sort(values[lo:hi])
+            new = np.ones(len(one), bool)
+            np.not_equal(one[1:], one[:-1], out=new[1:])
+            out.append(one[new])
     return out

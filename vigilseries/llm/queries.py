@@ -46,12 +46,38 @@ def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
+ORACLES["op2_near_duplicates"] = """
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+b AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS n FROM g p JOIN g q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT b.a, b.b FROM b JOIN n u ON u.doc_id = b.a JOIN n v ON v.doc_id = b.b WHERE 100 * b.n >= 75 * (u.n + v.n - b.n)),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.least AS component_id, doc_id = c.least AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a) c USING (doc_id)
+"""
+
+
 @query
 def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     out = remove_repeats(table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op9_repeated_passages"] = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (SELECT r, doc_id, i, array_to_string(w[i:i + 19], ' ') AS x FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+o AS (SELECT r, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS place FROM s),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS p, true AS gone FROM o WHERE place > 1),
+e AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+k AS (SELECT r, count(gone) AS n, string_agg(word, ' ' ORDER BY p) FILTER (WHERE gone IS NULL) AS kept FROM e LEFT JOIN g USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(k.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
 @query
 def op6_quality_sample(spark: SparkSession, sf: str) -> DataFrame:
     drawn = importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
