@@ -2,7 +2,9 @@
 
 import random
 import time
+from collections import Counter
 from itertools import accumulate
+from math import floor, log, sqrt
 from pathlib import Path
 
 import public_tokenizers
@@ -15,7 +17,7 @@ from llm.conftest import ODD
 from vigilseries.llm import pieces as sp
 from vigilseries.llm.chat import conversations, echo_pairs, format_preferences
 from vigilseries.llm.language import fit_languages, held_out, identify_languages, predict_language
-from vigilseries.llm.quality import importance_sample, kth_largest
+from vigilseries.llm.quality import gumbel, importance_sample, kth_largest
 from vigilseries.llm.tokens import count_tokens
 from vigilseries.llm.topk import integer_vectors, top_k
 
@@ -155,6 +157,52 @@ def test_quality_drops_repetition_of_ordinary_words(spark):
     assert not kept & set(range(0, 600, 6)) and len(kept & {i for i in range(600) if i % 6}) > 0.97 * 500 and 601 in kept
 
 
+def ngrams(text):
+    w = (text or "").lower().split()
+    tails = [(5, x[-2:]) for x in w]  # ends and first 5 bytes share their buckets
+    return len(w), Counter([("word", x) for x in w] + tails + [(k, x[:k]) for x in w for k in (4, 5)] + list(zip(tails, tails[1:]))
+                           + ["thrice" for a, b, c in zip(w, w[1:], w[2:]) if a == b == c])
+
+
+def test_quality_sample_matches_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = sorted({"".join(rng.choices("abcdefgh", k=rng.randint(1, 7))) for _ in range(70)})
+    texts, labels = {}, {}
+    for i in range(150):
+        pool = (vocabulary[:45], vocabulary[30:], vocabulary)[i % 3]
+        texts[i] = " ".join(x for _ in range(rng.randint(0, 50)) for x in [rng.choice(pool)] * rng.choice([1, 1, 1, 1, 3]))
+        if i % 3 < 2 and i % 5:
+            labels[i] = (1 - i % 3, int(i % 3 == 1 and i % 2))
+    raw, target, words, good = Counter(), Counter(), {}, {i for i, x in labels.items() if x == (1, 0)}
+    for i, x in texts.items():
+        words[i], own = ngrams(x)
+        raw += own
+        target += own if i in good else Counter()
+    share, length = target.total() / raw.total(), sum(words.values()) / sum(n > 0 for n in words.values())
+
+    def far(key, less=0):
+        expected = (raw[key] - less) * share
+        return (target[key] - expected) / sqrt(expected + 1) < -2.5, expected
+    weight = {}
+    for i, x in texts.items():
+        own = {k: (n, *far(k, n)) for k, n in ngrams(x)[1].items() if far(k)[0]}
+        if words[i]:
+            weight[i] = sum(n * log((target[k] + 1) / (e + 1)) for k, (n, hit, e) in own.items() if hit) * length / words[i]
+    step = {i: floor(max(x / length, -20) * 1000) for i, x in weight.items()}
+    told = [i for i in labels if i in step]
+    recall = {b: sum(step[i] >= b for i in told if i in good) / sum(i in good for i in told)
+              + sum(step[i] < b for i in told if i not in good) / sum(i not in good for i in told) for b in sorted({step[i] for i in told})}
+    cut = max(recall, key=recall.get) / 1000 * length
+    k = sum(x >= cut for x in weight.values())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    noise = {r.doc_id: r.g for r in docs.select("doc_id", gumbel("doc_id").alias("g")).collect()}
+    want = sorted(weight, key=lambda i: -weight[i] - noise[i])[:k]
+    got = {r.doc_id: r for r in importance_sample(docs, spark.createDataFrame([(i, *x) for i, x in labels.items()], "doc_id long, quality int, toxic int")).collect()}
+    assert 20 < k < 140 and sorted(got) == sorted(want)
+    for i, r in got.items():
+        assert r.log_weight == pytest.approx(weight[i], abs=1e-9) and r.noisy_weight == pytest.approx(weight[i] + noise[i], abs=1e-9)
+
+
 def test_kth_largest(spark):
     values = [float(x * x % 37) for x in range(200)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
@@ -219,7 +267,7 @@ def test_queries_of_all_operators_are_registered():
     assert list(accumulate(len(v) for v in entry.oracle_sql().values()))[-1] > 0
 
 
-@pytest.mark.parametrize("name", ["op4_preferences", "op5_top_products", "op12_target_sample"])
+@pytest.mark.parametrize("name", ["op2_near_duplicates", "op4_preferences", "op5_top_products", "op9_repeated_passages", "op12_target_sample"])
 def test_sql_twins(spark, name):
     import duckdb
 

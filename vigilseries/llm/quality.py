@@ -13,7 +13,8 @@ it. A sample is drawn by Gumbel top-k: the k largest of log weight plus Gumbel
 noise.
 
 The n-grams are the words, their first 4 and 5 bytes, their last 2 bytes, pairs
-of neighbours' last 2 bytes, and runs of one word three times over.
+of neighbours' last 2 bytes, and runs of one word three times over. A word of two
+bytes is one n-gram as an end and as its first 5 bytes, counted for both.
 """
 
 from __future__ import annotations
