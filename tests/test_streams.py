@@ -97,3 +97,19 @@ def test_a_hot_series_reaches_the_state_reduced(spark):
     rows = spark.range(20000, numPartitions=4).select(F.lit("x").alias(tails.KEY), F.col("id").alias("t"))
     sent = rows.mapInArrow(tails._reducer(["t"], 30), f"{tails.KEY} string, {tails.PACKED} binary").collect()
     assert len(sent) == 4 and all(tails.unpack(bytes(r[tails.PACKED])).num_rows == 30 for r in sent)
+
+
+def test_a_table_streams_from_a_file_and_from_a_folder(spark, tmp_path):
+    """Before, a table kept as a folder was an empty stream."""
+    from vigilseries.plans import tables
+    rows = pd.DataFrame({"doc_id": [1, 2, 3], "text": ["a", None, "c"]})
+    (tmp_path / "many").mkdir()
+    folder(tmp_path / "many" / "documents.parquet", [rows[:2], rows[2:]])
+    (tmp_path / "one").mkdir()
+    rows.to_parquet(tmp_path / "one" / "documents.parquet")
+    rows.to_parquet(tmp_path / "one" / "documents.parquet.old")
+    for kind in ("many", "one"):
+        stream = tables.streamed(spark, str(tmp_path / kind), "documents")
+        stream.writeStream.option("checkpointLocation", f"{tmp_path}/ck-{kind}").trigger(availableNow=True).format("parquet").start(f"{tmp_path}/out-{kind}").awaitTermination()
+        got = spark.read.parquet(f"{tmp_path}/out-{kind}")
+        assert {(r.doc_id, r.text) for r in got.collect()} == {(1, "a"), (2, None), (3, "c")} and got.count() == 3
