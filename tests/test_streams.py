@@ -113,3 +113,15 @@ def test_a_table_streams_from_a_file_and_from_a_folder(spark, tmp_path):
         stream.writeStream.option("checkpointLocation", f"{tmp_path}/ck-{kind}").trigger(availableNow=True).format("parquet").start(f"{tmp_path}/out-{kind}").awaitTermination()
         got = spark.read.parquet(f"{tmp_path}/out-{kind}")
         assert {(r.doc_id, r.text) for r in got.collect()} == {(1, "a"), (2, None), (3, "c")} and got.count() == 3
+
+
+def test_many_series_leave_in_small_messages():
+    """Before, all series held at once were packed into one batch, however many there were."""
+    n = 5 * tails.MESSAGES // 2
+    batch = pa.record_batch({tails.KEY: pa.array([f"k{i:06d}" for i in range(n)] * 2), "t": pa.array(range(2 * n)), tails.TIME: pa.array(range(2 * n), pa.timestamp("us"))})
+    made = list(tails._reducer(["t"], 30)(iter([batch])))
+    assert [b.num_rows for b in made] == [tails.MESSAGES, tails.MESSAGES, n - 2 * tails.MESSAGES]
+    messages = [m for b in made for m in b.to_pylist()]
+    assert [m[tails.KEY] for m in messages] == [f"k{i:06d}" for i in range(n)]
+    assert all(tails.unpack(m[tails.PACKED])["t"].to_pylist() == [i, n + i] for i, m in enumerate(messages))
+    assert [m[tails.TIME] for m in messages] == pa.array(range(n, 2 * n), pa.timestamp("us")).to_pylist()

@@ -25,6 +25,8 @@ TIME = "_time"
 NEW = "_new"
 PACKED = "_packed"
 HELD_ROWS = 65_536
+#: Messages packed and passed on at a time: each costs some kilobytes while it is made, whatever it holds.
+MESSAGES = 1_024
 _MESSAGE = f"{KEY} string, {PACKED} binary"
 
 
@@ -51,17 +53,19 @@ def unpack(message: bytes) -> pa.Table:
     return pa.ipc.open_stream(message).read_all()
 
 
-def _messages(table: pa.Table) -> pa.RecordBatch:
+def _messages(table: pa.Table) -> Iterator[pa.RecordBatch]:
     """One message per key of a table sorted by key, with its newest time if rows have ``_time``."""
     keys = table[KEY].combine_chunks()
     codes = pc.dictionary_encode(keys).indices.to_numpy()
     starts = np.flatnonzero(np.diff(codes, prepend=-1))
     ends = np.append(starts[1:], len(codes))
-    each = [table.slice(a, b - a) for a, b in zip(starts, ends, strict=True)]
-    out = {KEY: keys.take(pa.array(starts)).cast(pa.string()), PACKED: pa.array([pack(part) for part in each], pa.binary())}
-    if TIME in table.column_names:
-        out[TIME] = pa.array([pc.max(part[TIME]).as_py() for part in each], table.schema.field(TIME).type)
-    return pa.record_batch(out)
+    for at in range(0, len(starts), MESSAGES):
+        some, until = starts[at: at + MESSAGES], ends[at: at + MESSAGES]
+        packed = pa.array([pack(table.slice(a, b - a)) for a, b in zip(some, until, strict=True)], pa.binary())
+        out = {KEY: keys.take(pa.array(some)).cast(pa.string()), PACKED: packed}
+        if TIME in table.column_names:
+            out[TIME] = pa.array([pc.max(table[TIME].slice(a, b - a)).as_py() for a, b in zip(some, until, strict=True)], table.schema.field(TIME).type)
+        yield pa.record_batch(out)
 
 
 def _reducer(order: Sequence[str], keep: int):
@@ -71,10 +75,10 @@ def _reducer(order: Sequence[str], keep: int):
             table = pa.Table.from_batches([batch])
             held = newest(table if held is None else pa.concat_tables([held, table]), order, keep)
             if held.num_rows > HELD_ROWS:
-                yield _messages(held)
+                yield from _messages(held)
                 held = None
         if held is not None and held.num_rows:
-            yield _messages(held)
+            yield from _messages(held)
     return reduce
 
 
