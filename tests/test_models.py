@@ -263,3 +263,21 @@ def test_window_classifier_round_trip(spark, tmp_path):
     short = spark.createDataFrame([(1, [[0.0, 0.0]] * 4), (2, [[9.0, 9.0], *[[0.0, 0.0]] * 5])], "id long, features array<array<double>>")
     got = {r.id: r for r in classifier.score_windows(short, model).collect()}
     assert got[1]["anomaly_score"] is None and got[1]["error"].endswith("has 4") and got[2]["error"] is None and got[2]["anomaly_score"] is not None
+
+
+def test_boosting_reads_windows_in_bounded_tasks(spark, monkeypatch):
+    """Windows that take few bytes in a file are bounded by rows; before, one task read them all."""
+    from vigilseries.operators import classifier
+    monkeypatch.setattr(classifier, "FILE_ROWS", 100)
+    seen = []
+
+    def boosted(ready, *_):
+        seen.extend(ready.rdd.glom().map(len).collect())
+        raise StopIteration
+    monkeypatch.setattr(classifier, "_boosted", boosted)
+    df = spark.range(3000, numPartitions=1).select(F.array(F.array(F.lit(1.0)), F.array(F.lit(2.0))).alias("features"), (F.col("id") % 2).cast("int").alias("label"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(StopIteration):
+        classifier.fit_window_classifier(df, df.limit(10), "gbt")
+    assert sum(seen) == 3010 and max(seen) <= 400
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
