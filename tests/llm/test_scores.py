@@ -326,3 +326,29 @@ def test_pipeline_on_empty_tables(spark):
     docs = odd_rows(spark)[0].limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0, name
+
+
+def test_pipeline_stages_bound_their_batches(spark, monkeypatch):
+    """Stages may be run by themselves, in a session that was made elsewhere."""
+    import corpus_pipeline
+    asked = []
+    monkeypatch.setattr(corpus_pipeline, "bound_batches", asked.append)
+    docs = odd_rows(spark)[0].limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, "/root/testdata/sf0.001")
+    assert asked == [spark] * len(corpus_pipeline.STAGES)
+
+
+def test_dictionary_takes_one_python_step(spark, monkeypatch):
+    """Two steps in a row would keep two workers per core in memory."""
+    import public_tokenizers
+
+    from vigilseries.llm import pieces as sp
+    plans, write = {}, sp.store
+
+    def store(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, label)
+    monkeypatch.setattr(sp, "store", store)
+    sp.encode(spark.createDataFrame([(1, "a few words"), (2, None)], "doc_id long, text string"), sp.load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    assert plans["packed"].count("MapInArrow") == 1

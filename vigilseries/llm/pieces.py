@@ -104,7 +104,12 @@ def units(text: Column, pieces: Pieces) -> Column:
 
 
 def encode_units(each: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(unit, ids)`` for a frame of different, not empty ``unit`` strings.
+    """``(unit, ids)`` for a frame of different, not empty ``unit`` strings."""
+    return _folded(each, pieces).mapInArrow(_filler(pieces), "unit string, ids array<int>")
+
+
+def _folded(each: DataFrame, pieces: Pieces) -> DataFrame:
+    """``encode_units`` without the ids of the units that are merged in place; these are null.
 
     The longest piece bounds the substrings; the table, bounded by the
     vocabulary, is broadcast. All edges of a unit stay in the task of the unit.
@@ -126,7 +131,7 @@ def encode_units(each: DataFrame, pieces: Pieces) -> DataFrame:
     ends = _merge_fold() if pieces.bpe else _viterbi_fold(min((s for _, _, s in pieces.rows), default=0.0) - UNKNOWN_COST)
     # One pass over the grouped edges; what is merged in place leaves the expression null.
     folded = grouped.select("unit", F.when(~in_place, F.col("edges")).alias("edges")).select("unit", "edges", ends.alias("ends"))
-    return folded.select("unit", F.when(F.col("edges").isNotNull(), _ids(pieces)).alias("ids")).mapInArrow(_filler(pieces), "unit string, ids array<int>")
+    return folded.select("unit", F.when(F.col("edges").isNotNull(), _ids(pieces)).alias("ids"))
 
 
 def _merge_fold() -> Column:
@@ -244,23 +249,26 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     seen = store(each.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).select("unit", weight.alias("w")), "units")
     least = kth_largest(seen, "w", DICTIONARY)
     frequent = store(seen.where(F.col("w") >= F.lit(float(least))).select("unit"), "frequent")
-    shared = docs.sparkSession.sparkContext.broadcast((*_packed(encode_units(frequent, pieces)), pieces))
+    shared = docs.sparkSession.sparkContext.broadcast((*_packed(frequent, pieces), pieces))
     drop(seen, frequent)
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(_assembler(shared, docs.columns.index(text_col)), schema)
 
 
-def _packed(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted unit hashes, and the ids of each; one binary row per task reaches the driver, bounded by ``DICTIONARY``."""
+def _packed(frequent: DataFrame, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted unit hashes, and the ids of each; one binary row per batch reaches the driver, bounded by ``DICTIONARY``."""
+    fill = _filler(pieces)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Filled in the same worker: two Python steps in a row would keep two workers per core.
+        for batch in fill(batches):
             if batch.num_rows:
                 ids = batch.column(1)
                 counts = np.diff(ids.offsets.to_numpy()).astype(np.uint32)
                 flat_ids = ids.flatten().to_numpy().astype(np.uint32)
                 yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (_unit_keys(batch.column(0)), counts, flat_ids)], ["k", "c", "i"])
     # Written by all tasks at once; the result is read in one job.
-    packed = store(frequent.select("unit", "ids").mapInArrow(pack, "k binary, c binary, i binary"), "packed")
+    packed = store(_folded(frequent, pieces).mapInArrow(pack, "k binary, c binary, i binary"), "packed")
     rows = packed.collect()
     drop(packed)
     if not rows:

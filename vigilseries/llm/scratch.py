@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from vigilseries.session import scratch_path
+from vigilseries.session import PAGE_CHECK, scratch_path
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back; the path is kept for ``drop``."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**PAGE_CHECK).parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back
