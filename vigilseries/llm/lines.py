@@ -40,15 +40,16 @@ def line_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     """``(line, component)`` for every line that is linked to a different one; lines are 64-bit hashes of their text."""
     each = _lines(docs, id_col, text_col).select("line", "text")
     keyed = each.mapInArrow(_bander, "key bigint, line bigint")
-    # Narrow rows of different lines only; one key is streamed, never held.
-    met = store(keyed.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_neighbours, "key bigint, a bigint, b bigint"), "met")
+    # Narrow rows of different lines only; one key is streamed, never held. One long is sorted bit by bit, two are compared.
+    met = store(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_neighbours, "key bigint, a bigint, b bigint"), "met")
     regions = met.select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = store(regions.select("id").distinct(), "involved")
     # Texts are an eighth of their shingle sets, which each task derives anew.
     sets = store(small_semi(each.select(F.col("line").alias("id"), F.col("text").alias("shingles")), involved).dropDuplicates(["id"]), "texts")
     first = store(confirm(met.select("a", "b").distinct(), sets, percent, _sets), "links")
     grouped = components(first)
-    rest = store(across(regions.withColumnRenamed("key", "region"), sets, grouped, percent, _sets), "links")
+    # Of two lines under a key both were neighbours, so they are compared already.
+    rest = store(across(regions.withColumnRenamed("key", "region"), sets, grouped, percent, _sets, 3), "links")
     out = components(first.unionByName(rest))
     drop(met, involved, sets, first, rest, grouped)
     return out.withColumnRenamed("node", "line")
@@ -178,10 +179,17 @@ def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line and the next different one under the same key."""
+    """Chains of the different lines under each key, from rows in the order of the keys.
+
+    The lines of a key are put in order batch by batch; the last one meets the first of the next batch.
+    """
     last = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         key, line = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        order = np.lexsort((line, key))
+        key, line = key[order], line[order]
         if last is not None:
             key, line = np.append(last[0], key), np.append(last[1], line)
         last = key[-1:], line[-1:]

@@ -30,16 +30,17 @@ def small_semi(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int, read: Read = as_sets) -> DataFrame:
+def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int, read: Read = as_sets, least: int = 2) -> DataFrame:
     """Links inside one region between different components; large regions are dealt as pairs of blocks.
 
     ``regions`` has (id, region), ``sets`` (id, shingles), read by ``read``;
-    ``grouped`` are the components found so far. Only regions with several components are looked at.
+    ``grouped`` are the components found so far. Only regions with several components are looked at, and with
+    ``least`` sets or more: where both of two were compared before, 3 leaves out what is known not to be a link.
     """
     held = regions.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     held = store(held, "regions")
     mixed = held.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.where("lo <> hi").select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.where(f"lo <> hi AND size >= {least}").select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = held.join(mixed, ["region"]).withColumn("block", block).join(sets, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
