@@ -30,6 +30,9 @@ from vigilseries.llm.scratch import drop, store, unused
 SHINGLE = 10
 BANDS, ROWS = 16, 3
 KEY_BITS = 48
+#: Keys are shuffled packed, by their first bits; so many at once are packed by a task and looked at in sorted order.
+BUCKET_BITS = 13
+PACK, HELD = 1 << 19, 1 << 18
 #: Bytes of lines hashed at once: what is made of them stays in a core's cache.
 PIECE = 1 << 15
 #: Scrambled code points of the usual scripts.
@@ -39,9 +42,9 @@ _CODES = mix(np.arange(1 << 12))
 def line_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(line, component)`` for every line that is linked to a different one; lines are 64-bit hashes of their text."""
     each = _lines(docs, id_col, text_col).select("line", "text")
-    keyed = each.mapInArrow(_bander, "key bigint, line bigint")
-    # Narrow rows of different lines only; one key is streamed, never held.
-    met = store(keyed.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_neighbours, "key bigint, a bigint, b bigint"), "met")
+    packed = each.mapInArrow(_bander, "bucket int, pairs binary")
+    # Different lines only; one key is streamed, never held.
+    met = store(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_neighbours, "key bigint, a bigint, b bigint"), "met")
     regions = met.select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = store(regions.select("id").distinct(), "involved")
     # Texts are an eighth of their shingle sets, which each task derives anew.
@@ -50,7 +53,8 @@ def line_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     grouped = components(first)
     # Of two lines under a key both were neighbours, so they are compared already.
     rest = store(across(regions.withColumnRenamed("key", "region"), sets, grouped, percent, _sets, 3), "links")
-    out = components(first.unionByName(rest))
+    # The components found before stand for their links.
+    out = components(grouped.withColumnsRenamed({"node": "a", "component": "b"}).unionByName(rest))
     drop(met, involved, sets, first, rest, grouped)
     return out.withColumnRenamed("node", "line")
 
@@ -69,11 +73,12 @@ def dedup_lines(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
     id_, key, lost = unused(docs, "_id", "_key", "_gone")
     linked = line_components(docs, percent, id_col, text_col)
     placed = _lines(docs, id_col, text_col).select("id", "key", "no", "line").join(linked, "line", "left")
-    placed = placed.select("id", "key", "no", F.coalesce("component", "line").alias("line"))
+    # Read twice: cutting the texts into lines again would cost more than writing these narrow rows.
+    placed = store(placed.select("id", "key", "no", F.coalesce("component", "line").alias("line")), "placed")
     first = placed.groupBy("line").agg(F.min(F.struct("id", "no")).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = placed.join(first, "line").where("id <> at.id OR no <> at.no")
     gone = store(gone.groupBy("id", "key").agg(F.collect_set("no").alias(lost)), "gone")
-    drop(linked)
+    drop(linked, placed)
     keyed = docs.withColumns({id_: F.col(id_col), key: F.xxhash64(text_col)})
     out = keyed.join(gone.withColumnsRenamed({"id": id_, "key": key}), [id_, key], "left").select(*docs.columns, lost)
     where, names = docs.columns.index(text_col), [*docs.columns, "n_lines", "n_dropped"]
@@ -107,7 +112,10 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, key, no, text, line)``: trimmed, not blank, of rows with an id."""
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.posexplode(F.split(text_col, "\n")).alias("no", "raw"))
-    return rows.withColumn("text", F.expr("trim(BOTH ' \t\r' FROM raw)")).where("text <> ''").select("id", "key", "no", "text", F.xxhash64("text").alias("line"))
+    # Trimming the end looks at every character of a line, so only where there is something to trim.
+    ends = F.endswith("raw", F.lit(" ")) | F.endswith("raw", F.lit("\t")) | F.endswith("raw", F.lit("\r"))
+    text = F.when(ends, F.expr("trim(BOTH ' \t\r' FROM raw)")).otherwise(F.expr("trim(LEADING ' \t\r' FROM raw)"))
+    return rows.withColumn("text", text).where("text <> ''").select("id", "key", "no", "text", F.xxhash64("text").alias("line"))
 
 
 def char_shingles(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +126,7 @@ def char_shingles(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.nd
         codes = _CODES[np.minimum(points, len(_CODES) - 1)]
         far = np.flatnonzero(points >= len(_CODES))
         codes[far] = mix(points[far])
-        first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        first = offsets - np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), offsets)
     else:
         codes, first = _CODES[data], offsets
     size = np.diff(first)
@@ -162,6 +170,8 @@ def signatures(column: pa.Array) -> np.ndarray:
 
 
 def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys and lines side by side, packed by the first bits of the key."""
+    held, size = [], 0
     for batch in batches:
         lines = batch.column(0).to_numpy()
         _, new = np.unique(lines, return_index=True)
@@ -174,30 +184,66 @@ def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(ROWS):
                 key = mix(key * np.uint64(31) + rows[:, :, row])
             key = (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)
-            yield pa.record_batch([pa.array(key.ravel()), pa.array(np.repeat(lines[at: at + len(texts)], BANDS))], ["key", "line"])
+            held.append(np.stack([key.ravel(), np.repeat(lines[at: at + len(texts)], BANDS)], axis=1))
+            size += key.size
             at += len(texts)
+            if size >= PACK:
+                yield _packed(np.concatenate(held))
+                held, size = [], 0
+    if held:
+        yield _packed(np.concatenate(held))
+
+
+def _packed(pairs: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket: its pairs of key and line as bytes."""
+    bucket = (pairs[:, 0] >> (KEY_BITS - BUCKET_BITS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket, pairs = bucket[order], pairs[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    offsets = (np.append(first, len(pairs)) * pairs.itemsize * 2).astype(np.int32)
+    packs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
+    return pa.record_batch([pa.array(bucket[first].astype(np.int32)), packs], ["bucket", "pairs"])
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line and the next different one under the same key."""
-    last = None
+    """Lines under the same key, each with the next different one, from packs that arrive sorted by bucket.
+
+    A part of at most about ``HELD`` pairs and what a batch adds is looked at at
+    once. Of a bucket that goes on one line per key is carried over.
+    """
+    held, size = [], 0
     for batch in batches:
-        key, line = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if last is not None:
-            key, line = np.append(last[0], key), np.append(last[1], line)
-        last = key[-1:], line[-1:]
-        near = np.flatnonzero((key[1:] == key[:-1]) & (line[1:] != line[:-1]))
-        a, b = line[near], line[near + 1]
-        yield pa.record_batch([pa.array(key[near]), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["key", "a", "b"])
+        if not batch.num_rows:
+            continue
+        pairs = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.int64).reshape(-1, 2)
+        held.append(pairs)
+        size += len(pairs)
+        if size >= HELD:
+            found, rest = _met(np.concatenate(held))
+            held, size = [rest[rest[:, 0] >> (KEY_BITS - BUCKET_BITS) == batch.column(0)[-1].as_py()]], 0
+            yield found
+    if held:
+        yield _met(np.concatenate(held))[0]
+
+
+def _met(pairs: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Neighbours in the order of key and line, and one pair of every key."""
+    pairs = pairs[np.argsort(pairs[:, 0])]
+    same = pairs[1:, 0] == pairs[:-1, 0]
+    last = pairs[np.append(~same, True)]
+    pairs = pairs[np.append(same, False) | np.append(False, same)]
+    key, line = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].T
+    near = np.flatnonzero((key[1:] == key[:-1]) & (line[1:] != line[:-1]))
+    return pa.record_batch([pa.array(key[near]), pa.array(line[near]), pa.array(line[near + 1])], ["key", "a", "b"]), last
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
+    coded = column.dictionary_encode()
     out = []
-    for texts in pieces(column, PIECE):
+    for texts in pieces(coded.dictionary, PIECE):
         values, first = char_shingles(texts)
         for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
             one = np.sort(values[lo:hi])
-            new = np.ones(len(one), bool)
-            np.not_equal(one[1:], one[:-1], out=new[1:])
-            out.append(one[new])
-    return out
+            new = one[1:] != one[:-1]
+            out.append(one if new.all() else one[np.append(True, new)])
+    return [out[i] for i in coded.indices.to_pylist()]

@@ -15,6 +15,8 @@ from vigilseries.llm.scratch import store
 BLOCK = 1024
 COLUMNS = 1 << 15
 BROADCAST_IDS = 1 << 21
+#: Up to so many pairs a set are intersected one by one, which is quicker than bit rows.
+FEW = 2
 
 
 Read = Callable[[pa.Array], list[np.ndarray]]
@@ -39,8 +41,7 @@ def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int
     """
     held = regions.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     held = store(held, "regions")
-    mixed = held.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.where(f"lo <> hi AND size >= {least}").select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed_regions(held, least).select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = held.join(mixed, ["region"]).withColumn("block", block).join(sets, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -51,6 +52,16 @@ def across(regions: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def mixed_regions(held: DataFrame, least: int) -> DataFrame:
+    """``(region, size)`` with several components; of regions that hold the same sets, one."""
+    digest = F.xxhash64("id")
+    mixed = held.groupBy("region").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.sum(F.shiftright(digest, 32)).alias("upper"), F.sum(digest.bitwiseAND(0xFFFFFFFF)).alias("lower"))
+    mixed = mixed.where(f"lo <> hi AND size >= {least}")
+    return mixed.groupBy("size", "upper", "lower").agg(F.min("region").alias("region"))
+
+
 def _linker(percent: int, read: Read):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, first in whole_groups(batches, ["region", "x", "y"]):
@@ -58,8 +69,12 @@ def _linker(percent: int, read: Read):
             sets = read(table.column("shingles").combine_chunks())
             found = []
             for lo, hi in zip(first[:-1], first[1:], strict=True):
-                i, j = _spanning(*_linked(sets[lo:hi], comp[lo:hi], percent), comp[lo:hi])
-                found.append(np.stack([ids[lo + i], ids[lo + j]]))
+                i, j = _linked(sets[lo:hi], comp[lo:hi], percent)
+                if len(i):
+                    i, j = _spanning(i, j, comp[lo:hi])
+                    found.append(np.stack([ids[lo + i], ids[lo + j]]))
+            if not found:
+                continue
             pair = np.sort(np.concatenate(found, axis=1), axis=0)
             yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
     return run
@@ -87,12 +102,21 @@ def _spanning(i: np.ndarray, j: np.ndarray, comp: np.ndarray) -> tuple[np.ndarra
 def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of sets from different components that are similar enough."""
     size = np.array([len(s) for s in sets])
-    if len(sets) == 2:
-        both = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))], [0, 0]])
+    # Sets of too different sizes cannot be similar enough.
+    able = (100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size)) & (comp[:, None] != comp)
+    i, j = np.nonzero(np.triu(able, 1))
+    if len(i) <= FEW * len(sets):
+        both = np.array([_shared(sets[x], sets[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
     else:
-        both = _intersections(sets)
-    fit = (100 * both >= percent * (size[:, None] + size - both)) & (comp[:, None] != comp)
-    return np.nonzero(np.triu(fit, 1))
+        both = _intersections(sets)[i, j].astype(np.int64)
+    fit = 100 * both >= percent * (size[i] + size[j] - both)
+    return i[fit], j[fit]
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sorted arrays without repeats have in common."""
+    both = np.sort(np.concatenate([x, y]))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -126,7 +150,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int, read: Read = as_set
             for i, (x, y) in enumerate(zip(read(batch.column(2)), read(batch.column(3)), strict=True)):
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = _shared(x, y)
                 keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
