@@ -49,8 +49,8 @@ def test_level_sums_are_those_of_the_windows(spark):
     empty = np.full((0, 15), -1), np.zeros((0, 15), np.int64), np.zeros((0, 16))
     place, cut = np.full(15, -1), np.zeros(15, np.int64)
     place[0], cut[0] = 3, 11  # step 1, feature b
-    root, counts = boosting._level(stored, (WINDOW, 2), empty, (place, cut), 0, 2.0)
-    left, _ = boosting._level(stored, (WINDOW, 2), empty, (place, cut), 1, 2.0)
+    root, counts = boosting._level(stored, (WINDOW, 2), empty, (place, cut), [0], 2.0)
+    left, _ = boosting._level(stored, (WINDOW, 2), empty, (place, cut), [1], 2.0)
     seq = sliding_sequences(df.where("split = 'train'"), ["a", "b"], "y", "t", WINDOW).toPandas()
     x = np.array([[list(map(float, s)) if None not in s else [np.nan] * 2 for s in w] for w in seq["features"]])
     kept = np.isfinite(x).all((1, 2))
@@ -64,7 +64,7 @@ def test_level_sums_are_those_of_the_windows(spark):
             for step in range(WINDOW):
                 for f in range(2):
                     want = np.bincount(bins[part, step, f], stat[part], boosting.BINS)
-                    np.testing.assert_allclose(got[s, step, f], want, atol=1e-3)
+                    np.testing.assert_allclose(got[s, step, f], want, atol=1e-9)
     assert counts[5] == len(y)
 
 
